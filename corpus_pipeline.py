@@ -1,10 +1,70 @@
-"""Placeholder of the corpus pipeline."""
+"""A corpus pipeline: quality, line dedup, near-dedup, decontamination, mixing.
+
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame; it is written and read again before the
+next one starts. All but the last return the columns of ``documents``, ``n_chars`` kept true.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from twinspark.llm import decontaminate, lines, mixing, quality, simhash
+from twinspark.llm.common import read
+from twinspark.shared import ship, table
+
+
+def _counted(out: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of ``docs``, with ``n_chars`` of the text as it now is."""
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return out.select(docs.columns)
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rejects documents that score below 0.3."""
+    return quality.filter_quality(docs, read(ship(spark), sf_dir, "labels"))
+
+
+def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops boilerplate lines; every document stays, if need be with an empty text."""
+    return _counted(lines.line_dedup(docs), docs)
+
+
+def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the document with the smallest id of each group of near copies (five-word shingles, similarity 0.8)."""
+    ship(spark)
+    return simhash.near_duplicates(docs)
+
+
+def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Cuts passages of the benchmark out of the texts; texts without any stay byte for byte."""
+    return _counted(decontaminate.scan(docs, read(ship(spark), sf_dir, "benchmark"), clean=True), docs)
+
+
+def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Mixes the sources to their target weights; documents taken twice come twice."""
+    return mixing.mix(docs)
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality classifier", quality_stage),
+    ("line dedup", line_stage),
+    ("near-dedup", near_stage),
+    ("decontamination", benchmark_stage),
+    ("mixing", mix_stage),
+]
+
+#: The quality classifier, the fingerprints and the FM-index have no SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(ship(spark), sf_dir, "documents")
+    for i, (name, stage) in enumerate(STAGES):
+        docs = stage(spark, docs, sf_dir)
+        if i + 1 < len(STAGES):
+            docs = table(docs, name.replace(" ", "-"))
+    return docs

@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
-from twinspark.llm import decontaminate, mixing, simhash, suffix
+from twinspark.llm import chat, decontaminate, language, lines, media, mixing, quality, simhash, suffix, warc
 
 QUERIES = {
     "op1_mix_sources": mixing.op1,
+    "op2_language_crf": language.op2,
     "op3_simhash_golay": simhash.op3,
+    "op4_quality_rff": quality.op4,
+    "op5_mpeg_ts": media.op5,
     "op6_suffix_repeats": suffix.op6,
+    "op7_line_templates": lines.op7,
     "op8_decontaminate": decontaminate.op8,
+    "op9_chat_format": chat.op9,
+    "op10_warc": warc.op10,
 }
-SQL = {"op1_mix_sources": mixing.OP1_SQL}
+SQL = {"op1_mix_sources": mixing.OP1_SQL, "op7_line_templates": lines.OP7_SQL, "op9_chat_format": chat.OP9_SQL, "op10_warc": warc.OP10_SQL}

@@ -259,7 +259,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, similarity: float = 0.8) -> Dat
     most = int(128 * math.acos(2 * similarity / (1 + similarity)) / math.pi + 2)
     prints = table(soft_prints(docs, k), "prints")
     each = prints.groupBy("f0", "f1").agg(F.min("keys").alias("keys"))
-    found = links(each.select(F.explode("keys").cast("long").alias("key"), "f0", "f1"), most)
+    found = links(each.select(F.explode(F.col("keys").cast("array<long>")).alias("key"), "f0", "f1"), most)
     node = lambda a, b: F.xxhash64(a, b)
     linked = connected_components(found.select(node("f0", "f1").alias("u"), node("g0", "g1").alias("v")))
     ids = prints.groupBy("f0", "f1").agg(F.min("doc_id").alias("least")).withColumn("node", node("f0", "f1"))
