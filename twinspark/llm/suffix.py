@@ -3,7 +3,8 @@
 A string of ``length`` bytes that starts in two places has the same smallest hash among its
 200-byte pieces in both, so only places whose smallest hash occurs in two pieces of the corpus can be
 repeats (an exact filter; the hashes go round, not the texts). What is left is cut into stretches of
-starting places that share that hash. Stretches of a hash meet in one task, where their suffixes are
+starting places that share that hash. Stretches of a hash meet in one task (trimmed there to
+starts whose whole string has a hash that comes twice, again an exact filter), where their suffixes are
 sorted to ``length`` bytes; the previous smaller and next smaller place in suffix order give each
 place its longest previous factor, and the mirrored pair its longest next one. A hash with very many
 stretches is no task's work: there each place goes by the 128-bit hash of its string and is
@@ -204,13 +205,35 @@ def _repeated(texts: DataFrame, length: int, keep: str) -> DataFrame:
         held: list[tuple] = []
         size = 0
 
-        def flush(rows: list[tuple]) -> pd.DataFrame:
+        def gathered(rows: list[tuple]) -> tuple[np.ndarray, ...]:
             data = np.frombuffer(b"".join(r[5] for r in rows), np.uint8)
             sizes = np.array([len(r[5]) for r in rows])
             offset = np.cumsum(sizes) - sizes
             ns = sizes - length + 1
             piece = np.repeat(np.arange(len(rows)), ns)
             starts = np.arange(ns.sum()) - np.repeat(np.cumsum(ns) - ns, ns) + np.repeat(offset, ns)
+            return data, sizes, offset, piece, starts
+
+        def trimmed(rows: list[tuple]) -> list[tuple]:
+            """Stretches cut to their first and last start whose string's hash comes twice here; the rest can't be repeats."""
+            data, _, offset, piece, starts = gathered(rows)
+            h = window_hash(data, length)[starts]
+            order = np.argsort(h)
+            same = h[order][1:] == h[order][:-1]
+            twice = np.sort(order[np.r_[False, same] | np.r_[same, False]])
+            p, first = np.unique(piece[twice], return_index=True)
+            last = np.r_[first[1:], len(twice)] - 1
+            out = []
+            for i, x, y in zip(p.tolist(), starts[twice[first]].tolist(), starts[twice[last]].tolist(), strict=True):
+                r, x, y = rows[i], x - int(offset[i]), y - int(offset[i])
+                out.append((*r[:4], r[4] + x, r[5][x : y + length]))
+            return out
+
+        def flush(rows: list[tuple]) -> pd.DataFrame:
+            rows = trimmed(rows)
+            if not rows:
+                return pd.DataFrame({"a": [], "b": [], "start": [], "stop": []}, dtype="int64")
+            data, sizes, offset, piece, starts = gathered(rows)
             # places in the order of texts; the same place never comes twice
             rank = np.lexsort((np.array([r[4] for r in rows]), np.array([r[3] for r in rows]), np.array([r[2] for r in rows]), np.array([r[1] for r in rows], float)))
             turn = np.empty(len(rows), np.int64)
