@@ -10,7 +10,7 @@ happens where the document is: no shuffle, and the test phrases are broadcast in
 size, one narrow pass for each block.
 
 Edge cases: null or wordless texts have no words and stay as they are; items with null text or
-without words are ignored; an item of fewer words than a window is one window; repeated rows, items
+without words are ignored; an item of fewer words than a window is one window; a null item id is the empty string; repeated rows, items
 and null ids are kept as they are; an empty benchmark marks nothing; other columns pass through.
 """
 
@@ -203,7 +203,7 @@ _FOUND = pa.struct([("n_words", pa.int64()), ("spans", pa.list_(pa.struct([("fir
 
 def _blocks(benchmark: DataFrame, limit: int) -> Iterator[list[tuple[str, bytes]]]:
     """The items in blocks of about ``limit`` bytes; each is collected by itself."""
-    items = benchmark.where("text is not null").select(F.col("item_id").cast("string").alias("i"), F.col("text").cast("binary").alias("t"))
+    items = benchmark.where("text is not null").select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("i"), F.col("text").cast("binary").alias("t"))
     total = items.agg(F.sum(F.length("t") + 16)).first()[0] or 0
     n = -(-total // limit) or 1
     for k in range(n):
