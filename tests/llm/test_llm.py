@@ -93,7 +93,7 @@ def test_links_against_brute_force(spark, monkeypatch):
             out.setdefault(find(x), set()).add(x)
         return sorted(map(sorted, out.values()))
 
-    brute = [(a, b) for a in prints for b in prints[np.bitwise_count(prints ^ a) <= 3]]
+    brute = [(a, b) for a in prints for b in prints[np.bitwise_count((prints ^ a).view(np.uint64)) <= 3]]
     assert classes(links) == classes(brute)
 
 

@@ -135,6 +135,11 @@ def soft_prints(docs: DataFrame, k: int, near: int = 8, keys: int = 16) -> DataF
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, f0 long, f1 long, keys array<int>")
 
 
+def _bits(x: np.ndarray) -> np.ndarray:
+    """Set bits of signed longs (numpy counts those of the absolute value)."""
+    return np.bitwise_count(x.view(np.uint64)).astype(np.int64)
+
+
 def _spanning(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     """Label of each of n rows: the smallest row that links (i, j) reach."""
     label = np.arange(n)
@@ -157,7 +162,7 @@ def _compare(key: np.ndarray, f0: np.ndarray, f1: np.ndarray, most: int, across:
         at = at[key[at] == key[at + lag]]
         if not len(at):
             break
-        ok = np.bitwise_count(f0[at] ^ f0[at + lag]).astype(np.int64) + np.bitwise_count(f1[at] ^ f1[at + lag]) <= most
+        ok = _bits(f0[at] ^ f0[at + lag]) + _bits(f1[at] ^ f1[at + lag]) <= most
         if across is not None:
             ok &= across[at] != across[at + lag]
         us.append(at[ok])
