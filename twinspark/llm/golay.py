@@ -9,6 +9,7 @@ import numpy as np
 
 GENERATOR = 0xC75  # x^11+x^10+x^6+x^5+x^4+x^2+1, a fixed value of the code
 N, K, RADIUS = 23, 12, 3
+BLOCK = 256  #: rows that are decoded at once
 
 
 @cache
@@ -59,6 +60,9 @@ def near(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def soft(margins: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
     """Indices and scores of the ``most`` codewords nearest to each row of 23 signed margins."""
-    score = margins.astype(np.float32) @ signs().T
-    at = np.argpartition(-score, most, axis=1)[:, :most]
-    return at, np.take_along_axis(score, at, 1)
+    at, best = np.zeros((len(margins), most), np.int64), np.zeros((len(margins), most), np.float32)
+    for i in range(0, len(margins), BLOCK):
+        score = margins[i : i + BLOCK].astype(np.float32) @ signs().T
+        at[i : i + BLOCK] = np.argpartition(-score, most, axis=1)[:, :most]
+        best[i : i + BLOCK] = np.take_along_axis(score, at[i : i + BLOCK], 1)
+    return at, best
