@@ -26,7 +26,7 @@ def table(df: DataFrame, name: str = "t") -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     schema = df.schema
-    df.write.parquet(path)
+    df.write.parquet(path, compression="zstd")
     return spark.read.schema(schema).parquet(path)
 
 
