@@ -67,6 +67,7 @@ def test_simhash_bits():
 
 def test_links_against_brute_force(spark, monkeypatch):
     monkeypatch.setattr(simhash, "GROUP", 16)
+    monkeypatch.setattr(simhash, "WIDE", 6)
     rng = np.random.default_rng(1)
     base = rng.integers(-(2**63), 2**63 - 1, 300)
     flipped = base.copy()
@@ -97,6 +98,18 @@ def test_links_against_brute_force(spark, monkeypatch):
     assert classes(links) == classes(brute)
 
 
+def test_reach_against_brute_force():
+    rng = np.random.default_rng(3)
+    for _ in range(30):
+        n = int(rng.integers(1, 300))
+        key = np.sort(rng.integers(0, rng.integers(1, 9), n))
+        f0, f1 = rng.integers(-(2**62), 2**62, 5)[rng.integers(0, 5, n)], np.zeros(n, np.int64)
+        for _ in range(4):
+            f0 ^= np.where(rng.random(n) < 0.6, np.int64(1) << rng.integers(0, 63, n), 0)
+        i, j = np.nonzero((key[:, None] == key) & (np.bitwise_count((f0[:, None] ^ f0).view(np.uint64)) <= 3))
+        assert (simhash._compare(key, f0, f1, 3) == simhash._spanning(n, i, j)).all()
+
+
 def test_near_copies(spark):
     rng = np.random.default_rng(2)
     rows = []

@@ -36,6 +36,8 @@ from twinspark.shared import table
 
 SEED = 42
 GROUP = 4096  #: fingerprints of a key that one comparison holds; larger groups are compared in blocks of this size
+WIDE = 48  #: fingerprints of a key from which on it is compared by reach
+FRONT = 16  #: reached rows that meet the others at once
 PAIRS = list(combinations(range(3), 2))
 
 
@@ -153,26 +155,44 @@ def _spanning(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
             return label
 
 
-def _compare(key: np.ndarray, f0: np.ndarray, f1: np.ndarray, most: int, across: np.ndarray | None = None) -> np.ndarray:
+def _reach(f0: np.ndarray, f1: np.ndarray, most: int) -> np.ndarray:
+    """Label of each row of one key: the first row that links of ``most`` bits at most reach.
+
+    A row that was reached meets only rows that were not, so a group of near copies costs its length
+    a few times over; only rows that link to nothing meet all others.
+    """
+    label, left = np.arange(len(f0)), np.arange(len(f0))
+    while len(left):
+        root, left = left[0], left[1:]
+        front = np.array([root])
+        while len(front) and len(left):
+            take, front = front[:FRONT], front[FRONT:]
+            apart = _bits(f0[take, None] ^ f0[left]) + _bits(f1[take, None] ^ f1[left])
+            near = (apart <= most).any(axis=0)
+            label[left[near]] = root
+            front, left = np.concatenate([front, left[near]]), left[~near]
+    return label
+
+
+def _compare(key: np.ndarray, f0: np.ndarray, f1: np.ndarray, most: int) -> np.ndarray:
     """Rows sorted by key; the label of each after linking rows of a key that differ in ``most`` bits at most."""
-    n, at, lag = len(key), np.arange(len(key) - 1), 1
-    label, us, vs, held = np.arange(n), [], [], 0
-    while True:
+    n = len(key)
+    label = np.arange(n)
+    begin = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+    size = np.diff(np.r_[begin, n])
+    for a, m in zip(begin[size > WIDE].tolist(), size[size > WIDE].tolist(), strict=True):
+        label[a : a + m] = a + _reach(f0[a : a + m], f1[a : a + m], most)
+    at, lag = np.flatnonzero(np.repeat(size <= WIDE, size)), 1
+    us, vs = [np.arange(n)], [label]
+    while True:  # small groups, all at once: each row with the one ``lag`` further on
         at = at[: np.searchsorted(at, n - lag)]
         at = at[key[at] == key[at + lag]]
         if not len(at):
-            break
+            return _spanning(n, np.concatenate(us), np.concatenate(vs))
         ok = _bits(f0[at] ^ f0[at + lag]) + _bits(f1[at] ^ f1[at + lag]) <= most
-        if across is not None:
-            ok &= across[at] != across[at + lag]
         us.append(at[ok])
         vs.append(at[ok] + lag)
-        held += int(ok.sum())
-        if held > 1_000_000:
-            label = _spanning(n, np.concatenate([*us, np.arange(n)]), np.concatenate([*vs, label]))
-            us, vs, held = [], [], 0
         lag += 1
-    return _spanning(n, np.concatenate([*us, np.arange(n)]), np.concatenate([*vs, label]))
 
 
 OUT = "kind int, key long, block int, f0 long, f1 long, g0 long, g1 long"
@@ -186,9 +206,9 @@ def _frame(kind: int, key, block, f0, f1, g0, g1) -> pd.DataFrame:
 def links(keyed: DataFrame, most: int) -> DataFrame:
     """(key, f0, f1) to links (f0, f1, g0, g1) whose closure is that of all pairs of a key within ``most`` bits."""
 
-    def star(key, f0, f1, across=None) -> pd.DataFrame:
-        label = _compare(key, f0, f1, most, across)
-        own = np.flatnonzero(label != np.arange(len(label)))
+    def star(key, f0, f1, own=None) -> pd.DataFrame:
+        label = _compare(key, f0, f1, most)
+        own = np.flatnonzero(label != np.arange(len(label)) if own is None else own & (label != np.arange(len(label))))
         to = label[own]
         return _frame(0, key[own], 0, f0[own], f1[own], f0[to], f1[to])
 
@@ -218,8 +238,9 @@ def links(keyed: DataFrame, most: int) -> DataFrame:
 
     def blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         def across(rows: np.ndarray) -> pd.DataFrame:
-            group = np.cumsum(np.r_[0, (rows[1:, :3] != rows[:-1, :3]).any(axis=1)])
-            return star(group, rows[:, 4], rows[:, 5], rows[:, 3])
+            group, block = (np.cumsum(np.r_[0, (rows[1:, :c] != rows[:-1, :c]).any(axis=1)]) for c in (3, 4))
+            first = _compare(block, rows[:, 4], rows[:, 5], most) == np.arange(len(rows))  # links in a block are known
+            return star(group, rows[:, 4], rows[:, 5], first)
 
         held = None
         for b in batches:
@@ -240,7 +261,7 @@ def links(keyed: DataFrame, most: int) -> DataFrame:
     count = rest.groupBy("key").agg(F.max("block").alias("last"))
     met = rest.join(count, "key").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("last")))).where("other <> block")
     met = met.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), F.col("block").cast("long").alias("own"), "f0", "f1")
-    more = met.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInPandas(blocks, OUT)
+    more = met.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "own", "f0", "f1").mapInPandas(blocks, OUT)
     return pair.unionByName(more.select("f0", "f1", "g0", "g1")).distinct()
 
 
