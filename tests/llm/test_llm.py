@@ -156,6 +156,14 @@ def test_suffix_against_brute_force(spark, monkeypatch):
                 assert removed == want[r.doc_id][1], (hot, keep, r.doc_id)
 
 
+def test_suffix_shared_pieces_without_repeats(spark):
+    rng = np.random.default_rng(5)
+    shared = "".join(rng.choice(list("abcdefgh"), 35))
+    docs = [(i, "".join(rng.choice(list("abcdefgh"), 60)) + shared + "".join(rng.choice(list("abcdefgh"), 60))) for i in range(4)]
+    rows, parts = suffix.repeats(spark.createDataFrame(docs, "doc_id long, text string"), 40, "none")
+    assert rows.where("gone").count() == 0 and parts.count() == 0
+
+
 def test_previous_factors():
     data = np.frombuffer(b"abracadabra_abracadabra_bra", np.uint8)
     starts = np.arange(len(data))

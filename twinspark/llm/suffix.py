@@ -221,6 +221,8 @@ def _repeated(texts: DataFrame, length: int, keep: str) -> DataFrame:
             order = np.argsort(h)
             same = h[order][1:] == h[order][:-1]
             twice = np.sort(order[np.r_[False, same] | np.r_[same, False]])
+            if not len(twice):
+                return []
             p, first = np.unique(piece[twice], return_index=True)
             last = np.r_[first[1:], len(twice)] - 1
             out = []
