@@ -80,61 +80,79 @@ def least_hashes(data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]
     return h, sliding_min(h, length - k + 1)
 
 
+def _eights(data: np.ndarray) -> np.ndarray:
+    """The 8 bytes from each place, and from the end, as numbers; zeros follow the last byte."""
+    key = np.concatenate([data, np.zeros(8, np.uint8)]).astype(np.uint64)
+    for k in (1, 2, 4):
+        key = (key[:-k] << np.uint64(8 * k)) | key[k:]
+    return key
+
+
 def suffix_order(data: np.ndarray, starts: np.ndarray, depth: int) -> tuple[np.ndarray, list[tuple[int, np.ndarray]]]:
-    """``starts`` in order of the ``depth`` bytes from there, and ranks of all places by their first 8, 16, ... bytes."""
+    """``starts`` in order of the ``depth`` bytes from there, and ranks of all places by their first 8, 24, ... bytes.
+
+    A round joins the ranks of three neighbouring pieces in one number if they fit, else of two.
+    """
     n = len(data)
-    padded = np.concatenate([data, np.zeros(8, np.uint8)])
-    key = np.zeros(n, np.uint64)
-    for i in range(8):
-        key = (key << np.uint64(8)) | padded[i : i + n]
-    levels, k = [], 8
+    key, levels, k = _eights(data)[:n], [], min(8, depth)
     while True:
-        order = np.argsort(key, kind="stable")
-        rank = np.empty(n, np.int64)
-        rank[order] = np.r_[0, np.cumsum(key[order][1:] != key[order][:-1])]
+        order = np.argsort(key)
+        key = key[order]
+        rank = np.empty(n, np.int32)
+        rank[order] = np.concatenate([np.zeros(1, np.int32), np.cumsum(key[1:] != key[:-1], dtype=np.int32)])
         levels.append((k, rank))
         if k >= depth:
             break
-        step = min(k, depth - k)
-        after = np.zeros(n, np.int64)
-        after[:-step] = rank[step:] + 1
-        key = rank * (n + 2) + after
-        k += step
-    return starts[np.argsort(rank[starts], kind="stable")], levels
+        width = int(rank[order[-1]]) + 2
+        parts = 3 if 2 * k < depth and width**3 < 1 << 63 else 2
+        key = rank.astype(np.int64)
+        for j in range(1, parts):
+            step = min(j * k, depth - k)
+            key *= width
+            key[:-step] += rank[step:] + 1
+        k = min(depth, parts * k)
+    wanted = np.zeros(n, bool)
+    wanted[starts] = True
+    return order[wanted[order]], levels
 
 
 def adjacent_lcp(data: np.ndarray, order: np.ndarray, levels: list[tuple[int, np.ndarray]]) -> np.ndarray:
     """Common bytes, up to the depth, of each suffix with the one before it in order (0 for the first)."""
-    a, b = order[:-1], order[1:]
-    full = levels[-1][1][a] == levels[-1][1][b]
-    out = np.zeros(len(a), np.int64)
-    for k, rank in reversed(levels[:-1]):
-        i, j = np.minimum(a + out, len(data) - 1), np.minimum(b + out, len(data) - 1)
-        out += np.where(rank[i] == rank[j], k, 0)
-    for _ in range(8):
-        i, j = a + out, b + out
-        more = (np.maximum(i, j) < len(data)) & ~full
-        out += more & (data[np.minimum(i, len(data) - 1)] == data[np.minimum(j, len(data) - 1)])
-    return np.r_[0, np.where(full, levels[-1][0], out)]
-
-
-def _previous(place: np.ndarray, lcp: np.ndarray) -> np.ndarray:
+    depth, last = levels[-1]
+    out = np.full(len(order), depth, np.int64)
+    out[:1] = 0
+    differ = np.flatnonzero(last[order[1:]] != last[order[:-1]])
+    a, b = order[differ], order[differ + 1]
+    same = np.zeros(len(differ), np.int64)
+    for (k, rank), (longer, _) in zip(levels[-2::-1], levels[:0:-1], strict=True):
+        for _ in range(-(-longer // k) - 1):
+            i, j = np.minimum(a + same, len(data) - 1), np.minimum(b + same, len(data) - 1)
+            same += np.where(rank[i] == rank[j], k, 0)
+    key = _eights(data)
+    x = key[np.minimum(a + same, len(data))] ^ key[np.minimum(b + same, len(data))]
+    for k in range(1, 8):
+        same += x < np.uint64(1 << (64 - 8 * k))
+    out[differ + 1] = np.minimum(same, depth)
+    return out
+
+
+def _previous(place: np.ndarray, lcp: np.ndarray, least: int) -> np.ndarray:
     """Common prefix of each suffix with the nearest before it, in suffix order, of a smaller place; by pointer jumping."""
     n = len(place)
-    to, least = np.arange(n) - 1, lcp.copy()
+    to, common = np.arange(n) - 1, lcp.copy()
     open_ = np.arange(n)
     while len(open_):
         open_ = open_[to[open_] >= 0]
-        open_ = open_[(place[to[open_]] > place[open_]) & (least[open_] > 0)]
+        open_ = open_[(place[to[open_]] > place[open_]) & (common[open_] >= least)]
         via = to[open_]
-        least[open_], to[open_] = np.minimum(least[open_], least[via]), to[via]
-    return np.where(to >= 0, least, 0)
+        common[open_], to[open_] = np.minimum(common[open_], common[via]), to[via]
+    return np.where((to >= 0) & (common >= least), common, 0)
 
 
-def previous_factors(place: np.ndarray, lcp: np.ndarray) -> np.ndarray:
-    """Longest previous factor (to the depth of ``lcp``) of each suffix; ``place`` and ``lcp`` in suffix order."""
-    up = _previous(place, lcp)
-    down = _previous(place[::-1], np.r_[0, lcp[1:][::-1]])[::-1]
+def previous_factors(place: np.ndarray, lcp: np.ndarray, least: int = 1) -> np.ndarray:
+    """Longest previous factor (to the depth of ``lcp``) of each suffix, 0 for those below ``least``; ``place`` and ``lcp`` in suffix order."""
+    up = _previous(place, lcp, least)
+    down = _previous(place[::-1], np.r_[0, lcp[1:][::-1]], least)[::-1]
     return np.maximum(up, down)
 
 
@@ -242,13 +260,15 @@ def _repeated(texts: DataFrame, length: int, keep: str) -> DataFrame:
             turn[rank] = np.arange(len(rows))
             order, levels = suffix_order(data, starts, length)
             lcp = adjacent_lcp(data, order, levels)
-            at = piece[np.searchsorted(starts, order)]
+            number = np.empty(len(data), np.int32)
+            number[starts] = np.arange(len(starts))
+            at = piece[number[order]]
             place = turn[at] * (int(sizes.max()) + 1) + order - offset[at]
-            factor = previous_factors(place, lcp)
+            factor = previous_factors(place, lcp, length)
             if keep == "none":
-                factor = np.maximum(factor, previous_factors(-place, lcp))
+                factor = np.maximum(factor, previous_factors(-place, lcp, length))
             gone = np.zeros(len(starts) + 1, np.int8)
-            gone[np.searchsorted(starts, order[factor >= length])] = 1
+            gone[number[order[factor >= length]]] = 1
             edge = np.flatnonzero(np.diff(np.r_[0, gone].astype(np.int8)) | np.r_[True, piece[1:] != piece[:-1], False] & (gone == 1))
             edge = edge[gone[edge] == 1]
             ends = np.r_[edge[1:], len(starts)]
