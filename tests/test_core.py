@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from twinspark.functions import names, vectors
-from twinspark.operators import order, similar, split, store
+from twinspark.operators import order, report, similar, split, store
 from twinspark.operators.graph import connected_components
 from twinspark.sources import files
 
@@ -110,6 +110,23 @@ def test_record_files(spark, tmp_path):
         files.read_bin(pickle.dumps(random.Random(1)))
 
 
+def test_regions(spark, tmp_path):
+    data = bytes(range(256)) * 5
+    (tmp_path / "train.rec").write_bytes(data)
+    starts = [0, 100, 101, 900]
+    offsets = spark.createDataFrame([(i, x) for i, x in enumerate([900, 0, 101, 100, 0])], "idx long, offset long")
+    got = {r.offset: bytes(r.region) for r in files.regions(offsets, str(tmp_path / "train.rec"), len(data)).collect()}
+    assert got == {a: data[a:z] for a, z in zip(starts, [*starts[1:], len(data)], strict=True)}
+
+
+def test_reports(spark):
+    rows = spark.createDataFrame([("a|b", "x", 0, "test"), ("a|b", "x", 0, "train"), ("c", None, None, None)], "dataset string, md5 string, cluster_id long, split string")
+    text = report.merge_report(rows)
+    assert "| a\\|b | test | 1 |" in text and "| unassigned | 1 |" in text and "| 2 | 1 | 1 |" in text and "| 2 | 1 |\n" in text
+    rates = spark.createDataFrame([(1, 0.5, None)], "expected int, hit1_rate double, mean_correct_score double")
+    assert "| 1 | 0.5000 | n/a |" in report.evaluation_report(rates.drop("expected"), rates)
+
+
 def test_stream_ingest(spark, tmp_path):
     from twinspark.streaming.ingest import ingest_stream
 

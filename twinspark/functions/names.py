@@ -68,7 +68,7 @@ def band(score: Column) -> Column:
 
 
 def fixed(c: Column, digits: int, missing: str = "n/a") -> Column:
-    return F.coalesce(F.format_string(f"%.{digits}f", c), F.lit(missing))
+    return F.when(c.isNotNull(), F.format_string(f"%.{digits}f", c)).otherwise(missing)
 
 
 def stored_path(path: Column, data_dir: str) -> Column:

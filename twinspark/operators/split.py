@@ -25,16 +25,17 @@ def identities(vectors: DataFrame, links: DataFrame) -> DataFrame:
     return all_ids.join(label, "component").select("id", "component", "cluster_id")
 
 
-def assign_splits(rows: DataFrame, singleton_train: bool = True) -> DataFrame:
+def assign_splits(rows: DataFrame, singleton_train: bool = True, seed: int | None = None) -> DataFrame:
     """Rows (cluster_id, md5, prio, dataset, name, ...) with ``split``.
 
-    Of each cluster one row is the test representative and its exact copies go; every other hash keeps
-    its best copy in train. Null hashes are ``failed_decode``, null clusters ``failed_embed``.
+    Of each cluster one row is the test representative (the best by priority, or with a ``seed`` one drawn by a hash of
+    seed and name) and its exact copies go; every other hash keeps its best copy in train. Null hashes are ``failed_decode``, null clusters ``failed_embed``.
     Representatives are minima of structs, combined before the shuffle, so a large cluster is no single task.
     """
     order = F.struct("prio", "dataset", "name")
     ok = rows.where("cluster_id is not null and md5 is not null")
-    cluster = ok.groupBy("cluster_id").agg(F.count("*").alias("_n"), F.min(F.struct(order.alias("o"), "md5")).alias("_rep"))
+    drawn = F.lit("") if seed is None else F.md5(F.concat(F.lit(f"{seed}:"), F.col("name").cast("string")).cast("binary"))
+    cluster = ok.groupBy("cluster_id").agg(F.count("*").alias("_n"), F.min(F.struct(drawn.alias("h"), order.alias("o"), "md5")).alias("_rep"))
     each = ok.groupBy("cluster_id", "md5").agg(F.min(order).alias("_best"))
     out = rows.join(cluster, "cluster_id", "left").join(each, ["cluster_id", "md5"], "left")
     split = (
@@ -45,12 +46,12 @@ def assign_splits(rows: DataFrame, singleton_train: bool = True) -> DataFrame:
     return out.withColumn("split", split).drop("_n", "_rep", "_best")
 
 
-def identity_split(records: DataFrame, threshold: float, precision: str = "double", singleton_train: bool = True) -> DataFrame:
+def identity_split(records: DataFrame, threshold: float, precision: str = "double", singleton_train: bool = True, seed: int | None = None) -> DataFrame:
     """Records (pos, canon, dataset, name, md5, prio, v) to clusters and splits; copies share the vector of ``canon``."""
     vectors = records.where("v is not null and pos = canon").select(F.col("canon").alias("id"), "v")
     found = identities(vectors, edges(vectors, threshold, precision))
     rows = records.drop("v").join(found.select(F.col("id").alias("canon"), "cluster_id"), "canon", "left")
-    return assign_splits(rows, singleton_train)
+    return assign_splits(rows, singleton_train, seed)
 
 
 def round_robin(rows: DataFrame, group: str, by: str, limit: int) -> DataFrame:

@@ -236,6 +236,20 @@ def one_train_split(s, d):
     return g.select("label", "total", F.get("ids", F.lit(0)).alias("train"), (F.col("total") - 1).alias("tests"), rest.alias("test_ids"))
 
 
+_BEST = "PARTITION BY cluster_id ORDER BY prio, dataset, pos"
+
+
+@query(_SPLIT.replace(_BEST, "PARTITION BY cluster_id ORDER BY md5('7:' || CAST(pos AS VARCHAR)), prio, dataset, pos") + "SELECT pos, dataset, md5, cluster_id, split FROM s")
+def identity_split_seeded(s, d):
+    return split.identity_split(_records(s, d), THRESHOLD, seed=7).select("pos", "dataset", "md5", "cluster_id", "split")
+
+
+@query(_SPLIT + "SELECT size, count(*) AS clusters, max(datasets) AS most_datasets FROM (SELECT count(*) AS size, count(DISTINCT dataset) AS datasets FROM s WHERE cluster_id IS NOT NULL GROUP BY cluster_id) GROUP BY size ORDER BY size DESC LIMIT 20")
+def cluster_span_histogram(s, d):
+    sizes = _splits(s, d).where("cluster_id is not null").groupBy("cluster_id").agg(F.count("*").alias("size"), F.countDistinct("dataset").alias("datasets"))
+    return sizes.groupBy("size").agg(F.count("*").alias("clusters"), F.max("datasets").alias("most_datasets")).orderBy(F.desc("size")).limit(20)
+
+
 @query("WITH h AS (SELECT vec_id AS id, label, row_number() OVER (PARTITION BY label ORDER BY md5('7:' || CAST(vec_id AS VARCHAR)), vec_id) AS r FROM embeddings) SELECT id, label, CASE WHEN r <= 3 THEN 'train' ELSE 'test' END AS split FROM h")
 def seeded_folder_split(s, d):
     return split.seeded_split(_vectors(s, d).select("id", "label"), "label", "id", 3, 7).select("id", "label", "split")

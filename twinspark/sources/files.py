@@ -60,6 +60,28 @@ def labels(spark: SparkSession, path: str) -> DataFrame:
     return numbered(rows, ["n"], "position").select("position", "label")
 
 
+def regions(offsets: DataFrame, path: str, size: int) -> DataFrame:
+    """(idx, offset) of a container of ``size`` bytes to (offset, region): the bytes up to the next offset or the end.
+
+    Tasks hold neighbouring offsets and read just their ranges, so no task loads the file; ``path`` is one that
+    pyarrow's file systems open (a local path or a URI that all executors reach).
+    """
+    from twinspark.operators.order import following
+
+    ends = following(offsets.select("offset").distinct(), "offset", F.lit(size).cast("long"), "next")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyarrow import fs
+
+        store, name = fs.FileSystem.from_uri(path)
+        with store.open_input_file(name) as f:
+            for b in batches:
+                for a, z in zip(b["offset"].tolist(), b["next"].tolist(), strict=True):
+                    yield pd.DataFrame({"offset": [a], "region": [f.read_at(z - a, a)]})
+
+    return ends.repartitionByRange("offset").sortWithinPartitions("offset").mapInPandas(run, "offset long, region binary")
+
+
 def jpeg(region: bytes) -> bytes | None:
     """The first JPEG stream of a record, if it is long enough."""
     a = region.find(b"\xff\xd8")
