@@ -123,6 +123,20 @@ def test_near_copies(spark):
     assert got == {3 * g for g in range(30)}
 
 
+def test_links_are_verified(spark):
+    rng = np.random.default_rng(7)
+    words = lambda n: [f"w{x}" for x in rng.integers(0, 10**6, n)]
+    passage = words(20)
+    rows = [(i, " ".join(passage * 20 + words(60))) for i in range(4)]  # one passage over and over, and 60 words of their own
+    for i in range(10, 40, 2):
+        w = words(200)
+        edited = list(w)
+        for p in (30, 60, 90, 120, 150, 180):  # 30 of 196 shingles: a similarity of 0.73
+            edited[p] = "edited"
+        rows += [(i, " ".join(w)), (i + 1, " ".join(edited))]
+    assert simhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).count() == len(rows)
+
+
 def test_decontaminate(spark):
     phrase = " ".join(f"p{i}" for i in range(14))
     docs = [(1, f"x {phrase.upper()}! y"), (2, "nothing here"), (3, " ".join(phrase.split()[:9])), (4, f"{phrase} {phrase}"), (5, None), (6, "tiny item at end: tiny item")]

@@ -10,7 +10,8 @@ through distributed connected components.
 
 ``near_duplicates`` is the form for corpora: five-word shingles, similarity 0.8. Such documents
 differ in about 15 % of the bits, so there the decoding is soft: a segment's signed margins pick the
-nearest codewords, and 128 bits verify the similarity.
+nearest codewords. 128 bits only propose pairs; a link is one whose sets of distinct shingles have
+the similarity.
 
 Edge cases: null texts and texts without words have fingerprint zero and are linked like any other;
 fewer words than a shingle make one shingle; null ids never become a component's id unless all its
@@ -55,6 +56,12 @@ def shingle_hashes(text: bytes | None, k: int) -> np.ndarray:
     return np.fromiter([xxh64_intdigest(joined[a:b], SEED) for a, b in zip(starts, ends, strict=True)], np.uint64, len(starts))
 
 
+def shingle_set(text: bytes | None, k: int) -> tuple[np.ndarray, int]:
+    """The distinct shingle hashes of a text, sorted, and a signed long that stands for the set."""
+    h = np.unique(shingle_hashes(text, k))
+    return h, xxh64_intdigest(h.tobytes(), SEED) - (1 << 63)
+
+
 def bit_counts(h: np.ndarray) -> np.ndarray:
     """How many of the hashes have each bit set; in runs of 255, whose counts fit a byte."""
     out = np.zeros(64, np.int64)
@@ -113,13 +120,13 @@ def hard_keys(prints: DataFrame) -> DataFrame:
 
 
 def soft_prints(docs: DataFrame, k: int, near: int = 8, keys: int = 16) -> DataFrame:
-    """(doc_id, f0, f1, keys): 128 bits, and for each two of three segments the ``keys`` codeword pairs nearest to the margins."""
+    """(doc_id, a, node, f0, f1, keys): hashes of the text and of its set of shingles, 128 bits, and for each two of three segments the ``keys`` codeword pairs nearest to the margins."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            margin = np.zeros((b.num_rows, 128), np.float32)
-            for i, text in enumerate(b.column(1).cast(pa.binary()).to_pylist()):
-                h = shingle_hashes(text, k)
+            margin, node = np.zeros((b.num_rows, 128), np.float32), np.zeros(b.num_rows, np.int64)
+            for i, text in enumerate(b.column(2).cast(pa.binary()).to_pylist()):
+                h, node[i] = shingle_set(text, k)
                 if len(h):
                     margin[i] = (2 * np.concatenate([bit_counts(h), bit_counts(_remix(h))]) - len(h)) / math.sqrt(len(h))
             found = [golay.soft(margin[:, 23 * s : 23 * s + 23], near) for s in range(3)]
@@ -131,10 +138,11 @@ def soft_prints(docs: DataFrame, k: int, near: int = 8, keys: int = 16) -> DataF
                 own.append(np.take_along_axis(code, np.argpartition(-score, keys, axis=1)[:, :keys], 1))
             own = np.sort(np.concatenate(own, axis=1).astype(np.int32), axis=1)
             listed = pa.ListArray.from_arrays(np.arange(0, own.size + 1, own.shape[1], dtype=np.int32), pa.array(own.ravel()))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(_pack(margin[:, :64] > 0)), pa.array(_pack(margin[:, 64:] > 0)), listed], ["doc_id", "f0", "f1", "keys"])
+            bits = [pa.array(_pack(margin[:, :64] > 0)), pa.array(_pack(margin[:, 64:] > 0))]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(node), *bits, listed], ["doc_id", "a", "node", "f0", "f1", "keys"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, f0 long, f1 long, keys array<int>")
+    return docs.select("doc_id", F.xxhash64("text").alias("a"), "text").mapInArrow(run, f"doc_id {kind}, a long, node long, f0 long, f1 long, keys array<int>")
 
 
 def _bits(x: np.ndarray) -> np.ndarray:
@@ -275,20 +283,52 @@ def components(docs: DataFrame) -> DataFrame:
     return prints.join(root.join(least, "root").select("f0", "component_id"), "f0")
 
 
+def verified(docs: DataFrame, each: DataFrame, pairs: DataFrame, k: int, similarity: float) -> DataFrame:
+    """The pairs (u, v) of nodes whose sets have the Jaccard similarity; ``each`` names a text (a) of each node."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            sets = [shingle_set(text, k) for text in b.column(0).cast(pa.binary()).to_pylist()]
+            held = pa.array([h.view(np.int64) for h, _ in sets], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([pa.array([n for _, n in sets], pa.int64()), held], ["node", "held"])
+
+    pairs = table(pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).where("u <> v").distinct(), "candidates")
+    nodes = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
+    texts = docs.select(F.xxhash64("text").alias("a"), "text").join(nodes.join(each.select("node", "a"), "node").select("a"), "a", "left_semi")
+    sets = table(texts.dropDuplicates(["a"]).select("text").mapInArrow(run, "node long, held array<long>"), "sets")
+    both = pairs.join(sets.select(F.col("node").alias("u"), F.col("held").alias("x")), "u").join(sets.select(F.col("node").alias("v"), F.col("held").alias("y")), "v")
+    both = both.select("u", "v", (F.size("x") + F.size("y")).alias("n"), F.size(F.array_intersect("x", "y")).alias("common"))
+    return both.where(F.col("common") >= similarity * (F.col("n") - F.col("common")) - 1e-9).select("u", "v")
+
+
+def proposed(each: DataFrame, most: int) -> DataFrame:
+    """Pairs (u, v) of nodes: links by fingerprint that span the classes of ``most`` bits, found without meeting all pairs."""
+    found = links(each.select(F.explode(F.col("keys").cast("array<long>")).alias("key"), "f0", "f1").distinct(), most)
+    first = each.groupBy("f0", "f1").agg(F.min("node").alias("v"))
+    ends = found.join(first.withColumnRenamed("v", "u"), ["f0", "f1"]).join(first.select(F.col("f0").alias("g0"), F.col("f1").alias("g1"), "v"), ["g0", "g1"])
+    return ends.select("u", "v").unionByName(each.join(first, ["f0", "f1"]).select(F.col("node").alias("u"), "v"))
+
+
 def near_duplicates(docs: DataFrame, k: int = 5, similarity: float = 0.8) -> DataFrame:
     """``docs`` without later near copies: of each class the row with the smallest doc_id stays (null ids last, then by text).
 
     ``similarity`` is the Jaccard similarity s of shingle sets; the cosine of their SimHash sums is
     2s/(1+s) for sets of a size, and bits differ with probability acos(cosine)/pi. The limit is that
-    of 128 bits, and two more for the spread of the estimate.
+    of 128 bits, and two more for the spread of the estimate. Pairs within it are compared exactly: first
+    those that span a class, then those that the first left in different classes.
     """
     most = int(128 * math.acos(2 * similarity / (1 + similarity)) / math.pi + 2)
     prints = table(soft_prints(docs, k), "prints")
-    each = prints.groupBy("f0", "f1").agg(F.min("keys").alias("keys"))
-    found = links(each.select(F.explode(F.col("keys").cast("array<long>")).alias("key"), "f0", "f1"), most)
-    node = lambda a, b: F.xxhash64(a, b)
-    linked = connected_components(found.select(node("f0", "f1").alias("u"), node("g0", "g1").alias("v")))
-    ids = prints.groupBy("f0", "f1").agg(F.min("doc_id").alias("least")).withColumn("node", node("f0", "f1"))
+    each = prints.groupBy("node").agg(*(F.min(c).alias(c) for c in ("a", "f0", "f1", "keys")))
+    held = table(verified(docs, each, proposed(each, most), k, similarity), "held")
+    label = each.join(connected_components(held), "node", "left").withColumn("class", F.coalesce("component", "node"))
+    rows = label.select(F.explode("keys").alias("key"), "node", "class", "f0", "f1")
+    x, y = rows.alias("x"), rows.alias("y")
+    bits = F.expr("bit_count(x.f0 ^ y.f0) + bit_count(x.f1 ^ y.f1)")
+    met = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.class") != F.col("y.class")) & (bits <= most))
+    more = verified(docs, each, met.select(F.col("x.node").alias("u"), F.col("y.node").alias("v")), k, similarity)
+    linked = connected_components(held.unionByName(more))
+    ids = prints.groupBy("node").agg(F.min("doc_id").alias("least"))
     root = ids.join(linked, "node", "left").withColumn("root", F.coalesce("component", "node"))
     # a class's smallest id; ids may repeat, so one row of that id stays, by text
     kept = root.groupBy("root").agg(F.min("least").alias("keep"))
