@@ -137,6 +137,32 @@ def test_links_are_verified(spark):
     assert simhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).count() == len(rows)
 
 
+def test_near_duplicates_against_brute_force(spark):
+    rng = np.random.default_rng(8)
+    common = " ".join(f"c{x}" for x in range(12))  # in every third text
+    rows, sets = [], {}
+    for g in range(60):
+        w = [f"w{x}" for x in rng.integers(0, 10**6, int(rng.integers(20, 300)))]
+        for c in range(3):
+            v = list(w)
+            for p in rng.integers(0, len(v), round(c * len(v) * rng.uniform(0.012, 0.026))):
+                v[p] = f"e{rng.integers(0, 10**6)}"
+            rows.append((len(rows), " ".join(v) + (" " + common if g % 3 == 0 else "")))
+    for i, text in rows:
+        w = text.split()
+        sets[i] = {tuple(w[j : j + 5]) for j in range(len(w) - 4)}
+    root, tight = {i: i for i in sets}, 0
+    for i in sets:
+        for j in range(i):
+            s = len(sets[i] & sets[j]) / len(sets[i] | sets[j])
+            tight += 0.8 <= s < 0.85
+            if s >= 0.8 and root[i] != root[j]:
+                a, b = sorted((root[i], root[j]))
+                root = {x: a if r == b else r for x, r in root.items()}
+    got = {r.doc_id for r in simhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert tight > 10 and got == set(root.values())
+
+
 def test_decontaminate(spark):
     phrase = " ".join(f"p{i}" for i in range(14))
     docs = [(1, f"x {phrase.upper()}! y"), (2, "nothing here"), (3, " ".join(phrase.split()[:9])), (4, f"{phrase} {phrase}"), (5, None), (6, "tiny item at end: tiny item")]

@@ -10,8 +10,9 @@ through distributed connected components.
 
 ``near_duplicates`` is the form for corpora: five-word shingles, similarity 0.8. Such documents
 differ in about 15 % of the bits, so there the decoding is soft: a segment's signed margins pick the
-nearest codewords. 128 bits only propose pairs; a link is one whose sets of distinct shingles have
-the similarity.
+nearest codewords. 128 bits only propose pairs, which unite most copies at little cost; a link is one
+whose sets of distinct shingles have the similarity. What they miss is found by an exact prefix filter:
+in a common order of all shingles, two sets of similarity s share one of their first n - ceil(s n) + 1.
 
 Edge cases: null texts and texts without words have fingerprint zero and are linked like any other;
 fewer words than a shingle make one shingle; null ids never become a component's id unless all its
@@ -27,7 +28,7 @@ from itertools import combinations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
@@ -39,6 +40,7 @@ SEED = 42
 GROUP = 4096  #: fingerprints of a key that one comparison holds; larger groups are compared in blocks of this size
 WIDE = 48  #: fingerprints of a key from which on it is compared by reach
 FRONT = 16  #: reached rows that meet the others at once
+SKETCH_BITS = 20  #: shingles are counted by so many bits of their hash; common ones come last in the order of the prefix filter
 PAIRS = list(combinations(range(3), 2))
 
 
@@ -309,23 +311,73 @@ def proposed(each: DataFrame, most: int) -> DataFrame:
     return ends.select("u", "v").unionByName(each.join(first, ["f0", "f1"]).select(F.col("node").alias("u"), "v"))
 
 
+def _common(docs: DataFrame, k: int) -> np.ndarray:
+    """Whether the shingles of each sketch bucket are far more frequent than those of the average one."""
+    size, shift = 1 << SKETCH_BITS, np.uint64(64 - SKETCH_BITS)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = np.zeros(size, np.int64)
+        for b in batches:
+            for text in b.column(0).cast(pa.binary()).to_pylist():
+                np.add.at(n, (shingle_set(text, k)[0] >> shift).astype(np.int64), 1)
+        at = np.flatnonzero(n)
+        for i in range(0, len(at), 1 << 16):
+            part = at[i : i + (1 << 16)]
+            yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(n[part])], ["bucket", "n"])
+
+    count = table(docs.select("text").mapInArrow(run, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")), "sketch")
+    average = (count.agg(F.sum("n")).first()[0] or 0) / size
+    out = np.zeros(size, bool)
+    out[count.where(F.col("n") > 4 * average + 20).select("bucket").toPandas()["bucket"].to_numpy(np.int64)] = True  # under a quarter of the buckets
+    return out
+
+
+def prefix_keys(docs: DataFrame, k: int, similarity: float) -> DataFrame:
+    """(key, node, n, pos) of the prefix of each set, if more than one set has the key: every pair of the similarity shares one."""
+    common, shift = _common(docs, k), np.uint64(64 - SKETCH_BITS)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = set()
+        for b in batches:
+            keys, nodes, sizes = [np.zeros(0, np.uint64)], [], []
+            for text in b.column(0).cast(pa.binary()).to_pylist():
+                h, node = shingle_set(text, k)
+                if node not in seen:
+                    seen.add(node)
+                    last = common[(h >> shift).astype(np.int64)]
+                    keys.append(np.concatenate([h[~last], h[last]])[: len(h) - math.ceil(similarity * len(h) - 1e-9) + 1])
+                    nodes.append(node)
+                    sizes.append(len(h))
+            each = [len(x) for x in keys[1:]]
+            cols = np.concatenate(keys).view(np.int64), np.repeat(np.array(nodes, np.int64), each), np.repeat(np.array(sizes, np.int32), each)
+            pos = np.concatenate([np.zeros(0, np.int32), *(np.arange(m, dtype=np.int32) for m in each)])
+            yield pa.RecordBatch.from_arrays([*map(pa.array, cols), pa.array(pos)], ["key", "node", "n", "pos"])
+
+    rows = docs.select("text").mapInArrow(run, "key long, node long, n int, pos int")
+    own = Window.partitionBy("key")
+    shared = rows.withColumn("low", F.min("node").over(own)).withColumn("high", F.max("node").over(own)).where("low <> high")
+    return table(shared.select("key", "node", "n", "pos").distinct(), "prefixes")
+
+
 def near_duplicates(docs: DataFrame, k: int = 5, similarity: float = 0.8) -> DataFrame:
     """``docs`` without later near copies: of each class the row with the smallest doc_id stays (null ids last, then by text).
 
     ``similarity`` is the Jaccard similarity s of shingle sets; the cosine of their SimHash sums is
     2s/(1+s) for sets of a size, and bits differ with probability acos(cosine)/pi. The limit is that
-    of 128 bits, and two more for the spread of the estimate. Pairs within it are compared exactly: first
-    those that span a class, then those that the first left in different classes.
+    of 128 bits, and two more for the spread of the estimate. Pairs are compared exactly: first those
+    within it that span a class, then all that share a key of the prefix filter and that the first left
+    in different classes.
     """
     most = int(128 * math.acos(2 * similarity / (1 + similarity)) / math.pi + 2)
     prints = table(soft_prints(docs, k), "prints")
     each = prints.groupBy("node").agg(*(F.min(c).alias(c) for c in ("a", "f0", "f1", "keys")))
     held = table(verified(docs, each, proposed(each, most), k, similarity), "held")
     label = each.join(connected_components(held), "node", "left").withColumn("class", F.coalesce("component", "node"))
-    rows = label.select(F.explode("keys").alias("key"), "node", "class", "f0", "f1")
-    x, y = rows.alias("x"), rows.alias("y")
-    bits = F.expr("bit_count(x.f0 ^ y.f0) + bit_count(x.f1 ^ y.f1)")
-    met = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.class") != F.col("y.class")) & (bits <= most))
+    rows = prefix_keys(docs, k, similarity).join(label.select("node", "class"), "node")
+    # the shingles that two sets have in common from a shared one on, if it is the first, must be enough for the similarity
+    rest = F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos"))
+    enough = rest >= F.lit(similarity / (1 + similarity)) * (F.col("x.n") + F.col("y.n")) - 1e-6
+    met = rows.alias("x").join(rows.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.class") != F.col("y.class")) & enough)
     more = verified(docs, each, met.select(F.col("x.node").alias("u"), F.col("y.node").alias("v")), k, similarity)
     linked = connected_components(held.unionByName(more))
     ids = prints.groupBy("node").agg(F.min("doc_id").alias("least"))
