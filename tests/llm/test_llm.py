@@ -163,6 +163,15 @@ def test_near_duplicates_against_brute_force(spark):
     assert tight > 10 and got == set(root.values())
 
 
+def test_one_row_of_each_class(spark):
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(40)) for x in "abcd")
+    rows = [(1, a), (1, b), (2, a), (2, c), (3, c), (None, d), (None, a), (None, d.upper()), (None, "z"), (1, a)]
+    for order in (rows, rows[::-1]):
+        got = simhash.near_duplicates(spark.createDataFrame(order, "doc_id long, text string")).collect()
+        ids = sorted((r.text.lower(), r.doc_id or 0) for r in got)
+        assert ids == [(a, 1), (b, 1), (c, 2), (d, 0), ("z", 0)]
+
+
 def test_decontaminate(spark):
     phrase = " ".join(f"p{i}" for i in range(14))
     docs = [(1, f"x {phrase.upper()}! y"), (2, "nothing here"), (3, " ".join(phrase.split()[:9])), (4, f"{phrase} {phrase}"), (5, None), (6, "tiny item at end: tiny item")]

@@ -360,7 +360,7 @@ def prefix_keys(docs: DataFrame, k: int, similarity: float) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, similarity: float = 0.8) -> DataFrame:
-    """``docs`` without later near copies: of each class the row with the smallest doc_id stays (null ids last, then by text).
+    """``docs`` without later near copies: of each class the row with the smallest doc_id stays (null ids last, then by hash of the text).
 
     ``similarity`` is the Jaccard similarity s of shingle sets; the cosine of their SimHash sums is
     2s/(1+s) for sets of a size, and bits differ with probability acos(cosine)/pi. The limit is that
@@ -380,14 +380,18 @@ def near_duplicates(docs: DataFrame, k: int = 5, similarity: float = 0.8) -> Dat
     met = rows.alias("x").join(rows.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.class") != F.col("y.class")) & enough)
     more = verified(docs, each, met.select(F.col("x.node").alias("u"), F.col("y.node").alias("v")), k, similarity)
     linked = connected_components(held.unionByName(more))
-    ids = prints.groupBy("node").agg(F.min("doc_id").alias("least"))
-    root = ids.join(linked, "node", "left").withColumn("root", F.coalesce("component", "node"))
-    # a class's smallest id; ids may repeat, so one row of that id stays, by text
-    kept = root.groupBy("root").agg(F.min("least").alias("keep"))
-    keep = kept.where("keep is not null").select(F.col("keep").alias("_keep"))
-    nameless = kept.where("keep is null").limit(1).count()
-    out = docs.join(keep.distinct(), docs["doc_id"].eqNullSafe(F.col("_keep")), "left_semi").dropDuplicates(["doc_id"])
-    return out.unionByName(docs.where("doc_id is null").dropDuplicates(["text"])) if nameless else out
+    # one row of each class, the same in each run: by id, then by text, then by the other columns
+    plain = [f.name for f in docs.schema.fields if "map<" not in f.dataType.simpleString()]
+    mark = lambda: (F.xxhash64("text").alias("_a"), F.xxhash64(F.lit(7), "text").alias("_b"), F.xxhash64(*plain).alias("_c"))
+    rank = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("_id"), *(F.col(c) for c in ("_a", "_b", "_c")))
+    root = each.select("node").join(linked, "node", "left").select("node", F.coalesce("component", "node").alias("root"))
+    nodes = prints.select(F.col("a").alias("_a"), "node").distinct().join(root, "node").select("_a", "root")
+    rows = docs.select("doc_id", *mark()).join(nodes, "_a").groupBy("root").agg(F.min(rank).alias("keep"))
+    keep = rows.select("keep._id", "keep._a", "keep._b", "keep._c")
+    marked = docs.select("*", *mark())
+    same = marked["doc_id"].eqNullSafe(keep["_id"]) & (marked["_a"] == keep["_a"]) & (marked["_b"] == keep["_b"]) & (marked["_c"] == keep["_c"])
+    own = marked.join(keep, same, "left_semi").withColumn("_id", F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
+    return own.dropDuplicates(["_id", "_a", "_b", "_c"]).select(*docs.columns)
 
 
 def op3(spark, sf_dir: str) -> DataFrame:
