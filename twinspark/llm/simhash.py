@@ -12,7 +12,8 @@ through distributed connected components.
 differ in about 15 % of the bits, so there the decoding is soft: a segment's signed margins pick the
 nearest codewords. 128 bits only propose pairs, which unite most copies at little cost; a link is one
 whose sets of distinct shingles have the similarity. What they miss is found by an exact prefix filter:
-in a common order of all shingles, two sets of similarity s share one of their first n - ceil(s n) + 1.
+in a common order of all shingles, two sets of similarity s share one of their first n - ceil(s n) + 1,
+and how many of these they share, and where, bounds what they can have in common.
 
 Edge cases: null texts and texts without words have fingerprint zero and are linked like any other;
 fewer words than a shingle make one shingle; null ids never become a component's id unless all its
@@ -28,7 +29,7 @@ from itertools import combinations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
@@ -90,6 +91,11 @@ def _pack(bits: np.ndarray) -> np.ndarray:
     return np.packbits(bits, axis=-1, bitorder="little").view(np.int64)[..., 0]
 
 
+def _named(text: Column) -> tuple[Column, Column]:
+    """Two hashes that stand for a text."""
+    return F.xxhash64(text).alias("a"), F.xxhash64(F.lit(7), text).alias("b")
+
+
 def fingerprints(docs: DataFrame, k: int = 3) -> DataFrame:
     """(doc_id, f0 long): a bit is 1 if over half of the shingle hashes have it."""
 
@@ -122,13 +128,14 @@ def hard_keys(prints: DataFrame) -> DataFrame:
 
 
 def soft_prints(docs: DataFrame, k: int, near: int = 8, keys: int = 16) -> DataFrame:
-    """(doc_id, a, node, f0, f1, keys): hashes of the text and of its set of shingles, 128 bits, and for each two of three segments the ``keys`` codeword pairs nearest to the margins."""
+    """(a, b, node, other, n, f0, f1, keys) of texts: two hashes of the text and two of its set of shingles, their number, 128 bits, and for each two of three segments the ``keys`` codeword pairs nearest to the margins."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            margin, node = np.zeros((b.num_rows, 128), np.float32), np.zeros(b.num_rows, np.int64)
+            margin, node, size = np.zeros((b.num_rows, 128), np.float32), np.zeros((2, b.num_rows), np.int64), np.zeros(b.num_rows, np.int32)
             for i, text in enumerate(b.column(2).cast(pa.binary()).to_pylist()):
-                h, node[i] = shingle_set(text, k)
+                h, node[0, i] = shingle_set(text, k)
+                node[1, i], size[i] = xxh64_intdigest(h.tobytes(), SEED + 1) - (1 << 63), len(h)
                 if len(h):
                     margin[i] = (2 * np.concatenate([bit_counts(h), bit_counts(_remix(h))]) - len(h)) / math.sqrt(len(h))
             found = [golay.soft(margin[:, 23 * s : 23 * s + 23], near) for s in range(3)]
@@ -141,10 +148,9 @@ def soft_prints(docs: DataFrame, k: int, near: int = 8, keys: int = 16) -> DataF
             own = np.sort(np.concatenate(own, axis=1).astype(np.int32), axis=1)
             listed = pa.ListArray.from_arrays(np.arange(0, own.size + 1, own.shape[1], dtype=np.int32), pa.array(own.ravel()))
             bits = [pa.array(_pack(margin[:, :64] > 0)), pa.array(_pack(margin[:, 64:] > 0))]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(node), *bits, listed], ["doc_id", "a", "node", "f0", "f1", "keys"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *map(pa.array, (*node, size)), *bits, listed], ["a", "b", "node", "other", "n", "f0", "f1", "keys"])
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", F.xxhash64("text").alias("a"), "text").mapInArrow(run, f"doc_id {kind}, a long, node long, f0 long, f1 long, keys array<int>")
+    return docs.select(*_named(F.col("text")), "text").mapInArrow(run, "a long, b long, node long, other long, n int, f0 long, f1 long, keys array<int>")
 
 
 def _bits(x: np.ndarray) -> np.ndarray:
@@ -286,7 +292,7 @@ def components(docs: DataFrame) -> DataFrame:
 
 
 def verified(docs: DataFrame, each: DataFrame, pairs: DataFrame, k: int, similarity: float) -> DataFrame:
-    """The pairs (u, v) of nodes whose sets have the Jaccard similarity; ``each`` names a text (a) of each node."""
+    """The pairs (u, v) of nodes whose sets have the Jaccard similarity; ``each`` names a text (a, b) and the size n of each node."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -294,10 +300,13 @@ def verified(docs: DataFrame, each: DataFrame, pairs: DataFrame, k: int, similar
             held = pa.array([h.view(np.int64) for h, _ in sets], pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays([pa.array([n for _, n in sets], pa.int64()), held], ["node", "held"])
 
-    pairs = table(pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).where("u <> v").distinct(), "candidates")
+    sizes = each.select("node", "n")
+    pairs = pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).where("u <> v").distinct()
+    pairs = pairs.join(sizes.select(F.col("node").alias("u"), F.col("n").alias("nu")), "u").join(sizes.select(F.col("node").alias("v"), F.col("n").alias("nv")), "v")
+    pairs = table(pairs.where(F.least("nu", "nv") >= similarity * F.greatest("nu", "nv") - 1e-9).select("u", "v"), "candidates")
     nodes = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
-    texts = docs.select(F.xxhash64("text").alias("a"), "text").join(nodes.join(each.select("node", "a"), "node").select("a"), "a", "left_semi")
-    sets = table(texts.dropDuplicates(["a"]).select("text").mapInArrow(run, "node long, held array<long>"), "sets")
+    texts = docs.select(*_named(F.col("text")), "text").join(nodes.join(each.select("node", "a", "b"), "node").select("a", "b"), ["a", "b"], "left_semi")
+    sets = table(texts.dropDuplicates(["a", "b"]).select("text").mapInArrow(run, "node long, held array<long>"), "sets")
     both = pairs.join(sets.select(F.col("node").alias("u"), F.col("held").alias("x")), "u").join(sets.select(F.col("node").alias("v"), F.col("held").alias("y")), "v")
     both = both.select("u", "v", (F.size("x") + F.size("y")).alias("n"), F.size(F.array_intersect("x", "y")).alias("common"))
     return both.where(F.col("common") >= similarity * (F.col("n") - F.col("common")) - 1e-9).select("u", "v")
@@ -311,30 +320,35 @@ def proposed(each: DataFrame, most: int) -> DataFrame:
     return ends.select("u", "v").unionByName(each.join(first, ["f0", "f1"]).select(F.col("node").alias("u"), "v"))
 
 
-def _common(docs: DataFrame, k: int) -> np.ndarray:
-    """Whether the shingles of each sketch bucket are far more frequent than those of the average one."""
+def _common(docs: DataFrame, k: int, similarity: float) -> np.ndarray:
+    """Whether the shingles of each sketch bucket are far more frequent than those of the average one.
+
+    Counted are the lowest hashes of each set, twice the length of a prefix: others come into a prefix only
+    if more than half of those before them are common. It sets an order; any order gives the same pairs.
+    """
     size, shift = 1 << SKETCH_BITS, np.uint64(64 - SKETCH_BITS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n = np.zeros(size, np.int64)
         for b in batches:
             for text in b.column(0).cast(pa.binary()).to_pylist():
-                np.add.at(n, (shingle_set(text, k)[0] >> shift).astype(np.int64), 1)
+                h = shingle_set(text, k)[0]
+                np.add.at(n, (h[: 2 * _prefix(len(h), similarity)] >> shift).astype(np.int64), 1)
         at = np.flatnonzero(n)
         for i in range(0, len(at), 1 << 16):
             part = at[i : i + (1 << 16)]
             yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(n[part])], ["bucket", "n"])
 
     count = table(docs.select("text").mapInArrow(run, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")), "sketch")
-    average = (count.agg(F.sum("n")).first()[0] or 0) / size
+    average = count.agg(F.avg("n")).first()[0] or 0
     out = np.zeros(size, bool)
     out[count.where(F.col("n") > 4 * average + 20).select("bucket").toPandas()["bucket"].to_numpy(np.int64)] = True  # under a quarter of the buckets
     return out
 
 
 def prefix_keys(docs: DataFrame, k: int, similarity: float) -> DataFrame:
-    """(key, node, n, pos) of the prefix of each set, if more than one set has the key: every pair of the similarity shares one."""
-    common, shift = _common(docs, k), np.uint64(64 - SKETCH_BITS)
+    """(key, node, n, pos) of the prefix of each set: every pair of the similarity shares a key."""
+    common, shift = _common(docs, k, similarity), np.uint64(64 - SKETCH_BITS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = set()
@@ -345,7 +359,7 @@ def prefix_keys(docs: DataFrame, k: int, similarity: float) -> DataFrame:
                 if node not in seen:
                     seen.add(node)
                     last = common[(h >> shift).astype(np.int64)]
-                    keys.append(np.concatenate([h[~last], h[last]])[: len(h) - math.ceil(similarity * len(h) - 1e-9) + 1])
+                    keys.append(np.concatenate([h[~last], h[last]])[: _prefix(len(h), similarity)])
                     nodes.append(node)
                     sizes.append(len(h))
             each = [len(x) for x in keys[1:]]
@@ -359,39 +373,65 @@ def prefix_keys(docs: DataFrame, k: int, similarity: float) -> DataFrame:
     return table(shared.select("key", "node", "n", "pos").distinct(), "prefixes")
 
 
+def _prefix(n: int, similarity: float) -> int:
+    return n - math.ceil(similarity * n - 1e-9) + 1
+
+
+def met(rows: DataFrame, similarity: float) -> DataFrame:
+    """(key, node, n, pos, class) to the pairs (u, v) of nodes of different classes that their prefixes don't rule out.
+
+    Classes of a key meet first, so that a large class costs no pairs within it. Two prefixes share c keys,
+    the last of them at places x and y: the set whose prefix ends first shares nothing else of it, so the
+    sets have c and what follows that prefix in common at most, and c and what follows x or y.
+    """
+    own = rows.groupBy("key", "class").agg(F.min("n").alias("low"), F.max("n").alias("high"))
+    fits = (F.col("x.low") * similarity <= F.col("y.high") + 1e-9) & (F.col("y.low") * similarity <= F.col("x.high") + 1e-9)
+    beside = own.alias("x").join(own.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.class") < F.col("y.class")) & fits)
+    beside = beside.select("x.key", F.col("x.class").alias("cx"), F.col("y.class").alias("cy"))
+    side = lambda s: rows.select("key", F.col("class").alias(f"c{s}"), F.col("node").alias(f"n{s}"), F.col("n").alias(f"s{s}"), F.col("pos").alias(f"p{s}"))
+    pairs = beside.join(side("x"), ["key", "cx"]).join(side("y"), ["key", "cy"]).where(F.least("sx", "sy") >= similarity * F.greatest("sx", "sy") - 1e-9)
+    each = pairs.groupBy("nx", "ny", "sx", "sy").agg(F.count("*").alias("c"), *(f(p).alias(f"{t}{p}") for p in ("px", "py") for t, f in (("first_", F.min), ("last_", F.max))))
+    after = lambda s: F.ceil(similarity * F.col(s) - 1e-9) - 1  # noqa: E731  shingles after the prefix
+    rest = lambda s, p: F.col(s) - F.col(p) - 1
+    most = F.col("c") + F.greatest(F.least(after("sx"), rest("sy", "last_py")), F.least(after("sy"), rest("sx", "last_px")))
+    from_first = F.least(rest("sx", "first_px"), rest("sy", "first_py")) + 1
+    need = F.lit(similarity / (1 + similarity)) * (F.col("sx") + F.col("sy")) - 1e-6
+    return each.where((F.least(most, from_first) >= need)).select(F.col("nx").alias("u"), F.col("ny").alias("v"))
+
+
 def near_duplicates(docs: DataFrame, k: int = 5, similarity: float = 0.8) -> DataFrame:
-    """``docs`` without later near copies: of each class the row with the smallest doc_id stays (null ids last, then by hash of the text).
+    """``docs`` without later near copies: of each class the row with the smallest doc_id stays (null ids last, then by
+    hash of the text, then by hash of the row), the same in each run.
 
     ``similarity`` is the Jaccard similarity s of shingle sets; the cosine of their SimHash sums is
     2s/(1+s) for sets of a size, and bits differ with probability acos(cosine)/pi. The limit is that
     of 128 bits, and two more for the spread of the estimate. Pairs are compared exactly: first those
-    within it that span a class, then all that share a key of the prefix filter and that the first left
-    in different classes.
+    within it that span a class, then all that the prefix filter leaves and that the first left in
+    different classes. A set goes by two 64-bit hashes; of sets that share the first only one is
+    compared, the others stay, so that no hash ever removes a text unlike the one that is kept.
     """
     most = int(128 * math.acos(2 * similarity / (1 + similarity)) / math.pi + 2)
-    prints = table(soft_prints(docs, k), "prints")
-    each = prints.groupBy("node").agg(*(F.min(c).alias(c) for c in ("a", "f0", "f1", "keys")))
+    prints = table(soft_prints(docs, k).distinct(), "prints")
+    least = prints.groupBy("node").agg(F.min(F.struct("other", "a", "b", "n", "f0", "f1", "keys")).alias("m"))
+    each = table(least.select("node", "m.*"), "nodes")
     held = table(verified(docs, each, proposed(each, most), k, similarity), "held")
-    label = each.join(connected_components(held), "node", "left").withColumn("class", F.coalesce("component", "node"))
-    rows = prefix_keys(docs, k, similarity).join(label.select("node", "class"), "node")
-    # the shingles that two sets have in common from a shared one on, if it is the first, must be enough for the similarity
-    rest = F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos"))
-    enough = rest >= F.lit(similarity / (1 + similarity)) * (F.col("x.n") + F.col("y.n")) - 1e-6
-    met = rows.alias("x").join(rows.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.class") != F.col("y.class")) & enough)
-    more = verified(docs, each, met.select(F.col("x.node").alias("u"), F.col("y.node").alias("v")), k, similarity)
+    label = each.select("node").join(connected_components(held), "node", "left").select("node", F.coalesce("component", "node").alias("class"))
+    rows = table(prefix_keys(docs, k, similarity).join(label, "node"), "reached")
+    shared = rows.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low <> high").select("key")
+    more = verified(docs, each, met(rows.join(shared, "key"), similarity), k, similarity)
     linked = connected_components(held.unionByName(more))
+    root = each.join(linked, "node", "left").select("node", "other", F.coalesce("component", "node").alias("root"))
+    nodes = prints.select("a", "b", "node", "other").join(root, ["node", "other"], "left")
+    class_ = F.struct(F.coalesce("root", "node").alias("node"), F.when(F.col("root").isNull(), F.col("other")).alias("other"))
+    nodes = nodes.select("a", "b", class_.alias("class"))
     # one row of each class, the same in each run: by id, then by text, then by the other columns
-    plain = [f.name for f in docs.schema.fields if "map<" not in f.dataType.simpleString()]
-    mark = lambda: (F.xxhash64("text").alias("_a"), F.xxhash64(F.lit(7), "text").alias("_b"), F.xxhash64(*plain).alias("_c"))
-    rank = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("_id"), *(F.col(c) for c in ("_a", "_b", "_c")))
-    root = each.select("node").join(linked, "node", "left").select("node", F.coalesce("component", "node").alias("root"))
-    nodes = prints.select(F.col("a").alias("_a"), "node").distinct().join(root, "node").select("_a", "root")
-    rows = docs.select("doc_id", *mark()).join(nodes, "_a").groupBy("root").agg(F.min(rank).alias("keep"))
-    keep = rows.select("keep._id", "keep._a", "keep._b", "keep._c")
-    marked = docs.select("*", *mark())
-    same = marked["doc_id"].eqNullSafe(keep["_id"]) & (marked["_a"] == keep["_a"]) & (marked["_b"] == keep["_b"]) & (marked["_c"] == keep["_c"])
-    own = marked.join(keep, same, "left_semi").withColumn("_id", F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
-    return own.dropDuplicates(["_id", "_a", "_b", "_c"]).select(*docs.columns)
+    plain = [F.col(f.name) for f in docs.schema.fields if "map<" not in f.dataType.simpleString() and "variant" not in f.dataType.simpleString()]
+    id_ = F.col("doc_id")
+    keyed = docs.select(F.struct("*").alias("doc"), F.struct(id_.isNull().alias("none"), id_.alias("id")).alias("id"), *_named(F.col("text")), F.xxhash64(*plain).alias("c"))
+    keep = keyed.select("id", "a", "b", "c").join(nodes, ["a", "b"]).groupBy("class").agg(F.min(F.struct("id", "a", "b", "c")).alias("keep"))
+    keep = keep.select("keep.*").withColumn("id", F.xxhash64("id"))
+    own = keyed.withColumn("id", F.xxhash64("id")).join(keep, ["id", "a", "b", "c"], "left_semi")
+    return own.groupBy("id", "a", "b", "c").agg(F.first("doc").alias("doc")).select("doc.*")
 
 
 def op3(spark, sf_dir: str) -> DataFrame:
