@@ -44,64 +44,83 @@ def _targets(by_source: DataFrame, weights: tuple[float, ...], share: float) ->
     return t.select("k", "source_size", F.when(F.col("capped"), F.col("cap")).otherwise(F.col("w") * F.col("common")).alias("target"))
 
 
-def schedule(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE) -> DataFrame:
-    """Every row of ``docs`` as a struct ``doc``, with size, source_size, target, ``cum`` and ``times`` (0 to 2).
+def _sized(docs: DataFrame, *more: Column) -> DataFrame:
+    return docs.select(
+        F.col("doc_id").alias("id"), F.when(F.col("source").isNull(), "1").otherwise(F.concat(F.lit("0"), "source")).alias("k"),
+        F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
+        F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")).alias("h"), *more,
+    ).withColumn("slice", F.substring("h", 1, 3))
+
+
+def _timed(rows: DataFrame, offsets: DataFrame) -> DataFrame:
+    """``rows`` with ``cum``, and size and target of the source; rows and offsets meet by slice, nothing is broadcast."""
+    inside = F.sum("size").over(W.partitionBy("k", "slice").orderBy("h", "id", "size").rowsBetween(W.unboundedPreceding, 0))
+    return rows.withColumn("cum", inside).join(offsets.hint("merge"), ["k", "slice"]).withColumn("cum", F.col("cum") + F.col("base")).drop("base")
+
+
+def _vft(epoch: int) -> Column:
+    return (F.col("cum") + epoch * F.col("source_size")) / F.col("target")
+
+
+def _up_to(served: DataFrame, bucket: Column, budget: float) -> tuple[int | None, int]:
+    """The bucket in which running sizes pass the budget (None: they don't), and the sum of those before it; a few thousand buckets, however many rows."""
+    sums = served.groupBy(bucket.alias("bucket")).agg(F.sum("size").alias("n")).withColumn("end", F.sum("n").over(W.orderBy("bucket")))
+    row = sums.where(F.col("end") > budget).agg(F.min("bucket"), F.min(F.struct("bucket", (F.col("end") - F.col("n")).alias("before")))).first()
+    return row[0], (row[1][1] if row[1] else 0)
+
+
+def _plan(docs: DataFrame, weights: tuple[float, ...], share: float) -> tuple[DataFrame, DataFrame, Column]:
+    """Keys of the rows, offsets of the slices, and how often a row with ``cum`` is taken.
 
     Running sizes are summed in slices of the hash order, each slice a task's work at most, plus the
-    totals of the slices before it, so that a source with a third of all rows is no single task.
+    totals of the slices before it, so that a source with a third of all rows is no single task. The
+    place where the budget ends is found the same way, from sums over buckets of virtual time and then
+    over buckets of the one in which it ends; only the rows of that last one, a few in 16 million, are put in order.
     """
-    spark = docs.sparkSession
-    rows = docs.select(
-        F.struct("*").alias("doc"),
-        F.when(F.col("source").isNull(), "1").otherwise(F.concat(F.lit("0"), "source")).alias("k"),
-        F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-        F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")).alias("h"),
-    ).withColumn("slice", F.substring("h", 1, 3))
-    keys = table(rows.select(F.col("doc.doc_id").alias("id"), "k", "size", "h", "slice"), "sizes")
+    keys = table(_sized(docs), "sizes")
     parts = keys.groupBy("k", "slice").agg(F.sum("size").alias("n"))
     targets = _targets(parts.groupBy("k").agg(F.sum("n").alias("source_size")), weights, share)
     base = F.coalesce(F.sum("n").over(W.partitionBy("k").orderBy("slice").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    offsets = table(parts.withColumn("base", base).join(targets, "k").select("k", "slice", "base", "source_size", "target"), "offsets")
-
-    def timed(x: DataFrame, tie: Column) -> DataFrame:
-        inside = F.sum("size").over(W.partitionBy("k", "slice").orderBy("h", tie, "size").rowsBetween(W.unboundedPreceding, 0))
-        return x.withColumn("cum", inside).join(offsets, ["k", "slice"]).withColumn("cum", F.col("cum") + F.col("base"))
-
-    at = lambda e: (F.col("cum") + e * F.col("source_size")) / F.col("target")
-    served = timed(keys, F.col("id")).where("size > 0").withColumn("e", F.explode(F.array(*[F.lit(e) for e in range(EPOCHS)]))).withColumn("vft", at(F.col("e")))
-    served = served.withColumn("span", F.when(F.col("vft") < 2, F.floor(F.col("vft") * SLICES)).otherwise(2 * SLICES + F.floor(F.log2("vft") * 64)))
-    spans = served.groupBy("span").agg(F.sum("size").alias("n"))
-    upto = spans.withColumn("end", F.sum("n").over(W.orderBy("span")))  # a few thousand rows, however large the input
-    budget = float(share) * (offsets.select("k", "source_size").distinct().agg(F.sum("source_size")).first()[0] or 0)
-    full = upto.where(F.col("end") <= budget).agg(F.max("span"), F.max("end")).first()
-    last = upto.where(F.col("end") > budget).agg(F.min("span")).first()[0]
-    cut = None
-    if last is not None:  # the budget ends inside this span, a few thousandths of the rows
-        order = W.orderBy("vft", "h", "id", "e")
-        edge = served.where(F.col("span") == last).withColumn("run", F.sum("size").over(order.rowsBetween(W.unboundedPreceding, 0)))
-        cut = edge.where(F.col("run") + (full[1] or 0) <= budget).agg(F.max(F.struct("vft", "h", "id", "e"))).first()[0]
-        key = F.struct(F.lit(cut[0] if cut else 0.0).cast("double"), F.lit(cut[1] if cut else ""))
-        inside = lambda e: (F.floor(at(e) * SLICES) < last if last < 2 * SLICES else (at(e) < 2) | (2 * SLICES + F.floor(F.log2(at(e)) * 64) < last)) | (F.struct(at(e), F.col("h")) <= key)
-    else:
-        inside = lambda e: F.lit(True)
-    times = sum((F.when((F.col("size") > 0) & inside(F.lit(e)), 1).otherwise(0) for e in range(EPOCHS)), F.lit(0))
-    return timed(rows, F.col("doc.doc_id")).withColumn("times", F.coalesce(times, F.lit(0)))
+    offsets = table(parts.withColumn("base", base).join(targets.hint("merge"), "k").select("k", "slice", "base", "source_size", "target"), "offsets")
+    served = _timed(keys, offsets).where("size > 0").withColumn("e", F.explode(F.array(*[F.lit(e) for e in range(EPOCHS)]))).withColumn("vft", _vft(F.col("e")))
+    served = table(served.select("vft", "h", "id", "e", "size"), "served")
+    budget = float(share) * (keys.agg(F.sum("size")).first()[0] or 0)
+    span = F.when(F.col("vft") < 2, F.floor(F.col("vft") * SLICES)).otherwise(2 * SLICES + F.floor(F.log2("vft") * 64))
+    last, before = _up_to(served, span, budget)
+    if last is None:
+        return keys, offsets, F.when(F.col("size") > 0, EPOCHS).otherwise(0)
+    edge = served.where(span == last)
+    low, high = edge.agg(F.min("vft"), F.max("vft")).first()
+    part = F.floor((F.col("vft") - low) / max(high - low, 1e-300) * SLICES)
+    sub, within = _up_to(edge, part, budget - before)
+    tail = edge.where(part == sub).withColumn("run", F.sum("size").over(W.orderBy("vft", "h", "id", "e").rowsBetween(W.unboundedPreceding, 0)))
+    key = F.max(F.struct("vft", "h"))
+    cut = tail.where(F.col("run") <= budget - before - within).agg(key).first()[0] or served.where((span < last) | ((span == last) & (part < sub))).agg(key).first()[0]
+    if cut is None:
+        return keys, offsets, F.lit(0)
+    inside = lambda e: F.struct(_vft(e), F.col("h")) <= F.struct(F.lit(cut[0]).cast("double"), F.lit(cut[1]))
+    return keys, offsets, sum((F.when((F.col("size") > 0) & inside(F.lit(e)), 1).otherwise(0) for e in range(EPOCHS)), F.lit(0))
+
+
+def schedule(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE) -> DataFrame:
+    """(id, k, h, size, source_size, target, cum, times) of every row of ``docs``; times: how often it is taken. Texts stay where they are."""
+    keys, offsets, times = _plan(docs, weights, share)
+    return _timed(keys, offsets).withColumn("times", times)
 
 
 def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE) -> DataFrame:
     """The mix: the rows of ``docs`` that are taken, once for each time, globally sorted by virtual finish time."""
-    s = schedule(docs, weights, share).where("times > 0")
-    s = s.withColumn("e", F.explode(F.sequence(F.lit(0), F.col("times") - 1)))
-    s = s.withColumn("vft", (F.col("cum") + F.col("e") * F.col("source_size")) / F.col("target"))
-    return s.orderBy("vft", "h", "doc.doc_id", "e").select("doc.*")
+    _, offsets, times = _plan(docs, weights, share)
+    s = _timed(_sized(docs, F.struct("*").alias("doc")), offsets).withColumn("times", times).where("times > 0")
+    s = s.withColumn("e", F.explode(F.sequence(F.lit(0), F.col("times") - 1))).withColumn("vft", _vft(F.col("e")))
+    return s.orderBy("vft", "h", "id", "e").select("doc.*")
 
 
 def op1(spark, sf_dir: str) -> DataFrame:
     from twinspark.llm.common import read
 
-    return schedule(read(spark, sf_dir, "documents")).select(
-        "doc.doc_id", "size", "source_size", "target", (F.col("times") * F.col("size")).cast("long").alias("taken")
-    )
+    taken = (F.col("times") * F.col("size")).cast("long").alias("taken")
+    return schedule(read(spark, sf_dir, "documents")).select(F.col("id").alias("doc_id"), "size", "source_size", "target", taken)
 
 
 OP1_SQL = r"""
