@@ -9,15 +9,17 @@ at least 100 bytes. Archives are written as rows of bounded size in the shared f
 writes and reads them like any table.
 
 Edge cases: a null html is an empty payload; null or blank urls become ``urn:page:<id>`` and spaces in
-urls are percent-encoded; null page ids are written as ``null`` and come first among equals; rows
+urls are percent-encoded; page ids may be numbers or strings, of which those that aren't numbers come
+before numbers; records of null ids have no X-Page-Id and come first among equals; rows
 that repeat the smallest id of a payload are all responses; a truncated record or a wrong length
-raises ValueError; an empty table gives no archive and an empty result.
+raises ValueError; an empty table gives no archive and an empty result; other columns don't matter.
 """
 
 from __future__ import annotations
 
 import hashlib
 import uuid
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -43,8 +45,9 @@ def write_arc(version: int, pages: list[tuple[object, str | None, bytes]]) -> by
     for page_id, url, html in pages:
         url = (url or "").strip() or f"urn:page:{page_id}"
         url = "".join(c if not c.isspace() else "".join(f"%{b:02X}" for b in c.encode()) for c in url)
-        body = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nX-Page-Id: %s\r\nContent-Length: %d\r\n\r\n" % (str(page_id if page_id is not None else "null").encode(), len(html)) + html
-        second = (page_id or 0) % 86400
+        named = b"" if page_id is None else b"X-Page-Id: %s\r\n" % str(page_id).encode()
+        body = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n%bContent-Length: %d\r\n\r\n" % (named, len(html)) + html
+        second = (page_id if isinstance(page_id, int) else zlib.crc32((page_id or "").encode())) % 86400
         date = f"20240102{second // 3600:02d}{second // 60 % 60:02d}{second % 60:02d}"
         more = "" if version == 1 else f"200 {hashlib.md5(html).hexdigest()} - {at} pages.arc "
         out += [f"{url} 0.0.0.0 {date} text/html {more}{len(body)}\n".encode(), body, b"\n"]
@@ -85,30 +88,30 @@ def read_arc(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
 def http_parts(body: bytes) -> tuple[dict[str, str], bytes, bytes]:
     """Headers (lower-case names), header block and payload of a stored response."""
     head, _, payload = body.partition(b"\r\n\r\n")
-    lines = [x.decode("latin-1").partition(":") for x in head.split(b"\r\n")[1:]]
+    lines = [x.decode().partition(":") for x in head.split(b"\r\n")[1:]]
     return {k.lower(): v.strip() for k, _, v in lines}, head + b"\r\n\r\n", payload
 
 
-def record_id(page_id: str) -> str:
-    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, 'page:' + page_id)}>"
+def record_id(page_id: str | None) -> str:
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, 'page' if page_id is None else 'page:' + page_id)}>"
 
 
-def warc_record(arc: dict[str, str], body: bytes, refers_to: str | None) -> bytes:
-    """The WARC record of an ARC record; ``refers_to``: the page whose equal payload it revisits."""
+def warc_record(arc: dict[str, str], body: bytes, revisit: bool = False, refers_to: str | None = None) -> bytes:
+    """The WARC record of an ARC record; ``refers_to``: the page whose equal payload it revisits, if it does."""
     headers, head, payload = http_parts(body)
     date = arc["Archive-date"]
-    block = head if refers_to is not None else body
+    block = head if revisit else body
     fields = [
-        ("WARC-Type", "revisit" if refers_to is not None else "response"),
+        ("WARC-Type", "revisit" if revisit else "response"),
         ("WARC-Target-URI", arc["URL"]),
         ("WARC-Date", f"{date[:4]}-{date[4:6]}-{date[6:8]}T{date[8:10]}:{date[10:12]}:{date[12:14]}Z"),
-        ("WARC-Record-ID", record_id(headers["x-page-id"])),
+        ("WARC-Record-ID", record_id(headers.get("x-page-id"))),
         ("WARC-IP-Address", arc["IP-address"]),
         ("WARC-Payload-Digest", "sha256:" + hashlib.sha256(payload).hexdigest()),
         ("Content-Type", "application/http;msgtype=response"),
     ]
-    if refers_to is not None:
-        fields += [("WARC-Profile", PROFILE), ("WARC-Refers-To", record_id(refers_to)), ("X-Refers-To-Page", refers_to)]
+    if revisit:
+        fields += [("WARC-Profile", PROFILE), ("WARC-Refers-To", record_id(refers_to))] + ([("X-Refers-To-Page", refers_to)] if refers_to is not None else [])
     fields.append(("Content-Length", str(len(block))))
     return b"WARC/1.1\r\n" + b"".join(f"{k}: {v}\r\n".encode() for k, v in fields) + b"\r\n" + block + b"\r\n\r\n"
 
@@ -153,49 +156,54 @@ def arcs(pages: DataFrame) -> DataFrame:
 def convert(archive: DataFrame) -> DataFrame:
     """(arc) to (warc): the records of ARC files as WARC archives, equal payloads as revisits of the smallest page id.
 
-    The join is on digests alone: a digest and an id for each record go round, and come back as the
-    page to refer to.
+    Digests and ids are grouped first, copies combined before they move. Then records, not archives, meet the
+    first page of their digest: rows of a page's size, so that the join can be split where a page is very common.
     """
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for data in b.column(0).to_pylist():
-                rows = [(h["x-page-id"], hashlib.sha256(p).digest(), len(p)) for _, body in read_arc(data) for h, _, p in [http_parts(body)]]
-                cols = list(zip(*rows, strict=True)) or [(), (), ()]
-                yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), pa.array(cols[1], pa.binary()), pa.array(cols[2], pa.int64())], ["page", "digest", "n"])
+                rows = [(h.get("x-page-id"), hashlib.sha256(p).digest()) for _, body in read_arc(data) for h, _, p in [http_parts(body)] if len(p) >= REVISIT_BYTES]
+                pages, digests = zip(*rows, strict=True) if rows else ((), ())
+                yield pa.RecordBatch.from_arrays([pa.array(pages, pa.string()), pa.array(digests, pa.binary())], ["page", "digest"])
 
-    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def take_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for data, refs in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                own = {(x["page"], x["digest"]): x["ref"] for x in refs or []}
-                out = []
+            for data in b.column(0).to_pylist():
+                rows = []
                 for arc, body in read_arc(data):
-                    headers, _, payload = http_parts(body)
-                    out.append(warc_record(arc, body, own.get((headers["x-page-id"], hashlib.sha256(payload).digest()))))
-                yield pa.RecordBatch.from_arrays([pa.array([b"".join(out)], pa.binary())], ["warc"])
+                    h, _, p = http_parts(body)
+                    rows.append((h.get("x-page-id"), hashlib.sha256(p).digest() if len(p) >= REVISIT_BYTES else None, arc["URL"], arc["IP-address"], arc["Archive-date"], body))
+                cols = list(zip(*rows, strict=True)) or [()] * 6
+                kinds = [pa.string(), pa.binary(), pa.string(), pa.string(), pa.string(), pa.binary()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], ["page", "digest", "url", "ip", "date", "body"])
 
-    named = archive.select("arc", F.md5("arc").alias("file"))
-
-    def index_named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out, size = [], 0
         for b in batches:
-            files = b.column(1).to_pylist()
-            for i, out in enumerate(index(iter([b.select(["arc"])]))):
-                yield pa.RecordBatch.from_arrays([pa.array([files[i]] * out.num_rows, pa.string()), *out.columns], ["file", "page", "digest", "n"])
+            for url, ip, date, body, revisit, ref in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                out.append(warc_record({"URL": url, "IP-address": ip, "Archive-date": date}, body, revisit, ref))
+                size += len(out[-1])
+                if size >= ARCHIVE_BYTES:
+                    yield pa.RecordBatch.from_arrays([pa.array([b"".join(out)], pa.binary())], ["warc"])
+                    out, size = [], 0
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array([b"".join(out)], pa.binary())], ["warc"])
 
-    records = table(named.mapInArrow(index_named, "file string, page string, digest binary, n long"), "records")
     number = F.col("page").try_cast("long")
-    large = records.where(F.col("n") >= REVISIT_BYTES)
-    firsts = large.groupBy("digest").agg(F.min(F.struct(number.alias("number"), F.col("page").alias("ref"))).alias("first"), F.count("*").alias("times")).where("times > 1")
-    again = large.join(firsts, "digest").where(F.col("page") != F.col("first.ref"))
-    refs = again.groupBy("file").agg(F.collect_list(F.struct("page", "digest", F.col("first.ref").alias("ref"))).alias("refs"))
-    return named.join(refs, "file", "left").select("arc", "refs").mapInArrow(write, "warc binary")
+    firsts = archive.select("arc").mapInArrow(index, "page string, digest binary").groupBy("digest").agg(F.min(F.struct(number.alias("number"), F.col("page").alias("ref"))).alias("first"), F.count("*").alias("times"))
+    firsts = table(firsts.where("times > 1").select("digest", "first.ref", F.lit(True).alias("again")), "firsts")
+    rows = archive.select("arc").mapInArrow(take_out, "page string, digest binary, url string, ip string, date string, body binary")
+    rows = rows.join(firsts.hint("shuffle_hash"), "digest", "left")
+    revisit = F.coalesce("again", F.lit(False)) & ~F.col("page").eqNullSafe(F.col("ref"))
+    return rows.select("url", "ip", "date", "body", revisit.alias("revisit"), "ref").mapInArrow(write, "warc binary")
 
 
 def records(archive: DataFrame) -> DataFrame:
     """(warc) to a row for each record: page_id, payload_bytes, payload_digest, record_type, refers_to, target_uri, date, record_id."""
+    names = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "target_uri", "date", "record_id"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = lambda x: None if x in (None, "null") else int(x)
         for b in batches:
             for data in b.column(0).to_pylist():
                 rows = []
@@ -204,20 +212,19 @@ def records(archive: DataFrame) -> DataFrame:
                     digest = h["WARC-Payload-Digest"].removeprefix("sha256:")
                     if h["WARC-Type"] == "response" and (hashlib.sha256(payload).hexdigest() != digest or len(payload) != int(http["content-length"])):
                         raise ValueError("payload does not have its digest")
-                    rows.append((number(http["x-page-id"]), int(http["content-length"]), digest, h["WARC-Type"], number(h.get("X-Refers-To-Page")), h["WARC-Target-URI"], h["WARC-Date"], h["WARC-Record-ID"]))
+                    rows.append((http.get("x-page-id"), int(http["content-length"]), digest, h["WARC-Type"], h.get("X-Refers-To-Page"), h["WARC-Target-URI"], h["WARC-Date"], h["WARC-Record-ID"]))
                 cols = list(zip(*rows, strict=True)) or [()] * 8
-                kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.string()]
-                names = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "target_uri", "date", "record_id"]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names)
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64() if name == "payload_bytes" else pa.string()) for c, name in zip(cols, names, strict=True)], names)
 
-    return archive.mapInArrow(run, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, target_uri string, date string, record_id string")
+    return archive.mapInArrow(run, ", ".join(f"{x} {'long' if x == 'payload_bytes' else 'string'}" for x in names))
 
 
 def op10(spark, sf_dir: str) -> DataFrame:
     from twinspark.llm.common import read
 
     warcs = table(convert(table(arcs(read(spark, sf_dir, "pages")), "arc")), "warc")
-    return records(warcs).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    number = lambda c: F.col(c).cast("long").alias(c)
+    return records(warcs).select(number("page_id"), "payload_bytes", "payload_digest", "record_type", number("refers_to"))
 
 
 OP10_SQL = """
