@@ -6,16 +6,19 @@ repeats (an exact filter; the hashes go round, not the texts). What is left is c
 starting places that share that hash. Stretches of a hash meet in one task (trimmed there to
 starts whose whole string has a hash that comes twice, again an exact filter), where their suffixes are
 sorted to ``length`` bytes; the previous smaller and next smaller place in suffix order give each
-place its longest previous factor, and the mirrored pair its longest next one. A hash with very many
-stretches is no task's work: there each place goes by the 128-bit hash of its string and is
-counted by grouping, so copies combine before they move. Exact copies of a text are handled as one.
+place its longest previous factor, and the mirrored pair its longest next one. The stretches of a
+very common hash are no task's work. They are first cut to runs of starts whose whole string has a hash
+that comes twice in the corpus (the same exact filter, by grouping), and equal runs are counted as one
+before they move: what is left of a passage that many texts share are its few different runs, which meet
+in suffix order like any other stretches. Exact copies of a text are handled as one.
 
 ``keep='first'`` removes later copies only (texts in order of their smallest doc_id, then by place);
 ``keep='none'`` removes each copy.
 
 Edge cases: a null text counts as empty, texts shorter than ``length`` lose nothing; null ids sort
 first; repeated rows are copies of one another (with ``keep='first'`` all rows of the smallest id
-stay); an empty table gives an empty result; other columns pass through ``clean``.
+stay); an empty table gives an empty result; ids may be numbers or strings; other columns, whatever
+their names, pass through ``clean``.
 """
 
 from __future__ import annotations
@@ -25,15 +28,15 @@ from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from twinspark.shared import table
 
 LENGTH = 400
-HOT = 2000  #: stretches of a hash that one task compares
+HOT_BYTES = 1 << 20  #: bytes of a hash's stretches from which on they are cut and counted before they meet
 BATCH = 1 << 21  #: bytes that are sorted at once
 _BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 _M64 = (1 << 64) - 1
@@ -167,40 +170,45 @@ def _stretches(data: np.ndarray, length: int, values: np.ndarray) -> Iterator[tu
 
 
 def _hash_rows(docs: DataFrame, length: int) -> DataFrame:
-    """(value, a, b, n): the smallest hashes of a text, and whether one (1) or more (2) of its pieces have each."""
+    """(value, a, b, m): the smallest hashes of a text; twice the number of starts that have it, one more if more than one piece has it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            vs, ns, sizes = [], [], []
+            vs, ms, sizes = [], [], []
             for text in b.column(2).to_pylist():
                 h, least = least_hashes(np.frombuffer(text, np.uint8), length)
-                v = np.unique(least)
+                v, starts = np.unique(least, return_counts=True)
                 some = h[h <= v[-1]]
                 at = np.searchsorted(v, some)
                 n = np.bincount(at[v[at] == some], minlength=len(v))
                 vs.append(v.view(np.int64))
-                ns.append(np.minimum(n, 2).astype(np.int8))
+                ms.append(2 * starts + (n > 1))
                 sizes.append(len(v))
             if vs:
                 each = [np.repeat(b.column(i).to_numpy(), sizes) for i in (0, 1)]
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(vs)), *map(pa.array, each), pa.array(np.concatenate(ns))], ["value", "a", "b", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(vs)), *map(pa.array, each), pa.array(np.concatenate(ms).astype(np.int64))], ["value", "a", "b", "m"])
 
-    return docs.mapInArrow(run, "value long, a long, b long, n byte")
+    return docs.mapInArrow(run, "value long, a long, b long, m long")
 
 
 def _repeated(texts: DataFrame, length: int, keep: str) -> DataFrame:
     """(a, b, text, first) to (a, b, spans): merged removed ranges (start, end) of each text that has any; and the text."""
     rows = _hash_rows(texts.select("a", "b", "text"), length)
     # two texts have the value, or one text has it twice
-    values = rows.groupBy("value").agg(F.min("a").alias("a0"), F.max("a").alias("a1"), F.min("b").alias("b0"), F.max("b").alias("b1"), F.max("n").alias("n"), F.count("*").alias("rows"))
-    values = table(values.where("a0 <> a1 or b0 <> b1 or n > 1").select("value", (F.col("rows") > HOT).alias("hot")), "values")
+    values = rows.groupBy("value").agg(
+        F.min("a").alias("a0"), F.max("a").alias("a1"), F.min("b").alias("b0"), F.max("b").alias("b1"),
+        F.max(F.col("m").bitwiseAND(1)).alias("twice"), F.sum(F.shiftright("m", 1) + length).alias("bytes"),
+    )
+    values = table(values.where("a0 <> a1 or b0 <> b1 or twice = 1").select("value", (F.col("bytes") > HOT_BYTES).alias("hot")), "values")
     own = rows.join(values, "value").groupBy("a", "b").agg(F.collect_set(F.struct("value", "hot")).alias("values"))
     one = texts.groupBy("a", "b").agg(F.first("text").alias("text"), F.min("first").alias("first"))
     marked = table(one.join(own, ["a", "b"]), "marked")
+    id_ = texts.schema["first"].dataType
+    arrow_id = to_arrow_type(id_)
+    stretch = pa.schema([("value", pa.int64()), ("h", pa.int64()), ("first", arrow_id), ("a", pa.int64()), ("b", pa.int64()), ("start", pa.int32()), ("bytes", pa.binary())])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """A row for a stretch (with its bytes), or for each start of a stretch of a hot hash (with two hashes)."""
-        schema = pa.schema([("key", pa.int64()), ("key2", pa.int64()), ("first", pa.int64()), ("a", pa.int64()), ("b", pa.int64()), ("start", pa.int32()), ("bytes", pa.binary())])
+        """A row for a stretch (with its bytes), or for each start of a stretch of a hot value (with its string's hash)."""
         for batch in batches:
             for a, b, text, first, values in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
                 data = np.frombuffer(text, np.uint8)
@@ -208,18 +216,29 @@ def _repeated(texts: DataFrame, length: int, keep: str) -> DataFrame:
                 v = np.array([x[0] for x in pairs], np.uint64)
                 stretches = list(_stretches(data, length, v))
                 cold = [(p, q, i) for p, q, i in stretches if not pairs[i][1]]
-                hot = [np.arange(p, q + 1) for p, q, i in stretches if pairs[i][1]]
+                hot = [(p, q, i) for p, q, i in stretches if pairs[i][1]]
                 n = len(cold)
-                same = lambda x, n: pa.array([x] * n, pa.int64())
+                same = lambda x, n, kind=pa.int64(): pa.array([x] * n, kind)
                 if cold:
                     keys = v[[i for _, _, i in cold]].view(np.int64)
-                    yield pa.RecordBatch.from_arrays([pa.array(keys), same(None, n), same(first, n), same(a, n), same(b, n), pa.array([p for p, _, _ in cold], pa.int32()), pa.array([text[p : q + length] for p, q, _ in cold], pa.binary())], schema=schema)
+                    yield pa.RecordBatch.from_arrays([pa.array(keys), same(None, n), same(first, n, arrow_id), same(a, n), same(b, n), pa.array([p for p, _, _ in cold], pa.int32()), pa.array([text[p : q + length] for p, q, _ in cold], pa.binary())], schema=stretch)
                 if hot:
-                    at = np.concatenate(hot)
-                    hs = [window_hash(data, length, s)[at].view(np.int64) for s in (0, 1)]
-                    yield pa.RecordBatch.from_arrays([pa.array(hs[0]), pa.array(hs[1]), same(first, len(at)), same(a, len(at)), same(b, len(at)), pa.array(at.astype(np.int32)), pa.array([None] * len(at), pa.binary())], schema=schema)
+                    at = np.concatenate([np.arange(p, q + 1) for p, q, _ in hot])
+                    keys = np.repeat(v[[i for _, _, i in hot]], [q + 1 - p for p, q, _ in hot]).view(np.int64)
+                    n = len(at)
+                    yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(window_hash(data, length)[at].view(np.int64)), same(first, n, arrow_id), same(a, n), same(b, n), pa.array(at.astype(np.int32)), same(None, n, pa.binary())], schema=stretch)
 
-    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """(value, first, a, b, text, starts) to the runs of starts in a row, with their bytes."""
+        for batch in batches:
+            for value, first, a, b, text, starts in zip(*(batch.column(i).to_pylist() for i in range(6)), strict=True):
+                at = np.sort(np.array(starts, np.int64))
+                begin = at[np.r_[True, np.diff(at) > 1]]
+                end = at[np.r_[np.diff(at) > 1, True]]
+                n = len(begin)
+                yield pa.RecordBatch.from_arrays([pa.array([value] * n, pa.int64()), pa.array([first] * n, arrow_id), pa.array([a] * n, pa.int64()), pa.array([b] * n, pa.int64()), pa.array(begin.astype(np.int32)), pa.array([text[p : q + length] for p, q in zip(begin.tolist(), end.tolist(), strict=True)], pa.binary())], ["value", "first", "a", "b", "start", "bytes"])
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         size = 0
 
@@ -249,13 +268,13 @@ def _repeated(texts: DataFrame, length: int, keep: str) -> DataFrame:
                 out.append((*r[:4], r[4] + x, r[5][x : y + length]))
             return out
 
-        def flush(rows: list[tuple]) -> pd.DataFrame:
+        def flush(rows: list[tuple]) -> pa.RecordBatch:
             rows = trimmed(rows)
             if not rows:
-                return pd.DataFrame({"a": [], "b": [], "start": [], "stop": []}, dtype="int64")
+                return pa.RecordBatch.from_arrays([pa.array([], pa.int64())] * 4, ["a", "b", "start", "stop"])
             data, sizes, offset, piece, starts = gathered(rows)
             # places in the order of texts; the same place never comes twice
-            rank = np.lexsort((np.array([r[4] for r in rows]), np.array([r[3] for r in rows]), np.array([r[2] for r in rows]), np.array([r[1] for r in rows], float)))
+            rank = sorted(range(len(rows)), key=lambda i: (rows[i][1] is not None, rows[i][1] or type(rows[i][1])(), *rows[i][2:5]))
             turn = np.empty(len(rows), np.int64)
             turn[rank] = np.arange(len(rows))
             order, levels = suffix_order(data, starts, length)
@@ -277,28 +296,37 @@ def _repeated(texts: DataFrame, length: int, keep: str) -> DataFrame:
             stop = np.minimum(stop, ends)
             p = piece[edge]
             start = np.array([r[4] for r in rows])[p] + starts[edge] - offset[p]
-            return pd.DataFrame({"a": [rows[i][2] for i in p], "b": [rows[i][3] for i in p], "start": start, "stop": start + (stop - edge) - 1 + length})
+            return pa.RecordBatch.from_arrays([pa.array([rows[i][2] for i in p], pa.int64()), pa.array([rows[i][3] for i in p], pa.int64()), pa.array(start), pa.array(start + (stop - edge) - 1 + length)], ["a", "b", "start", "stop"])
 
         last = None
         for batch in batches:
-            for r in batch.itertuples(index=False, name=None):
+            for r in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if size >= BATCH and r[0] != last:
                     yield flush(held)
                     held, size = [], 0
                 last = r[0]
-                held.append((r[0], -float("inf") if r[2] is None or r[2] != r[2] else r[2], r[3], r[4], r[5], r[6]))
-                size += len(r[6])
+                held.append(r)
+                size += len(r[5])
         if held:
             yield flush(held)
 
-    parts = table(marked.select("a", "b", "text", "first", "values").mapInArrow(cut, "key long, key2 long, first long, a long, b long, start int, bytes binary"), "stretches")
-    cold = parts.where("bytes is not null").repartition("key").sortWithinPartitions("key").mapInPandas(compare, "a long, b long, start long, stop long")
-    hot = parts.where("bytes is null")
-    place = F.struct("first", "a", "b", "start")
-    count = hot.groupBy("key", "key2").agg(F.min(place).alias("least"), F.max(place).alias("most")).where("least <> most")
-    gone = hot.join(count, ["key", "key2"]).where(F.lit(True) if keep == "none" else place != F.col("least"))
-    found = cold.unionByName(gone.select("a", "b", F.col("start").cast("long").alias("start"), (F.col("start") + length).cast("long").alias("stop")))
-    spans = found.groupBy("a", "b").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
+    parts = table(marked.select("a", "b", "text", "first", "values").mapInArrow(cut, f"value long, h long, first {id_.simpleString()}, a long, b long, start int, bytes binary"), "stretches")
+    cols = ["value", "first", "a", "b", "start", "bytes"]
+    meet, again = parts.where("bytes is not null").select(cols), None
+    if not values.where("hot").isEmpty():
+        hot = parts.where("bytes is null")
+        twice = hot.groupBy("value", "h").agg(F.count("*").alias("n")).where("n > 1")
+        starts = hot.join(twice, ["value", "h"], "left_semi").groupBy("a", "b", "value").agg(F.min("first").alias("first"), F.collect_list("start").alias("starts"))
+        found = marked.select("a", "b", "text").join(starts, ["a", "b"]).select("value", "first", "a", "b", "text", "starts")
+        found = table(found.mapInArrow(runs, f"value long, first {id_.simpleString()}, a long, b long, start int, bytes binary"), "runs")
+        place = F.struct("first", "a", "b", "start")
+        each = table(found.groupBy("value", "bytes").agg(F.min(place).alias("least"), F.count("*").alias("copies")), "distinct-runs")
+        meet = meet.unionByName(each.select("value", "least.*", "bytes").select(cols))
+        again = found.join(each.where("copies > 1"), ["value", "bytes"]).where(F.lit(True) if keep == "none" else place != F.col("least"))
+        again = again.select("a", "b", F.col("start").cast("long").alias("start"), (F.col("start") + F.length("bytes")).cast("long").alias("stop"))
+    out = meet.repartition("value").sortWithinPartitions("value").mapInArrow(compare, "a long, b long, start long, stop long")
+    out = out if again is None else out.unionByName(again)
+    spans = out.groupBy("a", "b").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
     return marked.select("a", "b", "text").join(spans, ["a", "b"])
 
 
@@ -332,7 +360,7 @@ def repeats(docs: DataFrame, length: int = LENGTH, keep: str = "first") -> tuple
     copies = rows.groupBy("a", "b").agg(F.count("*").alias("copies"), F.min(F.struct("doc_id")).alias("first"))
     again = (F.col("copies") > 1) if keep == "none" else ~F.col("doc_id").eqNullSafe(F.col("first.doc_id"))
     out = rows.join(copies, ["a", "b"]).withColumn("gone", (F.col("n_bytes") >= length) & again)
-    found = _repeated(named.where(F.length("text") >= length).withColumn("first", F.col("doc_id").cast("long")), length, keep)
+    found = _repeated(named.where(F.length("text") >= length).withColumnRenamed("doc_id", "first"), length, keep)
     return out.drop("copies", "first"), _kept(found)
 
 
@@ -340,12 +368,12 @@ def clean(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """``docs`` with later copies cut out of ``text`` (bytes that no longer form a character become U+FFFD)."""
     _, parts = repeats(docs.select("doc_id", "text"), length, "first")
     text = F.coalesce(F.col("text"), F.lit(""))
-    keyed = docs.withColumns({"_sa": F.xxhash64(text), "_sb": F.xxhash64(F.lit(7), text)})
-    copies = keyed.groupBy("_sa", "_sb").agg(F.min(F.struct("doc_id")).alias("_first"))
-    kept = parts.select(F.col("a").alias("_sa"), F.col("b").alias("_sb"), F.decode("kept", "utf-8").alias("_kept"))
-    out = keyed.join(copies, ["_sa", "_sb"]).join(kept, ["_sa", "_sb"], "left")
-    later = (F.octet_length("text") >= length) & ~F.col("doc_id").eqNullSafe(F.col("_first.doc_id"))
-    return out.withColumn("text", F.when(later, "").otherwise(F.coalesce("_kept", "text"))).select(docs.columns)
+    keyed = docs.select(F.struct("*").alias("doc"), F.xxhash64(text).alias("a"), F.xxhash64(F.lit(7), text).alias("b"))
+    copies = keyed.groupBy("a", "b").agg(F.min(F.struct("doc.doc_id")).alias("first"))
+    out = keyed.join(copies, ["a", "b"]).join(parts.select("a", "b", F.decode("kept", "utf-8").alias("kept")), ["a", "b"], "left")
+    later = (F.octet_length("doc.text") >= length) & ~F.col("doc.doc_id").eqNullSafe(F.col("first.doc_id"))
+    text = F.when(later, "").otherwise(F.coalesce("kept", "doc.text")).alias("text")
+    return out.select(*[text if c == "text" else F.col("doc")[c].alias(c) for c in docs.columns])
 
 
 def op6(spark, sf_dir: str) -> DataFrame:
