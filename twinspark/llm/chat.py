@@ -1,9 +1,11 @@
 """Chat formatting by event-sourced reconstruction.
 
-A log holds events of conversations: ``delta`` appends streamed text to a turn, ``edit`` replaces the
-turn's text, ``regenerate`` throws away what the turn has so far. Events are partitioned by
-conversation and turn and sorted by sequence; everything before a turn's last edit or regeneration is
-void, and what follows is concatenated. Messages are then rendered as
+A log holds the events of conversations, each conversation with one sequence of numbers: ``delta``
+appends streamed text to a message, ``edit`` replaces the message's text, ``regenerate`` throws away
+what the message has so far, and what messages after it have. The log is partitioned by conversation
+and sorted by sequence; an event counts if no regeneration of its own or an earlier message and no edit
+of its own follows, and what counts is concatenated. Messages without such events are gone. The rest
+are rendered as
 
     ### role: text</turn>
 
@@ -11,9 +13,13 @@ with every backslash, ``#``, ``<`` and (in roles) ``:`` of the contents written
 letter, so that no content can look like the template; ``read_back`` undoes it exactly. The loss mask
 is the list of places of the assistants' texts in the rendered string.
 
+Events are put together by message first, so that a long conversation is many rows; places in the
+rendered string are running sums over its messages.
+
 Edge cases: null texts are empty, a null role is the empty role; a null conversation is one of its
 own, a null turn comes first; rows of the same turn are messages of their own, by role and then text;
-a conversation without events doesn't come back; an empty table gives an empty result.
+a conversation without events doesn't come back; ids may be numbers or strings; an empty table gives an
+empty result; other columns don't matter.
 """
 
 from __future__ import annotations
@@ -22,8 +28,8 @@ import hashlib
 import re
 from collections.abc import Iterator
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 CHUNK = 240  #: characters of a streamed delta
@@ -42,12 +48,14 @@ def unescape(text: str) -> str:
 
 
 def messages(events: DataFrame) -> DataFrame:
-    """(conv_id, turn, part, role, seq, kind, text) to (conv_id, turn, part, role, text): each message folded from its events."""
+    """(conv_id, seq, turn, part, role, kind, text) to (conv_id, turn, part, role, text): the log folded to messages; ``seq`` is unique in a conversation."""
     key = ["conv_id", "turn", "part", "role"]
     event = F.struct("seq", "kind", F.coalesce("text", F.lit("")).alias("text"))
-    log = F.array_sort(F.collect_list(event))
-    rows = events.groupBy(*key).agg(log.alias("log"), F.max(F.when(F.col("kind") != "delta", F.col("seq"))).alias("void"))
-    live = F.filter("log", lambda e: F.col("void").isNull() | (e["seq"] > F.col("void")) | ((e["seq"] == F.col("void")) & (e["kind"] == "edit")))
+    last = lambda kind: F.max(F.when(F.col("kind") == kind, F.col("seq")))
+    rows = events.groupBy(*key).agg(F.array_sort(F.collect_list(event)).alias("log"), F.max("seq").alias("end"), last("regenerate").alias("void"), last("edit").alias("edit"))
+    upto = Window.partitionBy("conv_id").orderBy("turn", "part").rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumn("void", F.coalesce(F.max("void").over(upto), F.lit(-1))).where("end >= void")
+    live = F.filter("log", lambda e: (e["seq"] > F.col("void")) & (F.col("edit").isNull() | (e["seq"] >= F.col("edit"))))
     return rows.select(*key, F.array_join(F.transform(live, lambda e: e["text"]), "").alias("text"))
 
 
@@ -55,23 +63,14 @@ def render(rows: DataFrame) -> DataFrame:
     """Messages to (conv_id, formatted, mask): the template's text, and (start, length) of what the loss counts, in characters."""
     role, text = F.coalesce("role", F.lit("")), F.coalesce("text", F.lit(""))
     head = F.concat(F.lit("### "), escape(role, True), F.lit(": "))
-    own = rows.select("conv_id", F.struct("turn", "part", head.alias("head"), escape(text).alias("body"), (role == "assistant").alias("loss")).alias("m"))
-    return own.groupBy("conv_id").agg(F.array_sort(F.collect_list("m")).alias("ms")).mapInPandas(_join, "conv_id long, formatted string, mask array<struct<start:long,length:long>>")
-
-
-def _join(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for b in batches:
-        formatted, masks = [], []
-        for ms in b["ms"]:
-            out, at, mask = [], 0, []
-            for m in ms:
-                if m["loss"]:
-                    mask.append({"start": at + len(m["head"]), "length": len(m["body"])})
-                out += [m["head"], m["body"], END]
-                at += len(m["head"]) + len(m["body"]) + len(END)
-            formatted.append("".join(out))
-            masks.append(mask)
-        yield pd.DataFrame({"conv_id": b["conv_id"].astype("Int64"), "formatted": formatted, "mask": masks})
+    own = rows.select("conv_id", "turn", "part", head.alias("head"), escape(text).alias("body"), (role == "assistant").alias("loss"))
+    before = Window.partitionBy("conv_id").orderBy("turn", "part").rowsBetween(Window.unboundedPreceding, -1)
+    size = F.length("head") + F.length("body") + len(END)
+    own = own.withColumn("start", F.coalesce(F.sum(size).over(before), F.lit(0)) + F.length("head"))
+    told = F.struct("turn", "part", "loss", "start", F.length("body").cast("long").alias("length"), F.concat("head", "body", F.lit(END)).alias("whole"))
+    ms = own.groupBy("conv_id").agg(F.array_sort(F.collect_list(told)).alias("ms"))
+    mask = F.transform(F.filter("ms", lambda m: m["loss"]), lambda m: F.struct(m["start"].alias("start"), m["length"].alias("length")))
+    return ms.select("conv_id", F.array_join(F.transform("ms", lambda m: m["whole"]), "").alias("formatted"), mask.alias("mask"))
 
 
 def read_back(formatted: str) -> list[tuple[str, str]]:
@@ -85,38 +84,38 @@ def read_back(formatted: str) -> list[tuple[str, str]]:
 
 def digests(rendered: DataFrame) -> DataFrame:
     """What the rendered strings hold, read back from them."""
+    names = ["n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
         for b in batches:
             rows = []
-            for conv, text, mask in zip(b["conv_id"].astype("Int64"), b["formatted"], b["mask"], strict=True):
+            for text, mask in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
                 turns = read_back(text)
                 loss = "".join(unescape(text[m["start"] : m["start"] + m["length"]]) for m in mask)
-                sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
-                rows.append((conv, len(turns), sha("".join(f"{r}\n{t}\n" for r, t in turns)), len(loss), sha(loss), len(text)))
-            out = pd.DataFrame(rows, columns=["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"])
-            yield out.astype({"conv_id": "Int64"})
+                rows.append((len(turns), sha("".join(f"{r}\n{t}\n" for r, t in turns)), len(loss), sha(loss), len(text)))
+            cols = list(zip(*rows, strict=True)) or [()] * 5
+            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(c, pa.string() if "sha" in n else pa.int64()) for c, n in zip(cols, names, strict=True))], ["conv_id", *names])
 
-    return rendered.mapInPandas(run, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
+    kind = rendered.schema["conv_id"].dataType.simpleString()
+    return rendered.select("conv_id", "formatted", "mask").mapInArrow(run, f"conv_id {kind}, " + ", ".join(f"{n} {'string' if 'sha' in n else 'long'}" for n in names))
 
 
 def as_events(conversations: DataFrame) -> DataFrame:
     """A log that a chat service could have written for these messages: streamed deltas, every third message
-    regenerated after a false start, every fifth typed first and then edited."""
-    text = F.coalesce("text", F.lit(""))
-    rows = conversations.select("conv_id", "turn", F.col("role"), text.alias("text")).withColumn("n", F.length("text"))
-    same = rows.groupBy("conv_id", "turn", "role", "text", "n").agg(F.count("*").alias("times"))
-    rows = same.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "times")))
-    # messages of one turn are told apart by role, text and copy
-    rows = rows.withColumn("part", F.concat_ws("\x01", F.coalesce("role", F.lit("")), F.md5("text"), F.lpad(F.col("copy").cast("string"), 9, "0")))
+    regenerated after a false start, every fifth typed first and then edited; numbered through each conversation."""
+    rows = conversations.select("conv_id", "turn", "role", F.coalesce("text", F.lit("")).alias("text"))
+    number = F.row_number().over(Window.partitionBy("conv_id").orderBy("turn", F.coalesce("role", F.lit("")), F.md5("text"))).cast("long")
+    rows = rows.withColumn("part", number)
     ev = lambda seq, kind, t: F.struct(F.lit(seq).cast("long").alias("seq"), F.lit(kind).alias("kind"), t.alias("text"))
     h = F.pmod(F.xxhash64("conv_id", "turn", "part"), F.lit(15))
     false_start = F.array(ev(0, "delta", F.substring("text", 1, 40)), ev(1, "delta", F.lit(" ...")), ev(2, "regenerate", F.lit("")))
     none = F.array().cast("array<struct<seq:bigint,kind:string,text:string>>")
-    deltas = F.transform(F.sequence(F.lit(0), F.ceil((F.col("n") + 1) / CHUNK).cast("int") - 1), lambda i: F.struct((i + 10).cast("long").alias("seq"), F.lit("delta").alias("kind"), F.substr("text", i * CHUNK + 1, F.lit(CHUNK)).alias("text")))
+    deltas = F.transform(F.sequence(F.lit(0), F.ceil((F.length("text") + 1) / CHUNK).cast("int") - 1), lambda i: F.struct((i + 10).cast("long").alias("seq"), F.lit("delta").alias("kind"), F.substr("text", i * CHUNK + 1, F.lit(CHUNK)).alias("text")))
     edited = F.array(ev(10, "delta", F.lit("draft")), ev(11, "edit", F.col("text")))
     log = F.concat(F.when(h % 3 == 0, false_start).otherwise(none), F.when(h % 5 == 0, edited).otherwise(deltas))
-    return rows.withColumn("e", F.explode(log)).select("conv_id", "turn", "part", "role", "e.seq", "e.kind", "e.text")
+    seq = F.shiftleft("part", 32) + F.col("e.seq")
+    return rows.withColumn("e", F.explode(log)).select("conv_id", seq.alias("seq"), "turn", "part", "role", "e.kind", "e.text")
 
 
 def op9(spark, sf_dir: str) -> DataFrame:
