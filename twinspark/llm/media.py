@@ -8,6 +8,9 @@ checksums and continuity counters, reassembles the PES packets and lists time st
 random-access points. Work is done row by row where the row is; numpy fills and reads all packets of
 a row at once.
 
+``op5`` writes the streams to the shared folder and computes everything from what it reads there, time
+stamps (90 kHz) and packets of random-access points included.
+
 Edge cases: a null or empty text is one padded unit of 576 bytes; equal texts give equal streams;
 damaged streams raise ValueError, but lost packets are counted; an empty table gives an empty result;
 repeated rows and null ids are kept.
@@ -25,6 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from twinspark.shared import table
+
 UNIT = 576
 PACKET, BODY = 188, 184
 PES_UNITS = 16  #: units of 576 bytes in a full PES packet
@@ -201,4 +206,4 @@ NAMES = ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "
 def op5(spark, sf_dir: str) -> DataFrame:
     from twinspark.llm.common import read
 
-    return features(encode(read(spark, sf_dir, "documents"))).select(NAMES[:8])
+    return features(table(encode(read(spark, sf_dir, "documents")), "media"))
