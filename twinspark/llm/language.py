@@ -6,11 +6,12 @@ transitions tie neighbours, so that single words of another language don't flip,
 code do. Forward-backward gives each word the probability of each language; a text's language is the
 one with the most expected words.
 
-Training takes a bounded sample: about ``SAMPLE`` texts of each language, chosen by a hash of the id,
-and of each some windows at random places, half of them spliced from two languages so that the
-transitions see switches. Prediction reads whole texts, in chains of ``CHAIN`` words.
+Training takes a bounded sample of labelled rows: about ``SAMPLE`` texts of each language, or ``TEXTS``
+in all if there are very many languages, chosen by a hash of the id. Of each some windows at random places
+are cut where the text is, half of them later spliced from two languages so that the transitions see
+switches. Every language is learned. Prediction reads whole texts, in chains of ``CHAIN`` words.
 
-Edge cases: null texts and texts without letters are ``und`` with score 0; rows without a language
+Edge cases: letters are those of Unicode's letter categories; null texts and texts without letters are ``und`` with score 0; rows without a language
 are not learned from; without any labelled row every text is ``und``; repeated rows and null ids are
 kept; an empty table gives an empty result.
 """
@@ -18,6 +19,8 @@ kept; an empty table gives an empty result.
 from __future__ import annotations
 
 import re
+import sys
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,22 +31,25 @@ from pyspark.sql import functions as F
 from twinspark.llm.common import crc_mod
 
 SAMPLE = 300  #: texts of a language that are learned from
-LANGUAGES = 256  #: most languages that can be learned
+TEXTS = 60_000  #: texts that are learned from, of all languages
 WINDOWS = 6  #: windows of a text that are learned from
 CHAIN = 48  #: words of a chain
-WEIGHTS = 1 << 17
+WEIGHTS = 1 << 17  #: of a language; fewer if all would be over TABLE
+TABLE = 1 << 25
+BATCH = 1024  #: windows at once in training
 CACHE = 400_000  #: words whose potentials a worker keeps
 ROUNDS = 40
 SEED = 11
-_WORDS = re.compile(r"[^\W\d_]+")
+_ODD = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not c.isalpha() and not c.isdecimal())  # numbers that aren't digits
+_WORDS = re.compile(rf"[^\W\d_{re.escape(_ODD)}]+")
 
 
 def split(text: str | None) -> list[str]:
     return _WORDS.findall((text or "").lower())
 
 
-def word_features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Numbers of the weights of all words, and the word that each belongs to.
+def word_features(words: list[str], weights: int = WEIGHTS) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of the weights (of so many) of all words, and the word that each belongs to.
 
     The UTF-8 form is put in <>, so that byte n-grams of two to four also are affixes.
     """
@@ -66,7 +72,7 @@ def word_features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         whole = np.add.reduceat(data * powers[place], begin)
         flat.append((whole ^ (whole >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(40))
         owners.append(np.arange(len(words)))
-    return (np.concatenate(flat) % np.uint64(WEIGHTS)).astype(np.int64), np.concatenate(owners)
+    return (np.concatenate(flat) % np.uint64(weights)).astype(np.int64), np.concatenate(owners)
 
 
 def potentials(weights: np.ndarray, flat: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
@@ -108,24 +114,26 @@ class Crf:
     def __init__(self, langs: list[str]):
         k = len(langs)
         self.langs = langs
-        self.w = np.zeros((WEIGHTS, k), np.float32)
+        size = WEIGHTS
+        while size > 4096 and size * k > TABLE:
+            size //= 2
+        self.w = np.zeros((size, k), np.float32)
         self.trans = np.zeros((k, k), np.float32)
         self.start = np.zeros(k, np.float32)
 
-    def fit(self, texts: list[tuple[str, list[str]]]) -> Crf:
+    def fit(self, windows: list[tuple[str, list[str]]]) -> Crf:
         """(language, words) by Adam on the likelihood of windows."""
         rng = np.random.default_rng(SEED)
         k, number = len(self.langs), {x: i for i, x in enumerate(self.langs)}
         ids: dict[str, int] = {}
         pieces = []
-        for lang, words in texts:
-            for _ in range(WINDOWS):
-                at = int(rng.integers(0, max(1, len(words) - CHAIN + 1)))
-                part = [ids.setdefault(w, len(ids)) for w in words[at : at + CHAIN]]
-                if part:
-                    pieces.append((part, [number[lang]] * len(part)))
+        for lang, words in windows:
+            part = [ids.setdefault(w, len(ids)) for w in words[:CHAIN]]
+            if part:
+                pieces.append((part, [number[lang]] * len(part)))
         if not pieces:
             return self
+        pieces = [pieces[i] for i in rng.permutation(len(pieces))]
         other = rng.permutation(len(pieces))
         for i in range(0, len(pieces) - 1, 2):  # splices
             (x, y), (u, v) = pieces[i], pieces[int(other[i])]
@@ -135,11 +143,8 @@ class Crf:
         x, y, there = np.zeros((n, CHAIN), np.int64), np.zeros((n, CHAIN), np.int64), np.zeros((n, CHAIN), bool)
         for i, (a, b) in enumerate(pieces):
             x[i, : len(a)], y[i, : len(a)], there[i, : len(a)] = a, b, True
-        flat, owner = word_features(list(ids))
+        flat, owner = word_features(list(ids), len(self.w))
         used, flat = np.unique(flat, return_inverse=True)
-        gold = np.zeros((n, CHAIN, k), np.float32)
-        np.put_along_axis(gold, y[:, :, None], 1, 2)
-        gold *= there[:, :, None]
         both = there[:, 1:] & there[:, :-1]
         pairs_gold = np.zeros((k, k))
         np.add.at(pairs_gold, (y[:, :-1][both], y[:, 1:][both]), 1)
@@ -148,13 +153,19 @@ class Crf:
         words = max(1, int(there.sum()))
         for step in range(1, ROUNDS + 1):
             e = potentials(theta[0], flat, owner, len(ids))
-            out, pairs, _ = forward_backward(e[x], theta[1], theta[2], there)
-            diff = (gold - out * there[:, :, None]).reshape(-1, k)
-            word = np.stack([np.bincount(x.ravel(), diff[:, j], len(ids)) for j in range(k)], 1)
+            word, pairs, first = np.zeros((len(ids), k)), np.zeros((k, k)), np.zeros(k)
+            for b in range(0, n, BATCH):
+                xb, on = x[b : b + BATCH], there[b : b + BATCH]
+                diff, own, _ = forward_backward(e[xb], theta[1], theta[2], on)
+                pairs += own
+                diff *= np.where(on, -1, 0).astype(diff.dtype)[:, :, None]
+                np.put_along_axis(diff, y[b : b + BATCH, :, None], np.take_along_axis(diff, y[b : b + BATCH, :, None], 2) + on[:, :, None], 2)
+                first += diff[:, 0].sum(0)
+                word += np.stack([np.bincount(xb.ravel(), diff[:, :, j].ravel(), len(ids)) for j in range(k)], 1)
             grad = [
                 np.stack([np.bincount(flat, word[owner, j], len(used)) for j in range(k)], 1) / words - 1e-6 * theta[0],
                 (pairs_gold - pairs) / words - 1e-4 * theta[1],
-                (gold[:, 0] - out[:, 0] * there[:, :1]).sum(0) / words - 1e-4 * theta[2],
+                first / words - 1e-4 * theta[2],
             ]
             for i, g in enumerate(grad):
                 m[i] = 0.9 * m[i] + 0.1 * g
@@ -180,7 +191,7 @@ class Tagger:
             first = len(rows)
             while first + len(new) > len(self.e):
                 self.e = np.concatenate([self.e, np.zeros_like(self.e)])
-            self.e[first : first + len(new)] = potentials(self.crf.w, *word_features(new), len(new))
+            self.e[first : first + len(new)] = potentials(self.crf.w, *word_features(new, len(self.crf.w)), len(new))
             rows.update(zip(new, range(first, first + len(new)), strict=True))
         return np.fromiter(map(rows.__getitem__, words), np.int64, len(words))
 
@@ -213,17 +224,32 @@ class Tagger:
         np.add.at(out, np.repeat([d for d, _ in held], chains), each)
 
 
+def windows(text: str) -> list[list[str]]:
+    """Some windows of a text at places that the text itself seeds."""
+    words, rng = split(text), np.random.default_rng(zlib.crc32(text.encode()))
+    at = [int(rng.integers(0, max(1, len(words) - CHAIN + 1))) for _ in range(WINDOWS)]
+    return [words[i : i + CHAIN] for i in at if words]
+
+
 def learn(rows: DataFrame, sample: int = SAMPLE) -> Crf:
-    """``rows``: (doc_id, text, lang). Languages with the most rows come first if there are more than LANGUAGES."""
+    """``rows``: (doc_id, text, lang). The driver gets six windows of each sampled text, whatever its length."""
     told = rows.where("lang is not null and text is not null")
-    counts = {r.lang: r.n for r in told.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()}
+    counts = {r.lang: r.n for r in told.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     crf = Crf(sorted(counts))
     if not counts:
         return crf
-    share = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, min(1.0, sample / n))])
-    chosen = F.pmod(F.xxhash64(F.lit(SEED), "doc_id", F.length("text")), F.lit(1 << 20)) < F.element_at(share, F.col("lang")) * (1 << 20)
-    taken = told.where(chosen).select("lang", "text").limit(2 * sample * len(counts)).collect()
-    return crf.fit(sorted((r.lang, split(r.text)) for r in taken))
+    most = max(1, min(sample, TEXTS // len(counts)))
+    share = told.sparkSession.createDataFrame([(k, min(1.0, most / n)) for k, n in counts.items()], "lang string, share double")
+    draw = F.pmod(F.xxhash64(F.lit(SEED), "doc_id", F.length("text")), F.lit(1 << 20))
+    chosen = told.join(F.broadcast(share), "lang").where(draw < F.col("share") * (1 << 20)).select("lang", "text")
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            own = [(lang, w) for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True) for w in windows(text)]
+            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in own], pa.string()), pa.array([x[1] for x in own], pa.list_(pa.string()))], ["lang", "words"])
+
+    taken = chosen.mapInArrow(cut, "lang string, words array<string>").toArrow().to_pylist()
+    return crf.fit(sorted((r["lang"], r["words"]) for r in taken))
 
 
 def predict(docs: DataFrame, crf: Crf) -> DataFrame:
