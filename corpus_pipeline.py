@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from twinspark.llm import decontaminate, lines, mixing, quality, simhash
-from twinspark.llm.common import read
+from twinspark.llm.common import free_name, read
 from twinspark.shared import ship, table
 
 
@@ -30,7 +30,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops boilerplate lines; every document stays, if need be with an empty text."""
-    return _counted(lines.line_dedup(docs), docs)
+    return _counted(lines.line_dedup(docs, into=free_name(docs, "lines")), docs)
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,7 +41,7 @@ def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cuts passages of the benchmark out of the texts; texts without any stay byte for byte."""
-    return _counted(decontaminate.scan(docs, read(ship(spark), sf_dir, "benchmark"), clean=True), docs)
+    return _counted(decontaminate.scan(docs, read(ship(spark), sf_dir, "benchmark"), clean=True, into=free_name(docs, "found")), docs)
 
 
 def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -201,24 +201,25 @@ FOUND = T.StructType([
 _FOUND = pa.struct([("n_words", pa.int64()), ("spans", pa.list_(pa.struct([("first", pa.int64()), ("words", pa.int64())]))), ("items", pa.list_(pa.string()))])
 
 
-def _blocks(benchmark: DataFrame, limit: int) -> Iterator[list[tuple[str, bytes]]]:
-    """The items in blocks of about ``limit`` bytes; each is collected by itself."""
+def _blocks(benchmark: DataFrame, limit: int) -> tuple[int, Iterator[list[tuple[str, bytes]]]]:
+    """How many blocks of about ``limit`` bytes the items make, and the blocks; each is collected when its turn comes."""
     items = benchmark.where("text is not null").select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("i"), F.col("text").cast("binary").alias("t"))
     total = items.agg(F.sum(F.length("t") + 16)).first()[0] or 0
     n = -(-total // limit) or 1
-    for k in range(n):
-        yield [(r.i, bytes(r.t)) for r in items.where(F.pmod(F.xxhash64("t", "i"), F.lit(n)) == k).collect()]
+    return n, ([(r.i, bytes(r.t)) for r in items.where(F.pmod(F.xxhash64("t", "i"), F.lit(n)) == k).collect()] for k in range(n))
 
 
-def scan(docs: DataFrame, benchmark: DataFrame, keep: list[str] | None = None, window: int = WINDOW, clean: bool = False, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """``docs`` (only the columns ``keep``, if given) and ``found``: word count, merged spans and item ids.
+def scan(docs: DataFrame, benchmark: DataFrame, keep: list[str] | None = None, window: int = WINDOW, clean: bool = False, block_bytes: int = BLOCK_BYTES, into: str = "found") -> DataFrame:
+    """``docs`` (only the columns ``keep``, if given) and, in the struct ``into``, word count, merged spans and item ids.
 
     ``clean``: ``text`` comes back without the spans; texts without a hit stay byte for byte.
+    A column of the input that is called like ``into`` gives way to it.
     """
     spark = docs.sparkSession
-    sets = list(_blocks(benchmark, block_bytes))
-    last = len(sets) - 1
-    carried = [F.col(c) for c in (keep or docs.columns) if not (clean and c == "text")]  # besides the text, only these go to Python
+    n, sets = _blocks(benchmark, block_bytes)
+    last = n - 1
+    names = [c for c in keep or docs.columns if c.lower() != into.lower()]
+    carried = [F.col(f"`{c}`") for c in names if not (clean and c == "text")]  # besides the text, only these go to Python
     out = docs.select(F.struct(*carried or [F.lit(0).alias("none")]).alias("d"), F.col("text").cast("binary").alias("b"), F.lit(None).cast(FOUND).alias("found"))
     for k, items in enumerate(sets):
         shared = spark.sparkContext.broadcast(Phrases(items, window))
@@ -255,9 +256,8 @@ def scan(docs: DataFrame, benchmark: DataFrame, keep: list[str] | None = None, w
                 yield from flush(held)
 
         out = out.mapInArrow(run, out.schema)
-    names = keep or docs.columns
     text = F.col("b").cast("string").alias("text")
-    return out.select(*[text if clean and c == "text" else F.col("d").getField(c).alias(c) for c in names], "found")
+    return out.select(*[text if clean and c == "text" else F.col("d").getField(c).alias(c) for c in names], F.col("found").alias(into))
 
 
 def op8(spark, sf_dir: str) -> DataFrame:

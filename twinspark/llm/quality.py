@@ -23,8 +23,9 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from twinspark.llm.common import crc_mod
+from twinspark.llm.common import crc_mod, free_name
 from twinspark.shared import table
 
 DIMENSIONS = 160
@@ -180,28 +181,35 @@ def score(x: DataFrame, model: Model) -> DataFrame:
     return x.mapInPandas(run, ", ".join([*kinds, "score double"]))
 
 
-def learned(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, Model]:
-    """Statistics of all texts, and the model of the labels whose crc32 of the id, modulo 5, is not 0."""
-    x = table(stats(docs), "stats")
+def learned(x: DataFrame, labels: DataFrame) -> Model:
+    """The model of the labels whose crc32 of the id, modulo 5, is not 0."""
     fold = crc_mod("doc_id", FOLDS + 1)
-    return x, fit(x, labels.where(fold != 0).select("doc_id", F.col("quality").alias("y"), (fold - 1).alias("fold")))
+    return fit(x, labels.where(fold != 0).select("doc_id", F.col("quality").alias("y"), (fold - 1).alias("fold")))
 
 
 def filter_quality(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` whose text scores ``threshold`` or more."""
-    _, model = learned(docs.select("doc_id", "text"), labels)
+    """The rows of ``docs`` whose text scores ``threshold`` or more; each text is parsed once, its statistics stored beside it."""
+    name = free_name(docs, "x")
+    text = docs.columns.index("text")
 
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            x = np.array([statistics(t.encode() if t else b"") for t in b.column(at).to_pylist()]).reshape(-1, len(STATS))
-            yield b.filter(pa.array(model.score(x) >= threshold)) if b.num_rows else b
+            x = np.array([statistics(t) for t in b.column(text).cast(pa.binary()).to_pylist()]).reshape(-1, len(STATS))
+            listed = pa.ListArray.from_arrays(np.arange(0, x.size + 1, len(STATS), dtype=np.int32), pa.array(x.ravel()))
+            yield pa.RecordBatch.from_arrays([*b.columns, listed], [*b.schema.names, name])
+
+    rows = table(docs.mapInArrow(add, T.StructType([*docs.schema.fields, T.StructField(name, T.ArrayType(T.DoubleType()))])), "scored")
+    model = learned(rows.select("doc_id", F.col(name).alias("x")), labels)
+
+    @F.pandas_udf("double")
+    def scored(x: pd.Series) -> pd.Series:
+        return pd.Series(model.score(np.stack(x)) if len(x) else np.zeros(0))
 
-    at = docs.columns.index("text")
-    return docs.mapInArrow(keep, docs.schema)
+    return rows.where(scored(name) >= threshold).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op4(spark, sf_dir: str) -> DataFrame:
     from twinspark.llm.common import read
 
-    x, model = learned(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
-    return score(x, model).select("doc_id", (crc_mod("doc_id", FOLDS + 1) == 0).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
+    x = table(stats(read(spark, sf_dir, "documents")), "stats")
+    return score(x, learned(x, read(spark, sf_dir, "labels"))).select("doc_id", (crc_mod("doc_id", FOLDS + 1) == 0).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
