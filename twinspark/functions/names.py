@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -30,9 +32,23 @@ def source_prefix(who: Column) -> Column:
     return F.regexp_replace(who, "_[^_]*$", "")
 
 
+def _plain(path: str) -> str:
+    return re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?/*", "/", path).rstrip("/")
+
+
+def relative(path: Column, root: str) -> Column:
+    """The path below ``root``; scheme and host count for neither."""
+    return F.substr(F.regexp_replace(path, r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?/*", "/"), F.lit(len(_plain(root)) + 2))
+
+
 def top_folder(path: Column, root: str) -> Column:
     """The first segment below ``root``."""
-    return F.split(F.substr(path, F.lit(len(root.rstrip("/")) + 2)), "/")[0]
+    return F.split(relative(path, root), "/")[0]
+
+
+def path_parts(path: Column) -> Column:
+    """Sorts as paths do, part by part."""
+    return F.split(path, "/")
 
 
 def priority(dataset: Column, order: list[str], prefix: str = "") -> Column:
@@ -42,6 +58,60 @@ def priority(dataset: Column, order: list[str], prefix: str = "") -> Column:
     return F.when(at < 0, len(order)).otherwise(at)
 
 
+def two_lists(first: list[str], then: list[str]) -> list[str]:
+    """An order of priority for ``priority``: one list after the other, each name at its first place."""
+    return list(dict.fromkeys([*first, *then]))
+
+
+def person_of_cluster(cluster: Column) -> Column:
+    return F.concat(F.lit("cluster_"), cluster.cast("string"))
+
+
+def cluster_of_person(person: Column) -> Column:
+    """The inverse of ``person_of_cluster``; null if the text is none."""
+    return F.replace(person, F.lit("cluster_"), F.lit("")).try_cast("long")
+
+
+def cache_key(dataset: Column, name: Column) -> Column:
+    """The file name under which merged sets keep an image."""
+    return F.concat_ws("_", dataset, name)
+
+
+def image_name(number: Column) -> Column:
+    return F.format_string("img_%05d.jpg", number.cast("long"))
+
+
+def sequence_name(number: Column) -> Column:
+    return F.format_string("%05d.jpg", number.cast("long"))
+
+
+def box_area(box: Column) -> Column:
+    """Of (left, top, right, bottom); never below 0."""
+    side = lambda a, b: F.greatest(F.lit(0.0), (box[b] - box[a]).cast("double"))
+    return side(0, 2) * side(1, 3)
+
+
+def largest_box(boxes: Column) -> Column:
+    """Place, from 0, of the box with the largest area in an array of boxes; the first of equals, null if there is none."""
+    areas = F.transform(boxes, box_area)
+    return F.when(F.size(boxes) > 0, F.array_position(areas, F.array_max(areas)).cast("int") - 1)
+
+
+def escaped_html(c: Column) -> Column:
+    for plain, entity in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;"), ("'", "&#39;")):
+        c = F.replace(c, F.lit(plain), F.lit(entity))
+    return c
+
+
+def file_url(path: Column) -> Column:
+    return F.concat(F.lit("/file?path="), F.replace(F.url_encode(path), F.lit("+"), F.lit("%20")))
+
+
+def mime_type(path: Column) -> Column:
+    kind = F.lower(F.regexp_extract(file_name(path), r"\.([^.]*)$", 1))
+    return F.when(kind.isin("jpg", "jpeg"), "image/jpeg").when(kind == "png", "image/png").when(kind == "bmp", "image/bmp").otherwise("application/octet-stream")
+
+
 def dest_name(split: Column, dataset: Column, name: Column) -> Column:
     return F.concat_ws("/", split, F.concat_ws("_", dataset, name))
 

@@ -2,12 +2,26 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from twinspark.shared import table
 
 
+def local_components(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Label of each of n places: the smallest place that links (i, j) reach; for links that one task holds."""
+    label = np.arange(n)
+    while True:
+        was = label.copy()
+        low = np.minimum(label[i], label[j])
+        np.minimum.at(label, i, low)
+        np.minimum.at(label, j, low)
+        label = label[label]
+        if (label == was).all():
+            return label
+
+
 def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(u long, v long) links to (node, component), component = the smallest node reachable.
 

@@ -8,17 +8,18 @@ from pyspark.sql import functions as F
 from twinspark.functions.names import fixed
 
 
-def markdown(rows: DataFrame, *by: Column | str, limit: int = 1000) -> str:
-    """A table of the first ``limit`` rows in the order ``by``; fractions with four digits, nulls as n/a."""
+def markdown(rows: DataFrame, *by: Column | str, limit: int | None = None) -> str:
+    """A table of the rows in the order ``by``, or of the first ``limit`` of them; fractions with four digits, nulls as n/a. For aggregates: the text is made by the driver."""
     real = {c for c, kind in rows.dtypes if kind in ("double", "float")}
-    cells = rows.orderBy(*by).limit(limit) if by else rows.limit(limit)
+    cells = rows.orderBy(*by) if by else rows
+    cells = cells.limit(limit) if limit else cells
     cells = cells.select(*[fixed(F.col(c), 4) if c in real else F.coalesce(F.col(c).cast("string"), F.lit("n/a")) for c in rows.columns])
     lines = [rows.columns, ["---"] * len(rows.columns), *cells.collect()]
     return "\n".join("| " + " | ".join(x.replace("|", "\\|") for x in r) + " |" for r in lines)
 
 
-def merge_report(rows: DataFrame) -> str:
-    """Rows (dataset, md5, cluster_id, split): counts by dataset and split, totals, cluster sizes, exact copies."""
+def merge_report(rows: DataFrame, sensitivity: DataFrame | None = None) -> str:
+    """Rows (dataset, md5, cluster_id, split): counts by dataset and split, totals, the 20 largest cluster sizes, exact copies, and classes by threshold (``similar.sensitivity``)."""
     splits = F.coalesce("split", F.lit("unassigned")).alias("split")
     datasets = rows.groupBy("dataset", splits).agg(F.count("*").alias("rows"))
     totals = rows.groupBy(splits).agg(F.count("*").alias("rows"))
@@ -29,6 +30,8 @@ def merge_report(rows: DataFrame) -> str:
         ("Datasets", markdown(datasets, "dataset", "split")), ("Totals", markdown(totals, "split")),
         ("Cluster sizes", markdown(sizes, F.desc("size"), limit=20)), ("Exact copies", markdown(copies, "copies")),
     ]
+    if sensitivity is not None:
+        parts.append(("Threshold sensitivity", markdown(sensitivity, "threshold")))
     return "\n\n".join(f"## {title}\n\n{text}" for title, text in parts) + "\n"
 
 

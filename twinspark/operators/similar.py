@@ -1,117 +1,251 @@
-"""Exact similarity joins and nearest neighbours by blocks of matrix products."""
+"""Similarity joins and nearest neighbours by blocks of matrix products.
+
+Vectors are dealt to blocks of bounded size, and pairs of blocks are tasks of their own. Where there is
+more than one block, rows go to the nearest of a bounded number of pivots first: two cells whose
+pivots are further apart than their radii and the angle of the threshold allow are never compared, which
+loses no pair. Nothing but pivots and sums by cell reaches the driver.
+"""
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-BLOCK_ROWS = 4096
-BLOCK_BYTES = 8 << 20  #: queries that are broadcast at once
+from twinspark.functions.vectors import cosine
+from twinspark.operators.graph import connected_components, local_components
+from twinspark.shared import table
+
+BLOCK_BYTES = 16 << 20  #: vectors of a block, as doubles
+TILE_ROWS = 1024  #: rows of a block that are multiplied at once
+PIVOTS = 1024  #: most pivots
 
 
 def _matrix(vectors: pd.Series) -> np.ndarray:
     return np.stack(vectors.to_numpy()).astype(np.float64) if len(vectors) else np.zeros((0, 1))
 
 
+def _blocks(vectors: DataFrame) -> tuple[int, int]:
+    """How many vectors there are, and how many blocks they make."""
+    n, dim = vectors.agg(F.count("*"), F.max(F.size("v"))).first()
+    return n, max(1, math.ceil(n * (dim or 1) * 8 / BLOCK_BYTES))
+
+
+def _in_cells(vectors: DataFrame, pivots: np.ndarray) -> DataFrame:
+    """(id, v, cell, angle, norm): the nearest pivot of each vector, and how far from it."""
+    unit = pivots / np.maximum(np.linalg.norm(pivots, axis=1, keepdims=True), 1e-300)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            v = _matrix(b["v"])
+            norm = np.linalg.norm(v, axis=1)
+            near = (v @ unit.T if len(v) else np.zeros((0, len(unit)))) / np.maximum(norm, 1e-300)[:, None]
+            cell = near.argmax(axis=1)
+            angle = np.arccos(np.clip(near[np.arange(len(b)), cell], -1, 1))
+            yield pd.DataFrame({"id": b["id"], "v": b["v"], "cell": cell.astype(np.int32), "angle": angle, "norm": norm})
+
+    return vectors.select("id", F.col("v").cast("array<double>").alias("v")).mapInPandas(run, "id long, v array<double>, cell int, angle double, norm double")
+
+
+def _met(vectors: DataFrame, floor: float) -> DataFrame:
+    """(id, v, own, x, y): each row once for each pair of blocks x <= y, one of them its own, that may hold a pair of ``floor``."""
+    spark = vectors.sparkSession
+    n, blocks = _blocks(vectors)
+    if blocks == 1:
+        return vectors.select("id", "v", *(F.lit(0).alias(c) for c in ("own", "x", "y")))
+    chosen = vectors.orderBy(F.xxhash64(F.lit(5), "id"), "id").limit(min(PIVOTS, blocks)).select("v").collect()
+    pivots = np.array([r.v for r in chosen], np.float64)
+    rows = table(_in_cells(vectors, pivots), "cells")
+    cells = {r.cell: r for r in rows.groupBy("cell").agg(F.count("*").alias("n"), F.max("angle").alias("angle"), F.max("norm").alias("norm")).collect()}
+    share = math.ceil(n / blocks)
+    first, each = {}, {}
+    for c in sorted(cells):  # numbers of the blocks of each cell
+        first[c], each[c] = sum(each.values()), math.ceil(cells[c].n / share)
+    unit = pivots / np.maximum(np.linalg.norm(pivots, axis=1, keepdims=True), 1e-300)
+    apart = np.arccos(np.clip(unit @ unit.T, -1, 1))
+    near = []
+    for c in cells.values():
+        for d in cells.values():
+            gap = max(0.0, apart[c.cell, d.cell] - c.angle - d.angle - 1e-6)
+            if floor <= 0 or c.norm * d.norm * max(0.0, math.cos(min(gap, math.pi))) >= floor - 1e-6:
+                near.append((c.cell, list(range(first[d.cell], first[d.cell] + each[d.cell]))))
+    near = spark.createDataFrame(near, "cell int, others array<int>").groupBy("cell").agg(F.flatten(F.collect_list("others")).alias("others"))
+    place = spark.createDataFrame([(c, first[c], each[c]) for c in cells], "cell int, first int, each int")
+    own = (F.col("first") + F.pmod(F.xxhash64("id"), F.col("each"))).cast("int")
+    met = rows.join(place.join(near, "cell"), "cell").select("id", "v", own.alias("own"), F.explode("others").alias("other"))
+    return met.select("id", "v", "own", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"))
+
+
+def _tiles(key: tuple, rows: pd.DataFrame, floor: float, precision: str) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(i, j, sim): places in ``rows`` of the pairs of a pair of blocks that reach ``floor``, a tile at a time."""
+    own, id_ = rows["own"].to_numpy(), rows["id"].to_numpy()
+    one, two = np.flatnonzero(own == key[0]), np.flatnonzero(own == key[1])
+    if not len(one) or not len(two):
+        return
+    v = _matrix(rows["v"])
+    right = v[two].T
+    for a in range(0, len(one), TILE_ROWS):
+        part = one[a : a + TILE_ROWS]
+        sim = v[part] @ right
+        if precision == "half":
+            at = np.nonzero((sim.astype(np.float32) >= np.float32(floor - 0.01)) & (sim.astype(np.float16) >= np.float16(floor)))
+        else:
+            at = np.nonzero(sim >= floor)
+        i, j = part[at[0]], two[at[1]]
+        keep = id_[i] < id_[j] if key[0] == key[1] else id_[i] != id_[j]
+        yield i[keep], j[keep], sim[at][keep]
+
+
 def edges(vectors: DataFrame, floor: float, precision: str = "double") -> DataFrame:
     """(id, v) to (i, j, sim) with i < j and a dot product of at least ``floor``.
 
-    Rows are dealt to blocks by hash; each pair of blocks is one group of bounded size, multiplied in
-    a task of its own. ``precision='half'`` compares in half precision, as vector stores that keep
-    similarities in two bytes do.
+    ``precision='half'`` compares in half precision, as vector stores that keep similarities in two
+    bytes do.
     """
-    n = vectors.count()
-    b = max(1, math.ceil(n / BLOCK_ROWS))
-    own = vectors.select("id", "v", F.pmod(F.xxhash64("id"), F.lit(b)).cast("int").alias("own"))
-    met = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(b - 1)))).select("id", "v", "own", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"))
 
     def multiply(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        one = rows[rows["own"] == key[0]]
-        two = one if key[0] == key[1] else rows[rows["own"] == key[1]]
-        if not len(one) or not len(two):
-            return pd.DataFrame({"i": [], "j": [], "sim": []}).astype({"i": "int64", "j": "int64"})
-        sim = _matrix(one["v"]) @ _matrix(two["v"]).T
-        if precision == "half":
-            at = np.nonzero((sim.astype(np.float32) >= np.float32(floor - 0.01)) & (sim.astype(np.float16) >= np.float16(floor)))
-        else:
-            at = np.nonzero(sim >= floor)
-        i, j = one["id"].to_numpy()[at[0]], two["id"].to_numpy()[at[1]]
-        keep = i < j if key[0] == key[1] else i != j
-        return pd.DataFrame({"i": np.minimum(i, j)[keep], "j": np.maximum(i, j)[keep], "sim": sim[at][keep]})
+        found = list(_tiles(key, rows, floor, precision))
+        i, j, sim = (np.concatenate([f[k] for f in found]) if found else np.zeros(0, kind) for k, kind in enumerate((np.int64, np.int64, np.float64)))
+        a, b = rows["id"].to_numpy()[i], rows["id"].to_numpy()[j]
+        return pd.DataFrame({"i": np.minimum(a, b), "j": np.maximum(a, b), "sim": sim})
 
-    return met.groupBy("x", "y").applyInPandas(multiply, "i long, j long, sim double")
+    return _met(vectors, floor).groupBy("x", "y").applyInPandas(multiply, "i long, j long, sim double")
 
 
-def nearest(queries: DataFrame, gallery: DataFrame, k: int, skip_self: bool = True) -> DataFrame:
-    """(query, rank, id, score): the k best of ``gallery`` (id, v) for each of ``queries`` (id, v), by score and then id.
+def linked(vectors: DataFrame, thresholds: list[float], precision: str = "double") -> tuple[DataFrame, DataFrame]:
+    """What pairs at each threshold say, without listing them: (t, u, v) whose closure is that of all pairs, and (t, id, links), the number of partners.
 
-    Queries go round in blocks of a checked size; each pass over the gallery is narrow and keeps k
-    candidates a query and task, so only those are shuffled.
+    ``t`` is the place of the threshold in descending order. A task sends each row at most once as a
+    link and once as a count.
     """
-    spark = gallery.sparkSession
-    n, dim = queries.agg(F.count("*"), F.max(F.size("v"))).first()
-    blocks = max(1, math.ceil(n * (dim or 1) * 8 / BLOCK_BYTES))
-    passes = []
-    for b in range(blocks):
-        rows = queries.where(F.pmod(F.xxhash64("id"), F.lit(blocks)) == b).select("id", "v").collect()
-        if not rows:
-            continue
-        ids = np.array([r.id for r in rows], np.int64)
-        shared = spark.sparkContext.broadcast((ids, np.array([r.v for r in rows], np.float64)))
-
-        def best(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
-            ids, q = shared.value
-            score = np.zeros((len(ids), 0))
-            found = np.zeros((len(ids), 0), np.int64)
-            for g in batches:
-                gid = g["id"].to_numpy()
-                s = np.round(q @ _matrix(g["v"]).T, 6)
-                if skip_self:
-                    s[ids[:, None] == gid] = -np.inf
-                score = np.concatenate([score, s], 1)
-                found = np.concatenate([found, np.broadcast_to(gid, s.shape)], 1)
-                order = np.lexsort((found, -score), axis=1)[:, :k]
-                score, found = np.take_along_axis(score, order, 1), np.take_along_axis(found, order, 1)
-            if score.shape[1]:
-                ok = np.isfinite(score.ravel())
-                yield pd.DataFrame({"query": np.repeat(ids, score.shape[1])[ok], "id": found.ravel()[ok], "score": score.ravel()[ok]})
-
-        passes.append(gallery.select("id", "v").mapInPandas(best, "query long, id long, score double"))
-    if not passes:
-        return spark.createDataFrame([], "query long, rank int, id long, score double")
-    out = passes[0]
-    for p in passes[1:]:
-        out = out.unionByName(p)
+    levels = sorted(thresholds, reverse=True)
+
+    def gather(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        n, out, id_ = len(rows), [], rows["id"].to_numpy()
+        label, count = np.tile(np.arange(n), (len(levels), 1)), np.zeros((len(levels), n), np.int64)
+        for i, j, sim in _tiles(key, rows, levels[-1], precision):
+            for t, level in enumerate(levels):
+                ok = sim.astype(np.float16) >= np.float16(level) if precision == "half" else sim >= level
+                a, b = i[ok], j[ok]
+                count[t] += np.bincount(a, minlength=n) + np.bincount(b, minlength=n)
+                label[t] = local_components(n, label[t][a], label[t][b])[label[t]]
+        for t in range(len(levels)):
+            at = np.flatnonzero(label[t] != np.arange(n))
+            out.append(pd.DataFrame({"t": t, "u": id_[at], "v": pd.array(id_[label[t][at]], "Int64"), "links": 0}))
+            at = np.flatnonzero(count[t])
+            out.append(pd.DataFrame({"t": t, "u": id_[at], "v": pd.array([None] * len(at), "Int64"), "links": count[t][at]}))
+        return pd.concat(out)
+
+    found = table(_met(vectors, levels[-1]).groupBy("x", "y").applyInPandas(gather, "t int, u long, v long, links long"), "linked")
+    counts = found.where("v is null").groupBy("t", F.col("u").alias("id")).agg(F.sum("links").alias("links"))
+    return found.where("v is not null").select("t", "u", "v"), counts
+
+
+def partners(vectors: DataFrame, threshold: float, precision: str = "double") -> DataFrame:
+    """(id, links, component) of every row: how many others reach the threshold, and the smallest id of its class."""
+    links, counts = linked(vectors, [threshold], precision)
+    label = connected_components(links.select("u", "v")).withColumnRenamed("node", "id")
+    out = vectors.select("id").join(counts.select("id", "links"), "id", "left").join(label, "id", "left")
+    return out.select("id", F.coalesce("links", F.lit(0).cast("long")).alias("links"), F.coalesce("component", "id").alias("component"))
+
+
+def sensitivity(vectors: DataFrame, thresholds: list[float], chosen: float | None = None, precision: str = "double") -> DataFrame:
+    """(threshold, clusters, multi, largest): classes at each of ``thresholds`` and the chosen one (to four digits).
+
+    Pairs are found once. Thresholds go down, and each starts from the classes of the one before.
+    """
+    levels = sorted({*thresholds, *([round(chosen, 4)] if chosen is not None else [])}, reverse=True)
+    links, _ = linked(vectors, levels, precision)
+    label, out = vectors.select("id", F.col("id").alias("root")), None
+    for t, level in enumerate(levels):
+        own = links.where(F.col("t") == t)
+        ends = own.join(label.select(F.col("id").alias("u"), F.col("root").alias("a")), "u").join(label.select(F.col("id").alias("v"), F.col("root").alias("b")), "v")
+        up = connected_components(ends.select(F.col("a").alias("u"), F.col("b").alias("v"))).withColumnRenamed("node", "root")
+        label = table(label.join(up, "root", "left").select("id", F.coalesce("component", "root").alias("root")), "classes")
+        sizes = label.groupBy("root").agg(F.count("*").alias("n"))
+        row = sizes.agg(F.lit(level).cast("double").alias("threshold"), F.count("*").alias("clusters"), F.count_if(F.col("n") > 1).alias("multi"), F.max("n").alias("largest"))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+def _best(hits: DataFrame, k: int) -> DataFrame:
     rank = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "id"))
-    return out.withColumn("rank", rank).where(F.col("rank") <= k).select("query", "rank", "id", "score")
+    return hits.withColumn("rank", rank).where(F.col("rank") <= k).select("query", "rank", "id", "score")
+
 
+def nearest(queries: DataFrame, gallery: DataFrame, k: int, skip_self: bool = True, metric: str = "cosine") -> DataFrame:
+    """(query, rank, id, score): the k best of ``gallery`` (id, v) for each of ``queries`` (id, v), by score and then id.
 
-def lsh_nearest(queries: DataFrame, gallery: DataFrame, k: int, tables: int = 24, bits: int = 8, seed: int = 7) -> DataFrame:
-    """Approximate ``nearest``: candidates share a signature of ``bits`` random planes in one of ``tables`` tables or differ in one bit of it."""
-    dim = gallery.select(F.size("v")).first()[0]
-    planes = np.random.default_rng(seed).standard_normal((dim, tables * bits))
+    ``metric`` is ``cosine`` or ``dot``. Blocks of queries meet blocks of the gallery, each pair in a task of its
+    own that sends k rows a query; the driver sees neither queries nor vectors.
+    """
+    _, x = _blocks(queries)
+    _, y = _blocks(gallery)
+    y = max(y, gallery.sparkSession.sparkContext.defaultParallelism)
+    part = lambda n: F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    q = queries.select("id", "v", part(x).alias("x"), every(y).alias("y"))
+    g = gallery.select("id", "v", part(y).alias("y"), every(x).alias("x"))
+
+    def unit(v: np.ndarray) -> np.ndarray:
+        n = np.linalg.norm(v, axis=1, keepdims=True)
+        return np.where(n > 1e-9, v / np.maximum(n, 1e-9), v) if metric == "cosine" else v
+
+    def best(q: pd.DataFrame, g: pd.DataFrame) -> pd.DataFrame:
+        out = [pd.DataFrame({"query": [], "id": [], "score": []}).astype({"query": "int64", "id": "int64", "score": "float64"})]
+        gid = g["id"].to_numpy()
+        right = unit(_matrix(g["v"])).T if len(g) else None
+        for a in range(0, len(q) if len(g) else 0, TILE_ROWS):
+            ids = q["id"].to_numpy()[a : a + TILE_ROWS]
+            s = np.round(unit(_matrix(q["v"][a : a + TILE_ROWS])) @ right, 6)
+            if skip_self:
+                s[ids[:, None] == gid] = -np.inf
+            order = np.lexsort((np.broadcast_to(gid, s.shape), -s), axis=1)[:, :k]
+            score, found = np.take_along_axis(s, order, 1).ravel(), gid[order].ravel()
+            ok = np.isfinite(score)
+            out.append(pd.DataFrame({"query": np.repeat(ids, order.shape[1])[ok], "id": found[ok], "score": score[ok]}))
+        return pd.concat(out)
+
+    return _best(q.groupBy("x", "y").cogroup(g.groupBy("x", "y")).applyInPandas(best, "query long, id long, score double"), k)
+
+
+def _rotations(dim: int, tables: int, seed: int) -> np.ndarray:
+    rng = np.random.default_rng(seed)
+    return np.stack([np.linalg.qr(rng.standard_normal((dim, dim)))[0] for _ in range(tables)])
+
+
+def lsh_candidates(queries: DataFrame, gallery: DataFrame, tables: int, probes: int, stored: int, seed: int = 7) -> DataFrame:
+    """(query, id): pairs that share one of ``tables`` cross-polytope buckets.
+
+    A table turns the vectors; a bucket is an axis with a sign. A gallery row is stored under its ``stored``
+    largest axes and a query looks at its ``probes`` largest. Only ids move.
+    """
+    dim = gallery.select(F.max(F.size("v"))).first()[0] or 1
+    turns = _rotations(dim, tables, seed)
 
-    def signed(probe: bool):
+    def keyed(most: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for g in batches:
-                on = (_matrix(g["v"]) @ planes > 0).reshape(len(g), tables, bits)
-                sig = (on * (1 << np.arange(bits))).sum(2) | (np.arange(tables) << bits)
-                keys = np.concatenate([sig[:, :, None]] + [(sig ^ (1 << i))[:, :, None] for i in range(bits * probe)], 2)
-                yield pd.DataFrame({"id": g["id"], "v": g["v"], "keys": list(keys.reshape(len(g), -1))})
+            for b in batches:
+                if not len(b):
+                    continue
+                z = np.einsum("nd,tde->nte", _matrix(b["v"]), turns)
+                axis = np.argsort(-np.abs(z), axis=2)[:, :, :most]
+                key = (np.arange(tables)[:, None] * dim + axis) * 2 + (np.take_along_axis(z, axis, 2) > 0)
+                yield pd.DataFrame({"id": np.repeat(b["id"].to_numpy(), tables * key.shape[2]), "key": key.ravel()})
 
         return run
 
-    kind = "id long, v array<double>, keys array<long>"
-    as_double = lambda d: d.select("id", F.col("v").cast("array<double>").alias("v"))
-    q = as_double(queries).mapInPandas(signed(True), kind).select(F.col("id").alias("query"), F.col("v").alias("qv"), F.explode("keys").alias("key"))
-    g = as_double(gallery).mapInPandas(signed(False), kind).select("id", "v", F.explode("keys").alias("key"))
-    from twinspark.functions.vectors import dot
+    q = queries.select("id", "v").mapInPandas(keyed(probes), "id long, key long").select(F.col("id").alias("query"), "key")
+    g = gallery.select("id", "v").mapInPandas(keyed(stored), "id long, key long")
+    return q.join(g, "key").where("query <> id").select("query", "id").distinct()
 
-    pairs = q.join(g, "key").where("query <> id").select("query", "id", F.round(dot(F.col("qv"), F.col("v")), 6).alias("score")).distinct()
-    rank = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "id"))
-    return pairs.withColumn("rank", rank).where(F.col("rank") <= k).select("query", "rank", "id", "score")
+
+def lsh_nearest(queries: DataFrame, gallery: DataFrame, k: int, tables: int = 16, probes: int = 3, stored: int = 2, seed: int = 7) -> DataFrame:
+    """Approximate ``nearest``: candidates by ``lsh_candidates``, made distinct before vectors are attached, then compared exactly."""
+    pairs = lsh_candidates(queries, gallery, tables, probes, stored, seed)
+    pairs = pairs.join(queries.select(F.col("id").alias("query"), F.col("v").alias("qv")), "query").join(gallery.select("id", "v"), "id")
+    return _best(pairs.select("query", "id", F.round(cosine(F.col("qv"), F.col("v")), 6).alias("score")), k)

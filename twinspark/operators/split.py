@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from twinspark.functions.names import file_name, identity, source_prefix
 from twinspark.operators.graph import connected_components
 from twinspark.operators.order import numbered
-from twinspark.operators.similar import edges
+from twinspark.operators.similar import linked
 
 
 def duplicate_groups(rows: DataFrame, key: str, *rank: Column) -> DataFrame:
@@ -46,10 +47,14 @@ def assign_splits(rows: DataFrame, singleton_train: bool = True, seed: int | Non
     return out.withColumn("split", split).drop("_n", "_rep", "_best")
 
 
-def identity_split(records: DataFrame, threshold: float, precision: str = "double", singleton_train: bool = True, seed: int | None = None) -> DataFrame:
-    """Records (pos, canon, dataset, name, md5, prio, v) to clusters and splits; copies share the vector of ``canon``."""
+def identity_split(records: DataFrame, threshold: float, precision: str = "half", singleton_train: bool = True, seed: int | None = None) -> DataFrame:
+    """Records (pos, canon, dataset, name, md5, prio, v) to clusters and splits; copies share the vector of ``canon``.
+
+    Similarities are compared in half precision, as they are stored; ``precision='double'`` compares them as they are.
+    """
     vectors = records.where("v is not null and pos = canon").select(F.col("canon").alias("id"), "v")
-    found = identities(vectors, edges(vectors, threshold, precision))
+    links, _ = linked(vectors, [threshold], precision)
+    found = identities(vectors, links.select(F.col("u").alias("i"), F.col("v").alias("j")))
     rows = records.drop("v").join(found.select(F.col("id").alias("canon"), "cluster_id"), "canon", "left")
     return assign_splits(rows, singleton_train, seed)
 
@@ -88,3 +93,52 @@ def seeded_split(rows: DataFrame, group: str, name: str, first_train: int, seed:
     chosen = chosen.select(group, F.col(name).alias("_name"), F.lit("train").alias("split"))
     out = kept.drop("_h").join(chosen.withColumnRenamed("_name", name), [group, name], "left")
     return out.withColumn("split", F.coalesce("split", F.lit("test")))
+
+
+def one_train(rows: DataFrame, group: str, name: str, least: int = 2) -> DataFrame:
+    """(group, total, train, tests, test_names): of each group of ``least`` rows and more the first name trains; the rest are joined by |."""
+    g = rows.groupBy(group).agg(F.count("*").alias("total"), F.array_sort(F.collect_list(name)).alias("names")).where(F.col("total") >= least)
+    rest = F.array_join(F.slice("names", F.lit(2), F.col("total").cast("int")).cast("array<string>"), "|")
+    return g.select(group, "total", F.get("names", F.lit(0)).alias("train"), (F.col("total") - 1).alias("tests"), rest.alias("test_names"))
+
+
+def of_split(rows: DataFrame, split: str) -> DataFrame:
+    """The rows of a split that have a destination."""
+    return rows.where((F.col("split") == split) & (F.trim("dest_name") != ""))
+
+
+def untrained(rows: DataFrame, key: str = "cluster_id") -> DataFrame:
+    """Keys of test rows that no train row has."""
+    return rows.where("split = 'test'").select(key).distinct().join(rows.where("split = 'train'").select(key), key, "left_anti")
+
+
+def overlap(rows: DataFrame, name: str = "dest_name") -> DataFrame:
+    """Names that are in both splits."""
+    return rows.where("split = 'test'").select(name).distinct().join(rows.where("split = 'train'").select(name), name, "left_semi")
+
+
+def check_splits(rows: DataFrame, name: str = "dest_name") -> DataFrame:
+    """``rows``, or ValueError if a name is in both splits."""
+    found = [r[0] for r in overlap(rows, name).orderBy(name).limit(3).collect()]
+    if found:
+        raise ValueError(f"in train and test: {found}")
+    return rows
+
+
+def whole_pairs(pairs: DataFrame, written: DataFrame) -> DataFrame:
+    """Pairs (a, b, ...) of which both images are among ``written`` (image)."""
+    for side in ("a", "b"):
+        pairs = pairs.join(written.select(F.col("image").alias(side)), side, "left_semi")
+    return pairs
+
+
+def totals(rows: DataFrame) -> DataFrame:
+    """(status, n) of ``split``, rows without one as unassigned, and all of them."""
+    each = rows.groupBy(F.coalesce("split", F.lit("unassigned")).alias("status")).agg(F.count("*").alias("n"))
+    return each.unionByName(each.agg(F.lit("all").alias("status"), F.coalesce(F.sum("n"), F.lit(0)).alias("n")))
+
+
+def by_identity(paths: DataFrame) -> DataFrame:
+    """(path) to (identity, prefix, images, names): images of a person, whose files are named like it."""
+    who = identity(F.col("path"))
+    return paths.groupBy(who.alias("identity")).agg(F.count("*").alias("images"), F.array_join(F.array_sort(F.collect_list(file_name(F.col("path")))), "|").alias("names")).withColumn("prefix", source_prefix(F.col("identity")))

@@ -1,12 +1,15 @@
-"""The vector collection: typed table, idempotent ingest, deletion, status; and evaluation of searches."""
+"""The vector collection: a typed Parquet folder, its status, idempotent ingest, deletion; and evaluation of searches."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from twinspark.functions.vectors import valid
+from twinspark.functions.names import cache_key, file_name
 from twinspark.operators.order import numbered
+from twinspark.sources import paths
 
 LENGTHS = {"image_path": 1024, "dataset_source": 64, "person_id": 256, "model_version": 64, "embedding_version": 64, "alignment_version": 64}
 VERSIONS = {"model_version": "1", "embedding_version": "1", "alignment_version": "1"}
@@ -23,6 +26,113 @@ def typed(rows: DataFrame, dim: int) -> DataFrame:
     return out.select(F.col("embedding").cast("array<float>").alias("embedding"), *LENGTHS)
 
 
+def schema(dim: int) -> T.StructType:
+    vector = T.StructField("embedding", T.ArrayType(T.FloatType()), metadata={"dim": dim})
+    return T.StructType([T.StructField("id", T.LongType()), vector, *(T.StructField(c, T.StringType()) for c in LENGTHS)])
+
+
+def create(spark: SparkSession, path: str, dim: int, drop_existing: bool = False) -> DataFrame:
+    """The collection in a folder: the one that is there, or a new empty one."""
+    if drop_existing or not paths.exists(spark, path):
+        spark.createDataFrame([], schema(dim)).write.mode("overwrite").parquet(path)
+    return load(spark, path)
+
+
+def load(spark: SparkSession, path: str) -> DataFrame:
+    """The collection in a folder; FileNotFoundError if there is none."""
+    if not paths.exists(spark, path):
+        raise FileNotFoundError(f"no collection in {path}")
+    return spark.read.schema(schema(0)).parquet(path)
+
+
+def describe(spark: SparkSession, path: str) -> dict[str, object]:
+    """Index, metric, dimension and rows of the collection in a folder; never raises, but has an ``error`` then."""
+    try:
+        field = spark.read.parquet(path).schema["embedding"]
+        return {"index_type": "exact", "metric_type": "COSINE", "params": {}, "dim": field.metadata.get("dim"), "row_count": load(spark, path).count()}
+    except Exception as e:  # noqa: BLE001
+        return {"error": str(e).split("\n")[0]}
+
+
+def status(stored: DataFrame) -> DataFrame:
+    """One row: index, metric, rows and, of them, those whose vector is valid."""
+    return stored.agg(F.lit("exact").alias("index_type"), F.lit("COSINE").alias("metric_type"), F.count("*").alias("row_count"), F.count_if(valid(F.col("embedding"))).alias("searchable"))
+
+
+def append(spark: SparkSession, path: str, rows: DataFrame, dim: int) -> None:
+    """Rows to the collection in a folder, ids going on from the largest."""
+    stored = load(spark, path)
+    top = stored.agg(F.coalesce(F.max("id"), F.lit(0))).first()[0]
+    numbered(typed(rows, dim), ["image_path", "dataset_source"], "id", top + 1).select(stored.columns).write.mode("append").parquet(path)
+
+
+def drop_ids(spark: SparkSession, path: str, ids: DataFrame) -> None:
+    """The collection in a folder without ``ids``: written anew beside it, then put in its place."""
+    delete(load(spark, path), ids).write.mode("overwrite").parquet(f"{path}.new")
+    paths.move(spark, f"{path}.new", path)
+
+
+def skip_existing(rows: DataFrame, stored: DataFrame, key: str = "image_path") -> DataFrame:
+    return rows.join(stored.select(key), key, "left_anti")
+
+
+def with_cache(rows: DataFrame, cache: DataFrame, key: list[str]) -> DataFrame:
+    """``rows`` with ``v`` and ``cached`` from ``cache`` (key, v, at), whose last valid entry of a key counts."""
+    last = cache.where(valid(F.col("v"))).groupBy(*key).agg(F.max_by("v", "at").alias("v"))
+    return rows.join(last, key, "left").withColumn("cached", F.col("v").isNotNull())
+
+
+def two_hops(files: DataFrame, keys: DataFrame, cache: DataFrame, dataset: str) -> DataFrame:
+    """Files (path) of a merged folder with ``dataset_source`` and ``v``: the file's name leads to a key (dataset_source, name, at), the key to a vector.
+
+    Of keys that make the same file name the last counts. Files without a key get ``dataset``.
+    """
+    named = keys.groupBy(cache_key(F.col("dataset_source"), F.col("name")).alias("file")).agg(F.max_by(F.struct("dataset_source", "name"), "at").alias("key"))
+    rows = files.withColumn("file", file_name(F.col("path"))).join(named, "file", "left").select(*files.columns, "key.dataset_source", "key.name")
+    return with_cache(rows, cache, ["dataset_source", "name"]).withColumn("dataset_source", F.coalesce("dataset_source", F.lit(dataset)))
+
+
+def hash_inventory(records: DataFrame, saved: DataFrame) -> DataFrame:
+    """Records (dataset_source, name) with the ``md5`` of ``saved`` (dataset_source, name, md5) and ``reused``; the others are to be hashed."""
+    last = saved.groupBy("dataset_source", "name").agg(F.max("md5").alias("md5"), F.lit(True).alias("reused"))
+    return records.join(last, ["dataset_source", "name"], "left").withColumn("reused", F.coalesce("reused", F.lit(False)))
+
+
+def same_keys(one: DataFrame, other: DataFrame, key: list[str]) -> bool:
+    """Whether two tables list the same keys, each as often: a cache of one then serves the other."""
+    a, b = one.select(key), other.select(key)
+    return a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+
+
+def embed_pass(records: DataFrame, cache: DataFrame, embed, dim: int) -> DataFrame:
+    """Records (key, ...) with ``v`` and ``status``: cached, embedded or failed_embed. ``embed`` turns the rows that
+    the cache (key, v, at) lacks into (key, v); writing what it gives back to the cache makes the pass resumable."""
+    rows = with_cache(records, cache, ["key"])
+    made = embed(rows.where("not cached").drop("v", "cached")).select("key", F.col("v").alias("new"))
+    out = rows.join(made, "key", "left")
+    fresh = valid(F.col("new"), dim)
+    said = F.when(F.col("cached"), "cached").when(fresh, "embedded").otherwise("failed_embed")
+    return out.withColumns({"status": said, "v": F.when(F.col("cached"), F.col("v")).when(fresh, F.col("new"))}).drop("new", "cached")
+
+
+def missing_files(rows: DataFrame, files: DataFrame) -> DataFrame:
+    """Rows whose ``path`` isn't among ``files`` (path)."""
+    return rows.join(files.select("path"), "path", "left_anti")
+
+
+def failures(outcomes: DataFrame) -> DataFrame:
+    """(path, reason) of outcomes that failed: no face, an error with its text, a missing file, a failed insert."""
+    return outcomes.where("reason is not null and reason <> ''").select("path", "reason")
+
+
+def check_top_k(k: int | None = None) -> int:
+    """The number of hits: 5 if none is given; ValueError unless it is 1 to 50."""
+    k = 5 if k is None else k
+    if not 1 <= k <= 50:
+        raise ValueError(f"top_k must be from 1 to 50, not {k}")
+    return k
+
+
 def insert(stored: DataFrame, rows: DataFrame, dim: int) -> DataFrame:
     """``stored`` with new rows, whose ids go on from the largest."""
     top = stored.agg(F.coalesce(F.max("id"), F.lit(0))).first()[0]
@@ -63,3 +173,42 @@ def summarise(results: DataFrame, *by: str) -> DataFrame:
         F.avg(F.when(rated, F.col("hit1").cast("int"))).alias("hit1_rate"), F.avg(F.when(rated, F.col("hitk").cast("int"))).alias("hitk_rate"),
         F.count(F.when(rated, F.col("best_correct_score"))).alias("n_correct"), F.round(F.avg(F.when(rated, F.col("best_correct_score"))), 6).alias("mean_correct_score"),
     )
+
+
+def summarise_identities(results: DataFrame) -> DataFrame:
+    """Results (expected, hit1, hitk, best_correct_score, error): rates by identity over rows without an error, and of all (identity null) with the numbers of identities and errors."""
+    ok = results.where("error is null")
+    rates = lambda g: (F.count("*").alias("n_images"), F.avg(F.col("hit1").cast("int")).alias("hit1_rate"), F.avg(F.col("hitk").cast("int")).alias("hitk_rate"), F.round(F.avg("best_correct_score"), 6).alias("mean_correct_score"), *g)
+    none = F.lit(None).cast("long")
+    each = ok.groupBy(F.col("expected").alias("identity")).agg(*rates([none.alias("n_identities"), none.alias("n_errors")]))
+    errors = results.agg(F.count_if(F.col("error").isNotNull()).alias("n_errors"))
+    whole = ok.agg(*rates([F.countDistinct("expected").alias("n_identities")])).join(F.broadcast(errors)).withColumn("identity", F.lit(None).cast(each.schema["identity"].dataType))
+    return each.unionByName(whole.withColumns({c: F.coalesce(c, F.lit(0.0)) for c in ("hit1_rate", "hitk_rate")}))
+
+
+def wide(hits: DataFrame, k: int) -> DataFrame:
+    """Ranked hits (query, rank, id, score) as a row a query: rank1_id, rank1_score, ..."""
+    out = hits.groupBy("query").pivot("rank", list(range(1, k + 1))).agg(F.max("id").alias("id"), F.max("score").alias("score"))
+    return out.select("query", *[F.col(f"{r}_{c}").alias(f"rank{r}_{c}") for r in range(1, k + 1) for c in ("id", "score")])
+
+
+def most_common(hits: DataFrame, by: str) -> DataFrame:
+    """(by, hits, share, place): the most frequent first, equals by name."""
+    g = hits.groupBy(by).agg(F.count("*").alias("hits"))
+    total = g.agg(F.sum("hits").alias("total"))
+    out = g.join(F.broadcast(total)).select(by, "hits", F.round(100.0 * F.col("hits") / F.col("total"), 6).alias("share"), (-F.col("hits")).alias("less"))
+    return numbered(out, ["less", by], "place", 1).drop("less")
+
+
+def search_responses(hits: DataFrame, stored: DataFrame) -> DataFrame:
+    """(query, response): hits (query, rank, id, score) with what ``stored`` (id, image_path, dataset_source, person_id) says of them, as JSON, best first."""
+    told = hits.join(stored.select("id", "image_path", "dataset_source", "person_id"), "id")
+    hit = F.struct("rank", F.struct("image_path", "dataset_source", "person_id", F.format_string("%.6f", "score").alias("score")).alias("hit"))
+    rows = F.transform(F.array_sort(F.collect_list(hit)), lambda x: x["hit"])
+    return told.groupBy("query").agg(F.to_json(F.struct(F.count("*").alias("top_k"), rows.alias("results"))).alias("response"))
+
+
+def ingest_response(outcomes: DataFrame, row_count: int) -> DataFrame:
+    """(response): outcomes (path, outcome, reason) of an upload as one JSON text for each, and counts."""
+    each = outcomes.select("path", F.to_json(F.struct(file_name(F.col("path")).alias("filename"), F.col("outcome").alias("status"), "reason")).alias("response"))
+    return each.withColumn("db_row_count", F.lit(row_count).cast("long"))

@@ -2,17 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from twinspark.functions import names, vectors
 from twinspark.operators import order, similar, split, store
-from twinspark.operators.graph import connected_components
+from twinspark.plans.base import QUERIES, SQL, query, read
+
+__all__ = ["QUERIES", "SQL"]
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {}
 PRIORITY = [f"src{i}" for i in range(5)]
 THRESHOLD, THRESHOLDS, K = 0.4, (0.35, 0.4, 0.45), 5
 
@@ -24,15 +22,17 @@ _REC = (
     "r AS (SELECT pos, canon, dataset, r0.md5, CAST(embedding AS DOUBLE[]) AS v, "
     "CASE dataset " + " ".join(f"WHEN '{s}' THEN {i}" for i, s in enumerate(PRIORITY)) + " ELSE 5 END AS prio FROM r0 LEFT JOIN embeddings ON vec_id = canon)"
 )
+_HALF = "round_even(CAST(CAST(sim AS FLOAT) AS DOUBLE) * pow(2, 10 - floor(log2(abs(CAST(CAST(sim AS FLOAT) AS DOUBLE))))), 0) / pow(2, 10 - floor(log2(abs(CAST(CAST(sim AS FLOAT) AS DOUBLE)))))"
+_AT_HALF = f"sim > 0.3 AND {_HALF} >= 0.39990234375"  # 0.4 in half precision
 _CLOSE = (
-    "l AS (SELECT i AS a, j AS b FROM p WHERE sim >= {t} UNION ALL SELECT j, i FROM p WHERE sim >= {t}), "
+    "l AS (SELECT i AS a, j AS b FROM p WHERE {t} UNION ALL SELECT j, i FROM p WHERE {t}), "
     "w(a, b) AS (SELECT id, id FROM ids UNION SELECT w.a, l.b FROM w JOIN l ON w.b = l.a), "
     "c AS (SELECT a AS id, min(b) AS component FROM w GROUP BY a), "
     "cl AS (SELECT id, component, CAST(dense_rank() OVER (ORDER BY component) - 1 AS BIGINT) AS cluster_id FROM c)"
 )
 _RPAIRS = "u AS (SELECT canon AS id, v FROM r WHERE pos = canon AND v IS NOT NULL), ids AS (SELECT id FROM u), p AS (SELECT a.id AS i, b.id AS j, list_inner_product(a.v, b.v) AS sim FROM u a JOIN u b ON a.id < b.id)"
 _SPLIT = (
-    f"WITH RECURSIVE {_REC}, {_RPAIRS}, " + _CLOSE.format(t=THRESHOLD) + ", "
+    f"WITH RECURSIVE {_REC}, {_RPAIRS}, " + _CLOSE.format(t=_AT_HALF) + ", "
     "m AS (SELECT r.pos, r.canon, r.dataset, r.md5, r.prio, cluster_id FROM r LEFT JOIN cl ON r.canon = cl.id), "
     "k AS (SELECT *, count(*) OVER (PARTITION BY cluster_id) AS n, row_number() OVER (PARTITION BY cluster_id ORDER BY prio, dataset, pos) AS w1, "
     "first(md5) OVER (PARTITION BY cluster_id ORDER BY prio, dataset, pos) AS rep, row_number() OVER (PARTITION BY cluster_id, md5 ORDER BY prio, dataset, pos) AS w2 FROM m), "
@@ -41,26 +41,12 @@ _SPLIT = (
 )
 
 
-def query(sql: str | None) -> Callable:
-    def add(f: Callable[[SparkSession, str], DataFrame]) -> Callable:
-        QUERIES[f.__name__] = f
-        if sql:
-            SQL[f.__name__] = sql
-        return f
-
-    return add
-
-
-def _t(s: SparkSession, d: str, name: str) -> DataFrame:
-    return s.read.parquet(f"{d}/{name}.parquet")
-
-
 def _vectors(s: SparkSession, d: str) -> DataFrame:
-    return _t(s, d, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("v"), "label")
+    return read(s, d, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("v"), "label")
 
 
 def _docs(s: SparkSession, d: str) -> DataFrame:
-    return _t(s, d, "documents").select(F.col("doc_id").alias("name"), F.col("source").alias("dataset"), F.md5(F.col("text").cast("binary")).alias("md5"), "n_chars")
+    return read(s, d, "documents").select(F.col("doc_id").alias("name"), F.col("source").alias("dataset"), F.md5(F.col("text").cast("binary")).alias("md5"), "n_chars")
 
 
 def _records(s: SparkSession, d: str) -> DataFrame:
@@ -70,6 +56,12 @@ def _records(s: SparkSession, d: str) -> DataFrame:
     return rows.select(F.col("name").alias("pos"), "canon", "name", "dataset", "md5", "v", names.priority(F.col("dataset"), PRIORITY).alias("prio"))
 
 
+def _classes(s: SparkSession, d: str) -> DataFrame:
+    v = _vectors(s, d)
+    links, _ = similar.linked(v, [THRESHOLD])
+    return split.identities(v, links.select(F.col("u").alias("i"), F.col("v").alias("j")))
+
+
 def _splits(s: SparkSession, d: str) -> DataFrame:
     return split.identity_split(_records(s, d), THRESHOLD).select("pos", "dataset", "md5", "cluster_id", "split")
 
@@ -125,28 +117,14 @@ def _links_sql(test: str) -> str:
     return f"WITH RECURSIVE {_PAIRS}, ids AS (SELECT id FROM e), l AS (SELECT i AS a, j AS b FROM p WHERE {test} UNION ALL SELECT j, i FROM p WHERE {test}), w(a, b) AS (SELECT id, id FROM ids UNION SELECT w.a, l.b FROM w JOIN l ON w.b = l.a), c AS (SELECT a AS id, min(b) AS component FROM w GROUP BY a), n AS (SELECT a AS id, count(*) AS links FROM l GROUP BY a) SELECT c.id, coalesce(links, 0) AS links, component FROM c LEFT JOIN n ON c.id = n.id"
 
 
-def _links(s, d, precision: str) -> DataFrame:
-    v = _vectors(s, d)
-    from twinspark.shared import table
-
-    e = table(similar.edges(v, THRESHOLD, precision), "pairs")
-    n = e.select(F.explode(F.array("i", "j")).alias("id")).groupBy("id").agg(F.count("*").alias("links"))
-    c = connected_components(e.select(F.col("i").alias("u"), F.col("j").alias("v"))).withColumnRenamed("node", "id")
-    out = v.select("id").join(n, "id", "left").join(c, "id", "left")
-    return out.select("id", F.coalesce("links", F.lit(0).cast("long")).alias("links"), F.coalesce("component", "id").alias("component"))
-
-
 @query(_links_sql(f"sim >= {THRESHOLD}"))
 def pair_edges(s, d):
-    return _links(s, d, "double")
-
-
-_HALF = "round_even(CAST(CAST(sim AS FLOAT) AS DOUBLE) * pow(2, 10 - floor(log2(abs(CAST(CAST(sim AS FLOAT) AS DOUBLE))))), 0) / pow(2, 10 - floor(log2(abs(CAST(CAST(sim AS FLOAT) AS DOUBLE)))))"
+    return similar.partners(_vectors(s, d), THRESHOLD)
 
 
-@query(_links_sql(f"sim > 0.3 AND {_HALF} >= 0.39990234375"))
+@query(_links_sql(_AT_HALF))
 def edge_half_precision(s, d):
-    return _links(s, d, "half")
+    return similar.partners(_vectors(s, d), THRESHOLD, "half")
 
 
 _KNN = f"WITH {_E}, h AS (SELECT q.id AS query, g.id, round(list_inner_product(q.v, g.v), 6) AS score FROM e q JOIN e g ON q.id <> g.id WHERE q.id % 100 = 0), k AS (SELECT *, row_number() OVER (PARTITION BY query ORDER BY score DESC, id) AS rank FROM h QUALIFY rank <= 5) "
@@ -164,15 +142,12 @@ def knn_top5(s, d):
 
 @query(_KNN + "SELECT query, " + ", ".join(f"max(CASE WHEN rank = {r} THEN id END) AS rank{r}_id, max(CASE WHEN rank = {r} THEN score END) AS rank{r}_score" for r in range(1, 6)) + " FROM k GROUP BY query")
 def knn_wide(s, d):
-    wide = _hits(s, d).groupBy("query").pivot("rank", list(range(1, K + 1))).agg(F.max("id").alias("id"), F.max("score").alias("score"))
-    return wide.select("query", *[F.col(f"{r}_{c}").alias(f"rank{r}_{c}") for r in range(1, K + 1) for c in ("id", "score")])
+    return store.wide(_hits(s, d), K)
 
 
-@query(_KNN + "SELECT label, count(*) AS hits, round(100.0 * count(*) / sum(count(*)) OVER (), 6) AS share FROM k JOIN e ON k.id = e.id GROUP BY label")
+@query(_KNN + "SELECT label, count(*) AS hits, round(100.0 * count(*) / sum(count(*)) OVER (), 6) AS share, row_number() OVER (ORDER BY count(*) DESC, label) AS place FROM k JOIN e ON k.id = e.id GROUP BY label")
 def hit_distribution(s, d):
-    g = _hits(s, d).join(_vectors(s, d).select("id", "label"), "id").groupBy("label").agg(F.count("*").alias("hits"))
-    total = g.agg(F.sum("hits").alias("total"))
-    return g.join(F.broadcast(total)).select("label", "hits", F.round(100.0 * F.col("hits") / F.col("total"), 6).alias("share"))
+    return store.most_common(_hits(s, d).join(_vectors(s, d).select("id", "label"), "id"), "label")
 
 
 @query(None)
@@ -184,32 +159,20 @@ def lsh_knn(s, d):
 # identities
 
 
-@query(f"WITH RECURSIVE {_PAIRS}, ids AS (SELECT id FROM e), " + _CLOSE.format(t=THRESHOLD) + " SELECT id, cluster_id FROM cl")
+@query(f"WITH RECURSIVE {_PAIRS}, ids AS (SELECT id FROM e), " + _CLOSE.format(t=f"sim >= {THRESHOLD}") + " SELECT id, cluster_id FROM cl")
 def components(s, d):
-    v = _vectors(s, d)
-    return split.identities(v, similar.edges(v, THRESHOLD)).select("id", "cluster_id")
+    return _classes(s, d).select("id", "cluster_id")
 
 
-@query(f"WITH RECURSIVE {_PAIRS}, ids AS (SELECT id FROM e), " + _CLOSE.format(t=THRESHOLD) + " SELECT size, count(*) AS clusters FROM (SELECT count(*) AS size FROM cl GROUP BY cluster_id) GROUP BY size ORDER BY size DESC LIMIT 20")
+@query(f"WITH RECURSIVE {_PAIRS}, ids AS (SELECT id FROM e), " + _CLOSE.format(t=f"sim >= {THRESHOLD}") + " SELECT size, count(*) AS clusters FROM (SELECT count(*) AS size FROM cl GROUP BY cluster_id) GROUP BY size ORDER BY size DESC LIMIT 20")
 def cluster_sizes(s, d):
-    v = _vectors(s, d)
-    sizes = split.identities(v, similar.edges(v, THRESHOLD)).groupBy("component").agg(F.count("*").alias("size"))
+    sizes = _classes(s, d).groupBy("component").agg(F.count("*").alias("size"))
     return sizes.groupBy("size").agg(F.count("*").alias("clusters")).orderBy(F.desc("size")).limit(20)
 
 
 @query(f"WITH RECURSIVE {_PAIRS}, ids AS (SELECT id FROM e), t AS (SELECT unnest([{', '.join(f'{t}::DOUBLE' for t in THRESHOLDS)}]) AS t), l AS (SELECT t, i AS a, j AS b FROM p, t WHERE sim >= t UNION ALL SELECT t, j, i FROM p, t WHERE sim >= t), w(t, a, b) AS (SELECT t, id, id FROM ids, t UNION SELECT w.t, w.a, l.b FROM w JOIN l ON w.b = l.a AND w.t = l.t), c AS (SELECT t, a AS id, min(b) AS component FROM w GROUP BY t, a), z AS (SELECT t, component, count(*) AS n FROM c GROUP BY t, component) SELECT t AS threshold, count(*) AS clusters, count(*) FILTER (WHERE n > 1) AS multi, max(n) AS largest FROM z GROUP BY t")
 def threshold_sensitivity(s, d):
-    from twinspark.shared import table
-
-    v = _vectors(s, d)
-    e = table(similar.edges(v, min(THRESHOLDS)), "pairs")  # stored once, cut again for each threshold
-    out = None
-    for t in THRESHOLDS:
-        c = connected_components(e.where(F.col("sim") >= t).select(F.col("i").alias("u"), F.col("j").alias("v"))).withColumnRenamed("node", "id")
-        sizes = v.select("id").join(c, "id", "left").groupBy(F.coalesce("component", "id").alias("c")).agg(F.count("*").alias("n"))
-        row = sizes.agg(F.lit(t).cast("double").alias("threshold"), F.count("*").alias("clusters"), F.count_if(F.col("n") > 1).alias("multi"), F.max("n").alias("largest"))
-        out = row if out is None else out.unionByName(row)
-    return out
+    return similar.sensitivity(_vectors(s, d), THRESHOLDS)
 
 
 @query(_SPLIT + "SELECT pos, dataset, md5, cluster_id, split FROM s")
@@ -231,9 +194,12 @@ def manifest(s, d):
 
 @query("SELECT label, count(*) AS total, min(vec_id) AS train, count(*) - 1 AS tests, array_to_string(list(vec_id ORDER BY vec_id) FILTER (WHERE vec_id > m), '|') AS test_ids FROM embeddings JOIN (SELECT label, min(vec_id) AS m FROM embeddings GROUP BY label) USING (label) GROUP BY label HAVING count(*) > 1")
 def one_train_split(s, d):
-    g = _vectors(s, d).groupBy("label").agg(F.count("*").alias("total"), F.array_sort(F.collect_list("id")).alias("ids")).where("total > 1")
-    rest = F.array_join(F.slice("ids", F.lit(2), F.col("total").cast("int")).cast("array<string>"), "|")
-    return g.select("label", "total", F.get("ids", F.lit(0)).alias("train"), (F.col("total") - 1).alias("tests"), rest.alias("test_ids"))
+    return split.one_train(_vectors(s, d), "label", "id").withColumnRenamed("test_names", "test_ids")
+
+
+@query(_SPLIT.replace(_AT_HALF, f"sim >= {THRESHOLD}") + "SELECT pos, dataset, md5, cluster_id, split FROM s")
+def identity_split_double(s, d):
+    return split.identity_split(_records(s, d), THRESHOLD, "double").select("pos", "dataset", "md5", "cluster_id", "split")
 
 
 _BEST = "PARTITION BY cluster_id ORDER BY prio, dataset, pos"
@@ -263,7 +229,7 @@ def round_robin_sample(s, d):
 @query("WITH n AS (SELECT doc_id, 'train/' || source || '_' || CAST(n_chars % 50 AS VARCHAR) || '.jpg' AS dest FROM documents), w AS (SELECT *, row_number() OVER (PARTITION BY dest ORDER BY doc_id) AS r FROM n), k AS (SELECT *, row_number() OVER (PARTITION BY r > 1 ORDER BY doc_id) - 1 AS k FROM w) SELECT doc_id, CASE WHEN r = 1 THEN dest ELSE replace(dest, '.jpg', '') || '_' || CAST(k AS VARCHAR) || '.jpg' END AS dest FROM k")
 def unique_dest_names(s, d):
     n = F.concat(F.lit("train/"), "source", F.lit("_"), (F.col("n_chars") % 50).cast("string"), F.lit(".jpg"))
-    return split.unique_names(_t(s, d, "documents").select("doc_id", n.alias("n")), "n", "doc_id").select("doc_id", "dest")
+    return split.unique_names(read(s, d, "documents").select("doc_id", n.alias("n")), "n", "doc_id").select("doc_id", "dest")
 
 
 # records and order
@@ -271,20 +237,21 @@ def unique_dest_names(s, d):
 
 @query("WITH o AS (SELECT doc_id, CAST(sum(n_chars) OVER (ORDER BY doc_id) - n_chars AS BIGINT) AS start, n_chars FROM documents) SELECT doc_id, start, CAST(lead(start, 1, (SELECT sum(n_chars) FROM documents)) OVER (ORDER BY start, doc_id) AS BIGINT) AS next FROM o")
 def next_offset(s, d):
-    docs = _t(s, d, "documents").select("doc_id", "n_chars")
-    o = order.running(docs, ["doc_id"], F.col("n_chars"), "end").select("doc_id", (F.col("end") - F.col("n_chars")).alias("start"), "end")
-    return o.select("doc_id", "start", F.col("end").alias("next"))
+    docs = read(s, d, "documents").select("doc_id", "n_chars")
+    o = order.running(docs, ["doc_id"], F.col("n_chars"), "end").select("doc_id", (F.col("end") - F.col("n_chars")).alias("start"), (F.col("end") - F.col("n_chars")).alias("at"))
+    size = docs.agg(F.sum("n_chars")).first()[0]
+    return order.following(o.select("doc_id", "start"), "start", F.lit(size).cast("long"), "next").select("doc_id", "start", "next")
 
 
 @query("SELECT doc_id, CAST(sum(CASE WHEN n_chars >= 500 THEN 1 ELSE 0 END) OVER (ORDER BY doc_id) AS BIGINT) AS written FROM documents")
 def running_number(s, d):
-    docs = _t(s, d, "documents").select("doc_id", "n_chars")
+    docs = read(s, d, "documents").select("doc_id", "n_chars")
     return order.running(docs, ["doc_id"], F.when(F.col("n_chars") >= 500, 1).otherwise(0), "written").select("doc_id", "written")
 
 
 @query("SELECT source, doc_id FROM documents ORDER BY source, doc_id LIMIT 250")
 def record_order_limit(s, d):
-    return _t(s, d, "documents").select("source", "doc_id").orderBy("source", "doc_id").limit(250)
+    return read(s, d, "documents").select("source", "doc_id").orderBy("source", "doc_id").limit(250)
 
 
 # ingest joins
@@ -293,12 +260,12 @@ def record_order_limit(s, d):
 @query("SELECT vec_id AS id, label FROM embeddings WHERE vec_id % 3 <> 0")
 def skip_existing(s, d):
     v = _vectors(s, d).select("id", "label")
-    return v.join(v.where("id % 3 = 0").select("id"), "id", "left_anti")
+    return store.skip_existing(v, v.where("id % 3 = 0"), "id")
 
 
 @query("SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN 'skipped' WHEN vec_id IS NOT NULL THEN 'from_cache' ELSE 'embed' END AS outcome FROM documents LEFT JOIN embeddings ON vec_id = doc_id")
 def ingest_outcomes(s, d):
-    rows = _t(s, d, "documents").select("doc_id", F.col("doc_id").alias("key"), F.concat(F.lit("images/"), F.col("doc_id").cast("string"), F.lit(".jpg")).alias("image_path"))
+    rows = read(s, d, "documents").select("doc_id", F.col("doc_id").alias("key"), F.concat(F.lit("images/"), F.col("doc_id").cast("string"), F.lit(".jpg")).alias("image_path"))
     cache = _vectors(s, d).select(F.col("id").alias("key"), "v", F.lit(0).alias("at"))
     return store.ingest_outcomes(rows, rows.where("doc_id % 5 = 0"), cache).select("doc_id", "outcome")
 
@@ -306,8 +273,8 @@ def ingest_outcomes(s, d):
 @query("SELECT doc_id, vec_id IS NOT NULL AS cached, label FROM documents LEFT JOIN embeddings ON vec_id = doc_id")
 def cache_left_join(s, d):
     v = _vectors(s, d)
-    docs = _t(s, d, "documents").select(F.col("doc_id"))
-    return docs.join(v.select(F.col("id").alias("doc_id"), "label", F.lit(True).alias("c")), "doc_id", "left").select("doc_id", F.coalesce("c", F.lit(False)).alias("cached"), "label")
+    hit = store.with_cache(read(s, d, "documents").select("doc_id"), v.select(F.col("id").alias("doc_id"), "v", F.lit(0).alias("at")), ["doc_id"])
+    return hit.join(v.select(F.col("id").alias("doc_id"), "label"), "doc_id", "left").select("doc_id", "cached", "label")
 
 
 @query("SELECT CASE WHEN doc_id % 5 = 0 THEN 'skipped' WHEN vec_id IS NOT NULL THEN 'from_cache' ELSE 'embed' END AS outcome, count(*) AS n FROM documents LEFT JOIN embeddings ON vec_id = doc_id GROUP BY 1")
@@ -330,14 +297,13 @@ def collection_delete_count(s, d):
 
 @query(_SPLIT + "SELECT DISTINCT cluster_id FROM s WHERE split = 'test' AND cluster_id NOT IN (SELECT cluster_id FROM s WHERE split = 'train' AND cluster_id IS NOT NULL)")
 def untrained_clusters(s, d):
-    rows = _splits(s, d)
-    return rows.where("split = 'test'").select("cluster_id").distinct().join(rows.where("split = 'train'").select("cluster_id"), "cluster_id", "left_anti")
+    return split.untrained(_splits(s, d))
 
 
 @query("SELECT DISTINCT name FROM (SELECT source || '_' || CAST(n_chars AS VARCHAR) AS name, doc_id % 4 = 0 AS test FROM documents) WHERE test AND name IN (SELECT source || '_' || CAST(n_chars AS VARCHAR) FROM documents WHERE doc_id % 4 <> 0)")
 def split_overlap(s, d):
-    rows = _t(s, d, "documents").select(F.concat_ws("_", "source", F.col("n_chars").cast("string")).alias("name"), (F.col("doc_id") % 4 == 0).alias("test"))
-    return rows.where("test").select("name").join(rows.where("not test").select("name"), "name", "left_semi").distinct()
+    rows = read(s, d, "documents").select(F.concat_ws("_", "source", F.col("n_chars").cast("string")).alias("name"), F.when(F.col("doc_id") % 4 == 0, "test").otherwise("train").alias("split"))
+    return split.overlap(rows, "name")
 
 
 @query("WITH k AS (SELECT min(doc_id) AS i FROM documents GROUP BY md5(text)), p AS (SELECT a.doc_id // 2 AS pair_index, a.doc_id AS image_a, b.doc_id AS image_b, md5(a.text) = md5(b.text) AS issame FROM documents a JOIN documents b ON b.doc_id = a.doc_id + 1 WHERE a.doc_id % 2 = 0) SELECT * FROM p WHERE image_a IN (SELECT i FROM k) AND image_b IN (SELECT i FROM k)")
@@ -347,7 +313,8 @@ def pair_semi(s, d):
     b = docs.select((F.col("name") - 1).alias("image_a"), F.col("name").alias("image_b"), F.col("md5").alias("other"))
     pairs = docs.where("name % 2 = 0").select(F.col("name").alias("image_a"), "md5").join(b, "image_a")
     pairs = pairs.select(F.floor(F.col("image_a") / 2).alias("pair_index"), "image_a", "image_b", (F.col("md5") == F.col("other")).alias("issame"))
-    return pairs.join(kept.withColumnRenamed("i", "image_a"), "image_a", "left_semi").join(kept.withColumnRenamed("i", "image_b"), "image_b", "left_semi")
+    whole = split.whole_pairs(pairs.withColumnsRenamed({"image_a": "a", "image_b": "b"}), kept.withColumnRenamed("i", "image"))
+    return whole.withColumnsRenamed({"a": "image_a", "b": "image_b"})
 
 
 # evaluation
@@ -394,7 +361,7 @@ def l2_normalize(s, d):
 @query(r"WITH n AS (SELECT page_id, 'a/b\' || CAST(page_id % 7 AS VARCHAR) || '_' || CAST(page_id AS VARCHAR) || '_1.jpg' AS path FROM pages) SELECT page_id, CAST(page_id % 7 AS VARCHAR) || '_' || CAST(page_id AS VARCHAR) AS identity, CAST(page_id % 7 AS VARCHAR) AS prefix, CAST(page_id % 7 AS VARCHAR) || '_' || CAST(page_id AS VARCHAR) || '_1.jpg' AS file FROM n")
 def identity_extract(s, d):
     path = F.concat(F.lit("a/b\\"), (F.col("page_id") % 7).cast("string"), F.lit("_"), F.col("page_id").cast("string"), F.lit("_1.jpg"))
-    p = _t(s, d, "pages").select("page_id", path.alias("path"))
+    p = read(s, d, "pages").select("page_id", path.alias("path"))
     return p.select("page_id", names.identity(F.col("path")).alias("identity"), names.source_prefix(names.identity(F.col("path"))).alias("prefix"), names.file_name(F.col("path")).alias("file"))
 
 
@@ -403,7 +370,7 @@ def priority_rank(s, d):
     return _docs(s, d).select(F.col("name").alias("pos"), "dataset", names.priority(F.col("dataset"), PRIORITY).cast("long").alias("prio"))
 
 
-@query("SELECT l_orderkey, l_linenumber, CAST(floor(l_discount * 1000 + 0.5) AS BIGINT) AS percent, CASE WHEN floor(l_discount * 1000 + 0.5) >= 50 THEN 'green' ELSE 'red' END AS band, printf('%.4f', l_discount) AS shown FROM lineitem")
+@query("SELECT l_orderkey, l_linenumber, CAST(floor(l_discount * 10 * 100 + 0.5) AS BIGINT) AS percent, CASE WHEN floor(l_discount * 10 * 100 + 0.5) >= 50 THEN 'green' ELSE 'red' END AS band, printf('%.4f', l_discount) AS shown FROM lineitem")
 def percent_band(s, d):
-    shown = F.floor(F.col("l_discount") * 1000 + 0.5)
-    return _t(s, d, "lineitem").select("l_orderkey", "l_linenumber", shown.cast("long").alias("percent"), F.when(shown >= 50, "green").otherwise("red").alias("band"), names.fixed(F.col("l_discount"), 4).alias("shown"))
+    score = F.col("l_discount") * 10
+    return read(s, d, "lineitem").select("l_orderkey", "l_linenumber", names.percent(score).cast("long").alias("percent"), names.band(score).alias("band"), names.fixed(F.col("l_discount"), 4).alias("shown"))

@@ -11,13 +11,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a temporary one is set only where it is unset (tests)."""
-    path = spark.conf.get("spark.checkpoint.dir", None)
+    """The folder named by ``spark.checkpoint.dir``. Where it is unset, a local session gets a temporary one; a cluster must name one that all its machines share."""
+    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not path:
-        found = spark.sparkContext.getCheckpointDir()
-        path = found or tempfile.mkdtemp(prefix="twinspark-")
-        if not found:
-            spark.sparkContext.setCheckpointDir(path)
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir is not set: it must name a folder that driver and executors share")
+        path = tempfile.mkdtemp(prefix="twinspark-")
+        spark.sparkContext.setCheckpointDir(path)
     return path.rstrip("/")
 
 

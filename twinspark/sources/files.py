@@ -10,7 +10,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from twinspark.functions.names import is_image
+from twinspark.functions.names import file_name, is_image, relative, stem, top_folder
+from twinspark.operators.order import following, numbered
 
 MANIFEST = "dataset_source string, name string, path string, md5 string, cluster_id string, split string, dest_name string"
 # fixed values of the container formats
@@ -18,15 +19,34 @@ VGG_HEADER, CASIA_HEADER = 32, 24
 LEAST_JPEG = 100
 
 
-def folder(spark: SparkSession, path: str, recursive: bool = False) -> DataFrame:
-    """Image files with their bytes, by lower-cased extension; order is up to the reader of the rows."""
-    return spark.read.format("binaryFile").option("recursiveFileLookup", recursive).load(path).where(is_image(F.col("path")))
+def folder(spark: SparkSession, path: str, recursive: bool = False, glob: str | None = None) -> DataFrame:
+    """Image files with their bytes, by lower-cased extension, or by a case-sensitive ``glob`` such as ``*.jpg``; order is up to the reader of the rows."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", recursive)
+    return files.option("pathGlobFilter", glob).load(path) if glob else files.load(path).where(is_image(F.col("path")))
 
 
 def datasets(files: DataFrame, root: str) -> DataFrame:
     """Top folders below ``root`` that hold an image."""
-    below = F.regexp_replace("path", r"^file:/+", "/")
-    return files.select(F.split(F.substr(below, F.lit(len(root.rstrip("/")) + 2)), "/")[0].alias("dataset")).distinct()
+    return files.select(top_folder(F.col("path"), root).alias("dataset")).distinct()
+
+
+def known(found: DataFrame, names: list[str]) -> DataFrame:
+    """(position, dataset) of the ``names`` that are among the datasets ``found``; others don't count."""
+    order = found.sparkSession.createDataFrame(list(enumerate(names)), "position int, dataset string")
+    return order.join(found.select("dataset"), "dataset", "left_semi").select("position", "dataset")
+
+
+def person_folders(files: DataFrame, root: str, first: int | None = None) -> DataFrame:
+    """(person, name, path) of the images right in the folders below ``root``; of the ``first`` persons by name, if given (0: all)."""
+    part = F.split(relative(F.col("path"), root), "/")
+    rows = files.where(is_image(F.col("path"))).select(F.get(part, F.lit(0)).alias("person"), F.get(part, F.lit(1)).alias("name"), "path", F.size(part).alias("depth"))
+    rows = rows.where("depth = 2").drop("depth")
+    return rows.join(rows.select("person").distinct().orderBy("person").limit(first), "person", "left_semi") if first else rows
+
+
+def uploads(files: DataFrame) -> DataFrame:
+    """(path, content) with ``stored``, a name that no other upload has."""
+    return files.withColumn("stored", F.concat_ws("_", F.uuid(), file_name(F.col("path"))))
 
 
 def manifest(spark: SparkSession, path: str) -> DataFrame:
@@ -37,26 +57,39 @@ def manifest(spark: SparkSession, path: str) -> DataFrame:
     return rows
 
 
+def manifest_keys(rows: DataFrame) -> DataFrame:
+    """(dataset_source, name) of the rows in which neither is blank."""
+    return rows.select("dataset_source", "name").where("trim(dataset_source) <> '' and trim(name) <> ''")
+
+
 def write_manifest(rows: DataFrame, path: str) -> None:
     rows.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in (x.split(" ")[0] for x in MANIFEST.split(", "))]).orderBy("dataset_source", "name").write.csv(path, header=True, emptyValue="")
 
 
+def _lines(spark: SparkSession, path: str) -> DataFrame:
+    """(n, line) of a text file, read in splits: lines are ordered by their split and their place in it."""
+    rows = spark.read.text(path).select(F.col("_metadata.file_block_start").alias("split"), F.monotonically_increasing_id().alias("place"), F.col("value").alias("line"))
+    return numbered(rows, ["split", "place"], "n").select("n", "line")
+
+
 def index(spark: SparkSession, path: str) -> DataFrame:
-    """(idx, offset) of an index file; bad lines are skipped, a repeated idx keeps its last line."""
-    lines = spark.read.text(path, wholetext=True).select(F.posexplode(F.split("value", "\n")).alias("n", "line"))
-    parts = lines.select("n", F.split("line", "\t").alias("p")).where(F.size("p") >= 2)
-    rows = parts.select("n", F.get("p", F.lit(0)).try_cast("long").alias("idx"), F.get("p", F.lit(1)).try_cast("long").alias("offset")).where("idx is not null and offset is not null")
-    return rows.groupBy("idx").agg(F.max_by("offset", "n").alias("offset"))
+    """(idx, offset) of an index file; bad lines are skipped, a repeated idx keeps its last line; ValueError if none is good."""
+    parts = _lines(spark, path).select("n", F.split("line", "\t").alias("p")).where(F.size("p") >= 2)
+    number = lambda i: F.trim(F.get("p", F.lit(i))).try_cast("long")
+    rows = parts.select("n", number(0).alias("idx"), number(1).alias("offset")).where("idx is not null and offset is not null")
+    rows = rows.groupBy("idx").agg(F.max_by("offset", "n").alias("offset"))
+    if rows.isEmpty():
+        raise ValueError(f"no usable line in {path}")
+    return rows
 
 
 def labels(spark: SparkSession, path: str) -> DataFrame:
-    """(position, label) of a list file: idx, path, label by tabs; label 0 gives way to the path's second-last part."""
-    lines = spark.read.text(path, wholetext=True).select(F.posexplode(F.split("value", "\n")).alias("n", "line"))
-    parts = lines.select("n", F.split("line", "\t").alias("p")).where(F.size("p") >= 3)
-    own, where = F.get("p", F.lit(2)).try_cast("double").cast("long"), F.split(F.get("p", F.lit(1)), "/")
-    rows = parts.select("n", F.when((own == 0) & (F.size(where) > 1), F.get(where, F.size(where) - 2).try_cast("long")).otherwise(own).alias("label")).where("label is not null")
-    from twinspark.operators.order import numbered
-
+    """(position, label) of a list file: idx, path, label by tabs; label 0 gives way to the path's second-last part. Lines without a whole number are dropped and don't count."""
+    parts = _lines(spark, path).select("n", F.split("line", "\t").alias("p")).where(F.size("p") >= 3)
+    whole = lambda c: F.when(F.trim(c).rlike(r"^[+-]?[0-9]+$"), F.trim(c).try_cast("long"))
+    where = F.split(F.regexp_replace(F.get("p", F.lit(1)), "/+$", ""), "/")
+    own, slash = whole(F.get("p", F.lit(2))), F.get("p", F.lit(1)).contains("/")
+    rows = parts.select("n", F.when((own == 0) & slash & (F.size(where) > 1), whole(F.get(where, F.size(where) - 2))).otherwise(own).alias("label")).where("label is not null")
     return numbered(rows, ["n"], "position").select("position", "label")
 
 
@@ -66,8 +99,6 @@ def regions(offsets: DataFrame, path: str, size: int) -> DataFrame:
     Tasks hold neighbouring offsets and read just their ranges, so no task loads the file; ``path`` is one that
     pyarrow's file systems open (a local path or a URI that all executors reach).
     """
-    from twinspark.operators.order import following
-
     ends = following(offsets.select("offset").distinct(), "offset", F.lit(size).cast("long"), "next")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -127,13 +158,31 @@ def read_bin(data: bytes) -> tuple[list[bytes], list[bool]]:
 
 
 def verification(files: DataFrame) -> DataFrame:
-    """(path, content) of pickled verification sets to a row an image: path, image, pair_index, issame, jpeg."""
+    """(path, content) of pickled verification sets to a row an image: path, image, pair_index, pairs (of the set), issame, jpeg."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             for path, content in zip(b["path"], b["content"], strict=True):
                 bins, same = read_bin(bytes(content))
                 n = range(len(bins))
-                yield pd.DataFrame({"path": path, "image": list(n), "pair_index": [i // 2 for i in n], "issame": [same[i // 2] if i // 2 < len(same) else None for i in n], "jpeg": bins})
+                yield pd.DataFrame({"path": path, "image": list(n), "pair_index": [i // 2 for i in n], "pairs": len(same), "issame": [same[i // 2] if i // 2 < len(same) else None for i in n], "jpeg": bins})
+
+    return files.select("path", "content").mapInPandas(run, "path string, image int, pair_index int, pairs int, issame boolean, jpeg binary")
 
-    return files.select("path", "content").mapInPandas(run, "path string, image int, pair_index int, issame boolean, jpeg binary")
+
+def check_bins(images: DataFrame) -> DataFrame:
+    """(path, images, pairs, complete) of ``verification``: whether a set has two images for each pair."""
+    return images.groupBy("path").agg(F.count("*").alias("images"), F.max("pairs").alias("pairs"), (F.count("*") == 2 * F.max("pairs")).alias("complete"))
+
+
+def verification_sets(spark: SparkSession, root: str, known: dict[str, str]) -> DataFrame:
+    """Images of the ``.bin`` files below ``root`` whose stem ``known`` maps to a dataset, with ``dataset``; others are skipped.
+
+    FileNotFoundError if there is none.
+    """
+    sets = spark.createDataFrame(list(known.items()), "stem string, dataset string")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.bin").load(root)
+    named = files.select("path", stem(F.col("path")).alias("stem")).join(F.broadcast(sets), "stem").select("path", "dataset")
+    if named.isEmpty():
+        raise FileNotFoundError(f"no known .bin files in {root}")
+    return verification(files.join(F.broadcast(named.select("path")), "path", "left_semi")).join(F.broadcast(named), "path")

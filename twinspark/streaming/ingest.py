@@ -7,17 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from twinspark.sources import paths
+
 
 def ingest_stream(spark: SparkSession, landing: str, schema: str, store: str, checkpoint: str, prepare: Callable[[DataFrame], DataFrame] = lambda d: d) -> StreamingQuery:
-    """Append rows of Parquet files in ``landing`` whose image_path is not in ``store`` yet, once each."""
+    """Append rows of Parquet files in ``landing`` whose image_path is not in ``store`` yet, once each.
+
+    A batch meets the paths of the store only, a column that Parquet reads by itself.
+    """
 
     def batch(rows: DataFrame, _: int) -> None:
         new = prepare(rows.dropDuplicates(["image_path"]))
-        try:
-            new = new.join(spark.read.parquet(store).select("image_path"), "image_path", "left_anti")
-        except Exception as e:
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
+        if paths.exists(spark, store):
+            new = new.join(spark.read.schema("image_path string").parquet(store), "image_path", "left_anti")
         new.write.mode("append").parquet(store)
 
     return spark.readStream.schema(schema).parquet(landing).writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
