@@ -14,7 +14,7 @@ removal. Exact copies of a text count as one text and are treated alike.
 
 Edge cases: a null text stays null and has no lines; blank lines are never dropped; null ids sort
 first; repeated rows are copies; an empty table gives an empty result; other columns pass through,
-whatever their names (a column ``lines`` of the input gives way to the result's).
+whatever their names (one that is called like ``into`` gives way to it).
 """
 
 from __future__ import annotations
@@ -103,8 +103,8 @@ def templates(docs: DataFrame, min_docs: int = MIN_DOCS) -> tuple[DataFrame, Dat
     return lines, table(count.select("tid", "least"), "recurring")
 
 
-def line_dedup(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
-    """``docs`` with boilerplate lines dropped from ``text``, and ``n_lines`` and ``n_dropped`` in a struct ``lines``."""
+def line_dedup(docs: DataFrame, min_docs: int = MIN_DOCS, into: str = "lines") -> DataFrame:
+    """``docs`` with boilerplate lines dropped from ``text``, and ``n_lines`` and ``n_dropped`` in the struct ``into``."""
     lines, recurring = templates(docs, min_docs)
     tokens = F.col("n") * F.col("times")
     gone = lines.join(recurring, "tid", "left").groupBy("a", "b").agg(
@@ -119,8 +119,8 @@ def line_dedup(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     n = F.when(F.col("d.text").isNull(), 0).otherwise(F.size(parts)).cast("long")
     info = F.struct(n.alias("n_lines"), F.when(F.col("kept").isNull(), 0).otherwise(n - F.size("kept")).cast("long").alias("n_dropped"))
     text = F.when(F.col("kept").isNull(), F.col("d.text")).otherwise(F.array_join("kept", "\n"))
-    cols = [text.alias("text") if c == "text" else F.col("d").getField(c).alias(c) for c in docs.columns if c.lower() != "lines"]
-    return out.select(*cols, info.alias("lines"))
+    cols = [text.alias("text") if c == "text" else F.col("d").getField(c).alias(c) for c in docs.columns if c.lower() != into.lower()]
+    return out.select(*cols, info.alias(into))
 
 
 def op7(spark, sf_dir: str) -> DataFrame:

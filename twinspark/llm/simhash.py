@@ -10,8 +10,8 @@ through distributed connected components.
 
 ``near_duplicates`` is the form for corpora: five-word shingles, similarity 0.8. Such documents
 differ in about 15 % of the bits, so there the decoding is soft: a segment's signed margins pick the
-nearest codewords. 128 bits only propose pairs, which unite most copies at little cost; a link is one
-whose sets of distinct shingles have the similarity. What they miss is found by an exact prefix filter:
+nearest codewords. 128 bits only propose classes, in which all sets of distinct shingles are compared;
+a link is a pair of sets that have the similarity. What they miss is found by an exact prefix filter:
 in a common order of all shingles, two sets of similarity s share one of their first n - ceil(s n) + 1,
 and how many of these they share, and where, bounds what they can have in common.
 
@@ -34,13 +34,16 @@ from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
 from twinspark.llm import golay
-from twinspark.operators.graph import connected_components
+from twinspark.operators.graph import connected_components, local_components
 from twinspark.shared import table
 
 SEED = 42
 GROUP = 4096  #: fingerprints of a key that one comparison holds; larger groups are compared in blocks of this size
 WIDE = 48  #: fingerprints of a key from which on it is compared by reach
 FRONT = 16  #: reached rows that meet the others at once
+NAME_BITS = 20  #: of the hash of a text, for the filter that keeps other texts from moving
+BLOCK_ROWS, BLOCK_SHINGLES = 1024, 1 << 20  #: of sets that are compared at once
+COLUMNS = 2048  #: shingles of a block that are counted at once
 SKETCH_BITS = 20  #: shingles are counted by so many bits of their hash; common ones come last in the order of the prefix filter
 PAIRS = list(combinations(range(3), 2))
 
@@ -158,19 +161,6 @@ def _bits(x: np.ndarray) -> np.ndarray:
     return np.bitwise_count(x.view(np.uint64)).astype(np.int64)
 
 
-def _spanning(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """Label of each of n rows: the smallest row that links (i, j) reach."""
-    label = np.arange(n)
-    while True:
-        was = label.copy()
-        low = np.minimum(label[i], label[j])
-        np.minimum.at(label, i, low)
-        np.minimum.at(label, j, low)
-        label = label[label]
-        if (label == was).all():
-            return label
-
-
 def _reach(f0: np.ndarray, f1: np.ndarray, most: int) -> np.ndarray:
     """Label of each row of one key: the first row that links of ``most`` bits at most reach.
 
@@ -204,7 +194,7 @@ def _compare(key: np.ndarray, f0: np.ndarray, f1: np.ndarray, most: int) -> np.n
         at = at[: np.searchsorted(at, n - lag)]
         at = at[key[at] == key[at + lag]]
         if not len(at):
-            return _spanning(n, np.concatenate(us), np.concatenate(vs))
+            return local_components(n, np.concatenate(us), np.concatenate(vs))
         ok = _bits(f0[at] ^ f0[at + lag]) + _bits(f1[at] ^ f1[at + lag]) <= most
         us.append(at[ok])
         vs.append(at[ok] + lag)
@@ -291,8 +281,11 @@ def components(docs: DataFrame) -> DataFrame:
     return prints.join(root.join(least, "root").select("f0", "component_id"), "f0")
 
 
-def verified(docs: DataFrame, each: DataFrame, pairs: DataFrame, k: int, similarity: float) -> DataFrame:
-    """The pairs (u, v) of nodes whose sets have the Jaccard similarity; ``each`` names a text (a, b) and the size n of each node."""
+def _sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
+    """(node, held): the shingle hashes of one text of each of the ``wanted`` sets (a, b).
+
+    Texts that aren't wanted mostly don't move: a broadcast of at most 2^20 prefixes of their hashes comes first.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -300,13 +293,80 @@ def verified(docs: DataFrame, each: DataFrame, pairs: DataFrame, k: int, similar
             held = pa.array([h.view(np.int64) for h, _ in sets], pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays([pa.array([n for _, n in sets], pa.int64()), held], ["node", "held"])
 
-    sizes = each.select("node", "n")
-    pairs = pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).where("u <> v").distinct()
-    pairs = pairs.join(sizes.select(F.col("node").alias("u"), F.col("n").alias("nu")), "u").join(sizes.select(F.col("node").alias("v"), F.col("n").alias("nv")), "v")
-    pairs = table(pairs.where(F.least("nu", "nv") >= similarity * F.greatest("nu", "nv") - 1e-9).select("u", "v"), "candidates")
+    bits = F.shiftrightunsigned("a", 64 - NAME_BITS).cast("int").alias("bits")
+    wanted = table(wanted.select("a", "b", bits), "wanted")
+    texts = docs.select(*_named(F.col("text")), "text").select("*", bits).join(F.broadcast(wanted.select("bits").distinct()), "bits", "left_semi")
+    one = texts.groupBy("a", "b").agg(F.first("text").alias("text"))  # copies combine before they move
+    return table(one.join(wanted.select("a", "b"), ["a", "b"], "left_semi").select("text").mapInArrow(run, "node long, held array<long>"), "sets")
+
+
+def _alike(sets: list[np.ndarray], own: np.ndarray, similarity: float) -> np.ndarray:
+    """Label of each of some sets: the first one that links of the similarity reach; with two kinds of ``own``, links from one to the other only.
+
+    Common shingles are counted by products of 0-1 matrices, some columns at a time.
+    """
+    size = np.array([len(x) for x in sets])
+    flat = np.concatenate(sets)
+    row = np.repeat(np.arange(len(sets)), size)
+    order = np.argsort(flat, kind="stable")
+    new = np.r_[True, flat[order][1:] != flat[order][:-1]] if len(flat) else np.zeros(0, bool)
+    group = np.cumsum(new) - 1
+    again = np.bincount(group) > 1 if len(flat) else np.zeros(0, bool)
+    col, row = (np.cumsum(again) - 1)[group][again[group]], row[order][again[group]]
+    one, two = np.flatnonzero(own == own[0]), np.flatnonzero(own != own[0])
+    two = two if len(two) else one
+    common = np.zeros((len(one), len(two)), np.float32)
+    for a in range(0, int(again.sum()), COLUMNS):
+        p, q = np.searchsorted(col, [a, a + COLUMNS])
+        m = np.zeros((len(sets), COLUMNS), np.float32)
+        m[row[p:q], col[p:q] - a] = 1
+        common += m[one] @ m[two].T
+    i, j = np.nonzero(common >= similarity * (size[one][:, None] + size[two] - common) - 1e-6)
+    return local_components(len(sets), one[i], two[j])
+
+
+def within(docs: DataFrame, each: DataFrame, classes: DataFrame, k: int, similarity: float) -> DataFrame:
+    """Links (u, v) whose closure is that of all pairs of the similarity within classes (node, class).
+
+    Sets of a class meet in blocks of a bounded number of rows and shingles, each pair of blocks in a group of its own.
+    """
+    order = Window.partitionBy("class").orderBy("node").rowsBetween(Window.unboundedPreceding, 0)
+    rows = classes.join(classes.groupBy("class").agg(F.count("*").alias("rows")).where("rows > 1").select("class"), "class").join(each.select("node", "a", "b", "n"), "node")
+    number = F.greatest(F.floor((F.count("*").over(order) - 1) / BLOCK_ROWS), F.floor(F.sum("n").over(order) / BLOCK_SHINGLES)).cast("int")
+    rows = table(rows.select("class", "node", "a", "b", number.alias("own")), "members")
+    last = rows.groupBy("class").agg(F.max("own").alias("last"))
+    met = rows.join(_sets(docs, rows.select("a", "b"), k), "node").join(last, "class")
+    met = met.withColumn("other", F.explode(F.sequence(F.lit(0), "last")))
+    met = met.select("class", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "own", "node", "held")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def flush(rows: list[tuple]) -> pa.RecordBatch:
+            node = np.array([r[4] for r in rows], np.int64)
+            label = _alike([r[5] for r in rows], np.array([r[3] for r in rows]), similarity)
+            at = np.flatnonzero(label != np.arange(len(rows)))
+            return pa.RecordBatch.from_arrays([pa.array(node[at]), pa.array(node[label[at]])], ["u", "v"])
+
+        held: list[tuple] = []
+        for b in batches:
+            whole = b.column(5)
+            flat, ends = whole.flatten().to_numpy().view(np.uint64), np.diff(whole.offsets.to_numpy()).cumsum()
+            sets = [x.copy() for x in np.split(flat, ends[:-1])]
+            for r in zip(*(b.column(i).to_pylist() for i in range(5)), sets, strict=True):
+                if held and r[:3] != held[0][:3]:
+                    yield flush(held)
+                    held = []
+                held.append(r)
+        if held:
+            yield flush(held)
+
+    return met.repartition("class", "x", "y").sortWithinPartitions("class", "x", "y").mapInArrow(run, "u long, v long")
+
+
+def verified(docs: DataFrame, each: DataFrame, pairs: DataFrame, k: int, similarity: float) -> DataFrame:
+    """The pairs (u, v) of nodes whose sets have the Jaccard similarity; ``each`` names a text (a, b) of each node."""
+    pairs = table(pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).where("u <> v").distinct(), "candidates")
     nodes = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
-    texts = docs.select(*_named(F.col("text")), "text").join(nodes.join(each.select("node", "a", "b"), "node").select("a", "b"), ["a", "b"], "left_semi")
-    sets = table(texts.dropDuplicates(["a", "b"]).select("text").mapInArrow(run, "node long, held array<long>"), "sets")
+    sets = _sets(docs, nodes.join(each.select("node", "a", "b"), "node"), k)
     both = pairs.join(sets.select(F.col("node").alias("u"), F.col("held").alias("x")), "u").join(sets.select(F.col("node").alias("v"), F.col("held").alias("y")), "v")
     both = both.select("u", "v", (F.size("x") + F.size("y")).alias("n"), F.size(F.array_intersect("x", "y")).alias("common"))
     return both.where(F.col("common") >= similarity * (F.col("n") - F.col("common")) - 1e-9).select("u", "v")
@@ -377,6 +437,30 @@ def _prefix(n: int, similarity: float) -> int:
     return n - math.ceil(similarity * n - 1e-9) + 1
 
 
+def _least_shared(a: Column, b: Column, similarity: float) -> Column:
+    """Prefix keys that sets of a and b shingles share at least if they have the similarity."""
+    after = lambda n: F.ceil(similarity * n - 1e-9) - 1  # noqa: E731  shingles after the prefix
+    need = F.lit(similarity / (1 + similarity)) * (a + b) - 1e-6
+    return need - F.greatest(F.least(after(a), b), F.least(after(b), a))
+
+
+def reachable(rows: DataFrame, similarity: float, rounds: int = 1) -> DataFrame:
+    """(key, node, n, pos, class) without the sets that can't be similar to one of another class.
+
+    A set shares at least so many prefix keys with a similar one, the fewer the further their sizes are apart;
+    a set with fewer keys that occur in other classes, given the sizes there, goes with all its keys. That may leave
+    others with too few, so it is done again.
+    """
+    for _ in range(rounds):
+        keys = rows.groupBy("key").agg(F.min("class").alias("c0"), F.max("class").alias("c1"), F.min("n").alias("low"), F.max("n").alias("high")).where("c0 <> c1")
+        rows = rows.join(keys.select("key", "low", "high"), "key")
+        own = rows.groupBy("node", "n").agg(F.count("*").alias("shared"), F.min("low").alias("low"), F.max("high").alias("high"))
+        low, high = F.greatest("low", F.ceil(similarity * F.col("n") - 1e-9)), F.least("high", F.floor(F.col("n") / similarity + 1e-9))
+        least = F.least(_least_shared(F.col("n"), low, similarity), _least_shared(F.col("n"), high, similarity))
+        rows = table(rows.drop("low", "high").join(own.where(F.col("shared") >= least).select("node"), "node", "left_semi"), "reachable")
+    return rows
+
+
 def met(rows: DataFrame, similarity: float) -> DataFrame:
     """(key, node, n, pos, class) to the pairs (u, v) of nodes of different classes that their prefixes don't rule out.
 
@@ -405,20 +489,20 @@ def near_duplicates(docs: DataFrame, k: int = 5, similarity: float = 0.8) -> Dat
 
     ``similarity`` is the Jaccard similarity s of shingle sets; the cosine of their SimHash sums is
     2s/(1+s) for sets of a size, and bits differ with probability acos(cosine)/pi. The limit is that
-    of 128 bits, and two more for the spread of the estimate. Pairs are compared exactly: first those
-    within it that span a class, then all that the prefix filter leaves and that the first left in
-    different classes. A set goes by two 64-bit hashes; of sets that share the first only one is
+    of 128 bits, and two more for the spread of the estimate. Closure of the pairs within it makes classes to
+    compare: all pairs in a class are compared exactly, and of the pairs across classes all that the prefix filter
+    leaves. A set goes by two 64-bit hashes; of sets that share the first only one is
     compared, the others stay, so that no hash ever removes a text unlike the one that is kept.
     """
     most = int(128 * math.acos(2 * similarity / (1 + similarity)) / math.pi + 2)
     prints = table(soft_prints(docs, k).distinct(), "prints")
     least = prints.groupBy("node").agg(F.min(F.struct("other", "a", "b", "n", "f0", "f1", "keys")).alias("m"))
     each = table(least.select("node", "m.*"), "nodes")
-    held = table(verified(docs, each, proposed(each, most), k, similarity), "held")
-    label = each.select("node").join(connected_components(held), "node", "left").select("node", F.coalesce("component", "node").alias("class"))
-    rows = table(prefix_keys(docs, k, similarity).join(label, "node"), "reached")
-    shared = rows.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low <> high").select("key")
-    more = verified(docs, each, met(rows.join(shared, "key"), similarity), k, similarity)
+    near = connected_components(proposed(each, most))
+    classes = table(each.select("node").join(near, "node", "left").select("node", F.coalesce("component", "node").alias("class")), "classes")
+    held = table(within(docs, each, classes, k, similarity), "held")
+    rows = reachable(prefix_keys(docs, k, similarity).join(classes, "node"), similarity)
+    more = verified(docs, each, met(rows, similarity), k, similarity)
     linked = connected_components(held.unionByName(more))
     root = each.join(linked, "node", "left").select("node", "other", F.coalesce("component", "node").alias("root"))
     nodes = prints.select("a", "b", "node", "other").join(root, ["node", "other"], "left")
