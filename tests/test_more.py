@@ -89,7 +89,7 @@ def test_folders(spark, tmp_path):
     assert files.person_folders(every, f"file://{root}/B", 0).count() == 2
     assert len({r.stored for r in files.uploads(every).collect()}) == 5
     assert paths.children(spark, root, True) == ["A", "B", "C"] and paths.children(spark, f"{root}/none", True) == []
-    assert paths.dataset_dir(spark, root, "a.jpg" if False else "z.bmp") == root and paths.dataset_dir(spark, f"{root}/B", "b.jpeg") == f"{root}/B/p2"
+    assert paths.dataset_dir(spark, root, "z.bmp") == root and paths.dataset_dir(spark, f"{root}/B", "b.jpeg") == f"{root}/B/p2"
     with pytest.raises(FileNotFoundError):
         paths.dataset_dir(spark, root, "train.rec")
     paths.check_apart("/a/b", "/a/bc")

@@ -37,8 +37,9 @@ def _plain(path: str) -> str:
 
 
 def relative(path: Column, root: str) -> Column:
-    """The path below ``root``; scheme and host count for neither."""
-    return F.substr(F.regexp_replace(path, r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?/*", "/"), F.lit(len(_plain(root)) + 2))
+    """The path below ``root``, null if it isn't there; scheme and host count for neither."""
+    plain = F.regexp_replace(path, r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?/*", "/")
+    return F.when(F.startswith(plain, F.lit(_plain(root) + "/")), F.substr(plain, F.lit(len(_plain(root)) + 2)))
 
 
 def top_folder(path: Column, root: str) -> Column:

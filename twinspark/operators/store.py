@@ -23,7 +23,7 @@ def typed(rows: DataFrame, dim: int) -> DataFrame:
     out = out.where(valid(F.col("embedding"), dim))
     for c, n in LENGTHS.items():
         out = out.where(F.length(c) <= n)
-    return out.select(F.col("embedding").cast("array<float>").alias("embedding"), *LENGTHS)
+    return out.select(F.col("embedding").cast("array<float>").alias("embedding", metadata={"dim": dim}), *LENGTHS)
 
 
 def schema(dim: int) -> T.StructType:
@@ -42,7 +42,7 @@ def load(spark: SparkSession, path: str) -> DataFrame:
     """The collection in a folder; FileNotFoundError if there is none."""
     if not paths.exists(spark, path):
         raise FileNotFoundError(f"no collection in {path}")
-    return spark.read.schema(schema(0)).parquet(path)
+    return spark.read.parquet(path)
 
 
 def describe(spark: SparkSession, path: str) -> dict[str, object]:
