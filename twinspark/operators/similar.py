@@ -244,7 +244,7 @@ def lsh_candidates(queries: DataFrame, gallery: DataFrame, tables: int, probes:
     return q.join(g, "key").where("query <> id").select("query", "id").distinct()
 
 
-def lsh_nearest(queries: DataFrame, gallery: DataFrame, k: int, tables: int = 16, probes: int = 3, stored: int = 2, seed: int = 7) -> DataFrame:
+def lsh_nearest(queries: DataFrame, gallery: DataFrame, k: int, tables: int = 28, probes: int = 2, stored: int = 1, seed: int = 7) -> DataFrame:
     """Approximate ``nearest``: candidates by ``lsh_candidates``, made distinct before vectors are attached, then compared exactly."""
     pairs = lsh_candidates(queries, gallery, tables, probes, stored, seed)
     pairs = pairs.join(queries.select(F.col("id").alias("query"), F.col("v").alias("qv")), "query").join(gallery.select("id", "v"), "id")
