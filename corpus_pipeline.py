@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from twinspark.llm import decontaminate, lines, mixing, quality, simhash
 from twinspark.llm.common import free_name, read
-from twinspark.shared import ship, table
+from twinspark.shared import mark, release, ship, table
 
 
 def _counted(out: DataFrame, docs: DataFrame) -> DataFrame:
@@ -62,9 +62,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(ship(spark), sf_dir, "documents")
+    docs, since = read(ship(spark), sf_dir, "documents"), mark(spark)
     for i, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if i + 1 < len(STAGES):
             docs = table(docs, name.replace(" ", "-"))
+            release(spark, since)  # what the stage wrote on its way, and its input
     return docs

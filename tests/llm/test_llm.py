@@ -4,7 +4,9 @@ import zlib
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
+from twinspark.operators.graph import local_components
 from twinspark.llm import chat, decontaminate, golay, language, lines, media, mixing, quality, simhash, suffix, warc
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, score double, k string"
@@ -36,9 +38,10 @@ def test_edge_rows(spark, edge, empty):
         assert suffix.clean(docs).count() == rows
         assert media.features(media.encode(docs)).count() == rows
         assert language.predict(docs, language.learn(docs)).count() == rows
-        x, model = quality.learned(docs, labels)
-        assert quality.score(x, model).count() == rows
-        assert quality.score(x, quality.learned(docs, labels.limit(0))[1]).where("score <> 0.5").count() == 0
+        x = quality.stats(docs)
+        assert quality.score(x, quality.learned(x, labels)).count() == rows
+        assert quality.score(x, quality.learned(x, labels.limit(0))).where("score <> 0.5").count() == 0
+        assert quality.filter_quality(docs, labels).columns == docs.columns
         assert mixing.schedule(docs).count() == rows
     near = simhash.near_duplicates(edge)
     assert near.columns == edge.columns and near.where("doc_id = 3").count() == 1
@@ -107,7 +110,7 @@ def test_reach_against_brute_force():
         for _ in range(4):
             f0 ^= np.where(rng.random(n) < 0.6, np.int64(1) << rng.integers(0, 63, n), 0)
         i, j = np.nonzero((key[:, None] == key) & (np.bitwise_count((f0[:, None] ^ f0).view(np.uint64)) <= 3))
-        assert (simhash._compare(key, f0, f1, 3) == simhash._spanning(n, i, j)).all()
+        assert (simhash._compare(key, f0, f1, 3) == local_components(n, i, j)).all()
 
 
 def test_near_copies(spark):
@@ -163,6 +166,25 @@ def test_near_duplicates_against_brute_force(spark):
     assert tight > 10 and got == set(root.values())
 
 
+def test_blocks_of_a_large_class(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "BLOCK_ROWS", 7)
+    monkeypatch.setattr(simhash, "COLUMNS", 16)
+    rng = np.random.default_rng(10)
+    base = [f"w{x}" for x in range(60)]
+    rows = []
+    for i in range(80):
+        w = list(base)
+        for p in rng.integers(0, 60, int(rng.integers(0, 5))):
+            w[p] = f"e{rng.integers(0, 10**6)}"
+        rows.append((i, " ".join(w)))
+    sets = [{tuple(t.split()[j : j + 5]) for j in range(56)} for _, t in rows]
+    i, j = np.nonzero([[len(a & b) >= 0.8 * len(a | b) for b in sets] for a in sets])
+    root = local_components(80, i, j)
+    assert 1 < len(set(root.tolist())) < 60
+    got = {r.doc_id for r in simhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == set(root.tolist())
+
+
 def test_one_row_of_each_class(spark):
     a, b, c, d = (" ".join(f"{x}{i}" for i in range(40)) for x in "abcd")
     rows = [(1, a), (1, b), (2, a), (2, c), (3, c), (None, d), (None, a), (None, d.upper()), (None, "z"), (1, a)]
@@ -193,8 +215,8 @@ def test_suffix_against_brute_force(spark, monkeypatch):
     docs = [(i, " ".join(word() for _ in range(20)) + (shared if i % 3 else shared[:50]) + " ".join(word() for _ in range(10))) for i in range(12)]
     docs += [(20, docs[0][1]), (21, None), (22, "ab" * 100), (23, "x")]
     df = spark.createDataFrame(docs, "doc_id long, text string")
-    for hot in (2000, 1):
-        monkeypatch.setattr(suffix, "HOT", hot)
+    for hot in (1 << 20, 1):
+        monkeypatch.setattr(suffix, "HOT_BYTES", hot)
         for keep in ("none", "first"):
             rows, parts = suffix.repeats(df, 40, keep)
             kept = {(r.a, r.b): r for r in parts.collect()}
@@ -205,6 +227,25 @@ def test_suffix_against_brute_force(spark, monkeypatch):
                 assert removed == want[r.doc_id][1], (hot, keep, r.doc_id)
 
 
+def test_suffix_one_hash_of_many_long_stretches(spark, monkeypatch):
+    monkeypatch.setattr(suffix, "HOT_BYTES", 4000)
+    rng = np.random.default_rng(9)
+    word = lambda n: "".join(rng.choice(list("abcdefgh"), n))
+    passage = word(120)
+    docs = [(str(i), word(60) + (passage if i % 5 else passage[:70]) + word(60)) for i in range(60)]
+    docs += [(f"p{i}", "ab" * (200 + i) + word(30)) for i in range(6)] + [(None, "ab" * 150), (None, word(80))]
+    for keep in ("none", "first"):
+        rows, parts = suffix.repeats(spark.createDataFrame(docs, "doc_id string, text string"), 40, keep)
+        kept = {(r.a, r.b): len(r.kept) for r in parts.collect()}
+        got = sorted((r.doc_id or "", r.n_bytes, r.n_bytes if r.gone else r.n_bytes - kept.get((r.a, r.b), r.n_bytes)) for r in rows.collect())
+        order = sorted(docs, key=lambda d: (d[0] is not None, d[0] or ""))
+        if keep == "first":  # null ids: by hash of the text
+            turn = {r.n_bytes: (r.a, r.b) for r in rows.where("doc_id is null").collect()}
+            order[:2] = sorted(order[:2], key=lambda d: turn[len(d[1])])
+        want = suffix.brute([(i, t) for i, (_, t) in enumerate(order)], 40, keep)
+        assert got == sorted((d or "", *want[i][:2]) for i, (d, _) in enumerate(order)), keep
+
+
 def test_suffix_shared_pieces_without_repeats(spark):
     rng = np.random.default_rng(5)
     shared = "".join(rng.choice(list("abcdefgh"), 35))
@@ -260,25 +301,30 @@ def test_media():
 
 
 def test_chat(spark):
-    events = [
-        (1, 0, "p", "user", 3, "delta", "lo"), (1, 0, "p", "user", 1, "delta", "hel"), (1, 1, "p", "assistant", 1, "delta", "bad"), (1, 1, "p", "assistant", 2, "regenerate", None),
-        (1, 1, "p", "assistant", 3, "delta", "go"), (1, 1, "p", "assistant", 4, "delta", "od\\b#"), (1, 2, "p", "user", 1, "delta", "x"), (1, 2, "p", "user", 2, "edit", "new"), (1, 2, "p", "user", 3, "delta", "!"),
+    log = [  # (turn, part, role, kind, text), in the order of the sequence
+        (0, 1, "user", "delta", "hel"), (0, 1, "user", "delta", "lo"), (1, 1, "assistant", "delta", "bad"), (2, 1, "user", "delta", "why"), (3, 1, "assistant", "delta", "void"),
+        (1, 1, "assistant", "regenerate", None), (1, 1, "assistant", "delta", "go"), (2, 1, "user", "delta", "x"), (1, 1, "assistant", "delta", "od\\b#"), (2, 1, "user", "edit", "new"),
+        (2, 1, "user", "delta", "!"), (4, 1, "user", "edit", "draft"), (4, 1, "user", "edit", "last"), (5, 1, "assistant", "delta", "z"), (5, 1, "assistant", "regenerate", None),
     ]
-    m = chat.messages(spark.createDataFrame(events, "conv_id long, turn long, part string, role string, seq long, kind string, text string"))
-    r = chat.render(m).first()
-    assert chat.read_back(r.formatted) == [("user", "hello"), ("assistant", "good\\b#"), ("user", "new!")]
-    (a,) = r.mask
-    assert chat.unescape(r.formatted[a.start : a.start + a.length]) == "good\\b#"
-    rows = [(1, 0, None, None), (1, 0, "a:b", "</turn>\n### x: y"), (None, None, "user", "q"), (1, 0, None, None)]
-    got = {r.conv_id: chat.read_back(r.formatted) for r in chat.render(chat.messages(chat.as_events(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")))).collect()}
-    assert got == {1: [("", ""), ("", ""), ("a:b", "</turn>\n### x: y")], None: [("user", "q")]}
+    schema = "conv_id string, seq long, turn long, part long, role string, kind string, text string, log string"
+    events = spark.createDataFrame([("c", seq, *e, "more") for seq, e in reversed(list(enumerate(log)))], schema)
+    r = chat.render(chat.messages(events)).first()
+    # the regeneration of turn 1 voids what turns 2 and 3 had until then; turn 3 has nothing else and is gone
+    assert chat.read_back(r.formatted) == [("user", "hello"), ("assistant", "good\\b#"), ("user", "new!"), ("user", "last"), ("assistant", "")]
+    assert [chat.unescape(r.formatted[m.start : m.start + m.length]) for m in r["mask"]] == ["good\\b#", ""]
+    rows = [(1, 0, None, None), (1, 0, "a:b", "</turn>\n### x: y"), (None, None, "user", "q"), (1, 0, None, None), (1, 1, "assistant", "long " * 20000)]
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = {r.conv_id: chat.read_back(r.formatted) for r in chat.render(chat.messages(chat.as_events(frame))).collect()}
+    assert got == {1: [("", ""), ("", ""), ("a:b", "</turn>\n### x: y"), ("assistant", "long " * 20000)], None: [("user", "q")]}
+    assert chat.digests(chat.render(chat.messages(chat.as_events(frame.limit(0))))).count() == 0
 
 
 def test_warc(spark):
     same = "é" * 60
     rows = [(3, "http://a/ b", same), (1, None, same), (2, "u", "short"), (4, "u", "short"), (5, "", None), (None, "n", "z" * 200), (1, None, same)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
-    got = sorted(((r.page_id or 0, r.payload_bytes, r.record_type, r.refers_to) for r in warc.records(warc.convert(warc.arcs(pages))).collect()), key=str)
+    number = lambda x: int(x) if x else None
+    got = sorted(((number(r.page_id) or 0, r.payload_bytes, r.record_type, number(r.refers_to)) for r in warc.records(warc.convert(warc.arcs(pages))).collect()), key=str)
     assert got == sorted([(3, 120, "revisit", 1), (1, 120, "response", None), (1, 120, "response", None), (2, 5, "response", None), (4, 5, "response", None), (5, 0, "response", None), (0, 200, "response", None)], key=str)
     for v in (1, 2):
         arc = warc.write_arc(v, [(7, "http://x/ y", b"body")])
@@ -287,12 +333,30 @@ def test_warc(spark):
         with pytest.raises(ValueError):
             list(warc.read_arc(arc[:-3]))
     assert warc.records(warc.convert(warc.arcs(pages.limit(0)))).count() == 0
+    named = pages.selectExpr("concat('id', page_id) as page_id", "url", "repeat(html, 3000) as html", "1 as arc", "2 as digest")
+    got = {(r.page_id, r.record_type, r.refers_to, r.payload_bytes) for r in warc.records(warc.convert(warc.arcs(named))).collect()}
+    assert ("id3", "revisit", "id1", 360000) in got and ("id4", "revisit", "id2", 15000) in got and (None, "response", None, 600000) in got
+
+
+def test_warc_revisits_against_sql(spark, tmp_path, monkeypatch):
+    import duckdb
+
+    monkeypatch.setattr(warc, "ARCHIVE_BYTES", 3000)
+    rng = np.random.default_rng(6)
+    bodies = ["short", None, ""] + ["body %d " % i * int(rng.integers(10, 60)) for i in range(12)]
+    rows = [(int(i), f"http://h/{i}", bodies[int(rng.integers(0, len(bodies)))]) for i in rng.permutation(200)]
+    spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5).write.parquet(str(tmp_path / "pages.parquet"))
+    got = sorted(tuple(r) for r in warc.op10(spark, str(tmp_path)).fillna(-1, ["refers_to"]).collect())
+    con = duckdb.connect()
+    con.sql(f"create view pages as select * from '{tmp_path}/pages.parquet/*.parquet'")
+    want = sorted((*r[:4], -1 if r[4] is None else r[4]) for r in con.sql(warc.OP10_SQL).fetchall())
+    assert got == want and sum(r[3] == "revisit" for r in want) > 100
 
 
 def test_crf_switches():
     rng = np.random.default_rng(4)
     make = lambda chars, n: ["".join(rng.choice(list(chars), rng.integers(2, 7))) for _ in range(n)]
-    crf = language.Crf(["aa", "bb"]).fit([(x, make(c, 60)) for _ in range(30) for x, c in (("aa", "abcde"), ("bb", "vwxyz"))])
+    crf = language.Crf(["aa", "bb"]).fit([(x, make(c, 48)) for _ in range(180) for x, c in (("aa", "abcde"), ("bb", "vwxyz"))])
     mixed = make("abcde", 12) + make("vwxyz", 12)
     tagger = language.Tagger(crf)
     ids = tagger._number(mixed)
@@ -357,6 +421,144 @@ def test_sql(spark):
         assert sorted(str([r[c] for c in cols]) for r in df.collect()) == sorted(str([r[i] for i in at]) for r in rel.fetchall()), name
 
 
+def test_letters():
+    assert language.split("½ ² x² a1b ⅷ Ⅷ été_ñ 中文 ٣") == ["x", "a", "b", "été", "ñ", "中文"]
+
+
+def test_language_query_against_brute_force(spark):
+    """Decoding spelled out word by word, with the weights that the query learns."""
+    d = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{d}/documents.parquet")
+    learned = [(r.doc_id, r.text, r.lang) for r in docs.collect() if zlib.crc32(str(r.doc_id).encode()) % 4 != 2]
+    crf = language.learn(spark.createDataFrame(learned, "doc_id long, text string, lang string"))
+    got = {r.doc_id: r for r in language.op2(spark, d).collect()}
+    for r in docs.limit(40).collect():
+        words, total = language.split(r.text), np.zeros(len(crf.langs))
+        for i in range(0, len(words), language.CHAIN):
+            e = np.array([language.potentials(crf.w, *language.word_features([w]), 1)[0] for w in words[i : i + language.CHAIN]], float)
+            f, b = [crf.start + e[0]], [np.zeros(len(total))]
+            for x in e[1:]:
+                f.append(np.logaddexp.reduce(f[-1][:, None] + crf.trans, axis=0) + x)
+            for x in e[:0:-1]:
+                b.append(np.logaddexp.reduce(crf.trans + x + b[-1], axis=1))
+            m = np.array(f) + np.array(b[::-1])
+            total += np.exp(m - np.logaddexp.reduce(m, axis=1)[:, None]).sum(0)
+        if len(words):
+            assert got[r.doc_id].lang_pred == crf.langs[int(total.argmax())] and abs(got[r.doc_id].score - total.max() / total.sum()) < 1e-3
+        assert got[r.doc_id].held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2)
+
+
+def test_many_languages(spark):
+    rng = np.random.default_rng(12)
+    rows = [(10 * k + i, " ".join(f"{chr(97 + k % 26)}{chr(97 + k // 26)}{rng.integers(0, 9)}{chr(97 + int(rng.integers(0, 26)))}" for _ in range(20)), f"l{k:03}") for k in range(300) for i in range(3)]
+    crf = language.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert len(crf.langs) == 300 and crf.w.size <= language.TABLE
+
+
+def test_quality_query_against_brute_force(spark):
+    """Ridge by least squares over all rows at once, and isotonic scores as a maximum of minima."""
+    d = "/root/testdata/sf0.01"
+    text = {r.doc_id: r.text for r in spark.read.parquet(f"{d}/documents.parquet").collect()}
+    told = [(r.doc_id, r.quality) for r in spark.read.parquet(f"{d}/labels.parquet").collect() if r.quality is not None and r.doc_id in text]
+    fold = lambda i: zlib.crc32(str(i).encode()) % 5 - 1
+    told = [(i, q) for i, q in told if fold(i) >= 0]
+    x = np.array([quality.statistics((text[i] or "").encode()) for i, _ in told])
+    model = quality.Model(x.mean(0), np.maximum(x.std(0), 1e-6), np.zeros(1), np.zeros(1), np.zeros(1))
+    z, y, of = model.features(x), np.array([q for _, q in told], float), np.array([fold(i) for i, _ in told])
+
+    def ridge(rows):
+        grown = np.concatenate([z[rows], np.sqrt(quality.RIDGE * rows.sum()) * np.eye(z.shape[1])[1:]])
+        return np.linalg.lstsq(grown, np.concatenate([y[rows], np.zeros(z.shape[1] - 1)]), rcond=None)[0]
+
+    raw = np.array([z[i] @ w for i, w in enumerate(np.array([ridge(of != f) for f in range(4)])[of])])
+    bins = np.clip(np.round((raw + 0.5) / 2 * quality.BINS), 0, quality.BINS).astype(int)
+    at = np.unique(bins)
+    n, g = np.array([(bins == b).sum() for b in at], float), np.array([y[bins == b].sum() for b in at])
+    level = [max(min(g[i : k + 1].sum() / n[i : k + 1].sum() for k in range(j, len(at))) for i in range(j + 1)) for j in range(len(at))]
+    got = {r.doc_id: r for r in quality.op4(spark, d).collect()}
+    weights = ridge(np.ones(len(y), bool))
+    for i in list(text)[:200]:
+        v = float((model.features(np.array([quality.statistics((text[i] or "").encode())])) @ weights)[0])
+        same = [np.isclose(level, x) for x in level]
+        smooth = [(g[s].sum() + y.mean()) / (n[s].sum() + 1) for s in same]
+        want = np.interp(v, at / quality.BINS * 2 - 0.5, smooth)
+        assert abs(got[i].score - want) < 1e-4 and got[i].predicted == (got[i].score >= 0.3) and got[i].held_out == (fold(i) == -1)
+
+
+def test_simhash_query_against_brute_force(spark):
+    d = "/root/testdata/sf0.01"
+    prints = {}
+    for r in spark.read.parquet(f"{d}/documents.parquet").collect():
+        low = "".join(c.lower() if "A" <= c <= "Z" else c for c in r.text or "")
+        w = [x for x in "".join("\x20" if c in "\t\n\x0b\x0c\r" else c for c in low).split("\x20") if x]
+        h = [xxhash.xxh64(" ".join(w[i : i + 3]).encode(), seed=42).intdigest() for i in range(max(1, len(w) - 2))] if w else []
+        prints[r.doc_id] = sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+    ids = np.array(sorted(prints))
+    f = np.array([prints[i] for i in ids], np.uint64)
+    i, j = np.nonzero(np.bitwise_count(f[:, None] ^ f) <= 3)
+    root = _classes_of(len(ids), i, j)
+    got = {r.doc_id: (r.fingerprint, r.component_id) for r in simhash.op3(spark, d).collect()}
+    assert got == {int(x): (f"{prints[x]:016x}", int(ids[root[k]])) for k, x in enumerate(ids)}
+
+
+def _classes_of(n, i, j):
+    root = np.arange(n)
+    for a, b in zip(i.tolist(), j.tolist(), strict=True):
+        x, y = sorted((root[a], root[b]))
+        if x != y:
+            root[root == y] = x
+    return root
+
+
+def test_near_duplicates_recall(spark):
+    """Every pair of similarity 0.8 or more among the documents, found by an index of all shingles."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").where("doc_id < 4000")
+    texts = sorted((r.doc_id, r.text or "") for r in docs.select("doc_id", "text").collect())
+    first, sets = {}, {}
+    for i, t in texts:
+        w = t.encode().lower().split()
+        s = frozenset(b" ".join(w[k : k + 5]) for k in range(max(1, len(w) - 4))) if w else frozenset()
+        sets[first.setdefault(s, i)] = s
+    holders, both = {}, {}
+    for i, s in sets.items():
+        for x in s:
+            for k in holders.setdefault(x, []):
+                both[k, i] = both.get((k, i), 0) + 1
+            holders[x].append(i)
+    pairs = [p for p, c in both.items() if c >= 0.8 * (len(sets[p[0]]) + len(sets[p[1]]) - c) - 1e-9]
+    ids = sorted(sets)
+    place = {x: k for k, x in enumerate(ids)}
+    root = _classes_of(len(ids), np.array([place[a] for a, _ in pairs]), np.array([place[b] for _, b in pairs]))
+    got = {r.doc_id for r in simhash.near_duplicates(docs).collect()}
+    assert len(pairs) > 5 and got == {ids[r] for r in set(root.tolist())}
+
+
+def test_clashing_names(spark, edge):
+    """Columns with the names that the operators use inside pass through."""
+    bench = spark.createDataFrame([(1, "b c")], "item_id long, text string")
+    inner = ["a", "b", "c", "d", "n", "h", "k", "x", "id", "doc", "size", "first", "spans", "found", "lines", "keep", "class", "root", "node", "value", "slice", "cum", "times", "vft", "e", "slot", "_a", "_id", "_sa"]
+    taken = {c.lower() for c in edge.columns}
+    extra = [c for c in inner if c not in taken]
+    wide = edge.select("*", *[F.lit(f"own {c}").alias(c) for c in extra])
+    for out in (simhash.near_duplicates(wide), suffix.clean(wide), mixing.mix(wide), lines.line_dedup(wide, into="said"), decontaminate.scan(wide, bench, clean=True, into="said"), quality.filter_quality(wide, spark.createDataFrame([(3, 1), (5, 1)], "doc_id long, quality int"))):
+        assert [c for c in out.columns if c != "said"] == wide.columns
+        assert out.where(" or ".join(f"`{c}` is null or `{c}` <> 'own {c}'" for c in extra)).count() == 0
+    for f in (simhash.components, lambda x: language.predict(x, language.learn(x)), lambda x: media.features(media.encode(x)), mixing.schedule, quality.stats):
+        assert f(wide).count() == edge.count()
+
+
+def test_pipeline_on_edge_rows(spark, edge, empty, tmp_path):
+    import corpus_pipeline
+
+    for k, docs in enumerate((edge, empty)):
+        d = str(tmp_path / str(k))
+        docs.write.parquet(f"{d}/documents.parquet")
+        spark.createDataFrame([(1, "b c"), (None, None)], "item_id long, text string").write.parquet(f"{d}/benchmark.parquet")
+        spark.createDataFrame([(3, 1), (5, 1), (1, 0), (None, 1)], "doc_id long, quality int").write.parquet(f"{d}/labels.parquet")
+        out = corpus_pipeline.run(spark, d)
+        assert out.columns == docs.columns and (out.count() > 0) == (k == 0)
+
+
 def test_mix_targets(spark):
     rows = [(i, "w " * (i % 7 + 1), f"s{min(i % 9, 3)}") for i in range(600)]
     out = mixing.schedule(spark.createDataFrame(rows, "doc_id long, text string, source string")).select("source_size", "target", "size", "times", "k").toPandas()

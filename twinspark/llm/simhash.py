@@ -5,8 +5,9 @@ differ in at most three bits, then for some two of the three segments each diffe
 (errors 0+0+3, 0+1+2 or 1+1+1), and each vector of a segment has the other's nearest codeword among
 the up to six codewords within distance four of it. So one key, made of two codewords, is shared: a
 vector's nearest codeword in one segment with every near one in the other. Rows of a key are
-compared bit by bit; a task passes on links that span what it found, never all pairs. Links then go
-through distributed connected components.
+compared bit by bit, a few rows directly, from ``WIDE`` rows on by reach and from ``GROUP`` on in blocks, with the
+same links; a task passes on links that span what it found, never all pairs. Links then go through
+distributed connected components.
 
 ``near_duplicates`` is the form for corpora: five-word shingles, similarity 0.8. Such documents
 differ in about 15 % of the bits, so there the decoding is soft: a segment's signed margins pick the
