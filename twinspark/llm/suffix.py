@@ -36,7 +36,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from twinspark.shared import table
 
 LENGTH = 400
-HOT_BYTES = 1 << 20  #: bytes of a hash's stretches from which on they are cut and counted before they meet
+HOT_BYTES = 4 << 20  #: bytes of a hash's stretches from which on they are cut and counted before they meet; with BATCH, what a task holds at most
 BATCH = 1 << 21  #: bytes that are sorted at once
 _BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 _M64 = (1 << 64) - 1
