@@ -193,7 +193,7 @@ def _hash_rows(docs: DataFrame, length: int) -> DataFrame:
 
 def _repeated(texts: DataFrame, length: int, keep: str) -> DataFrame:
     """(a, b, text, first) to (a, b, spans): merged removed ranges (start, end) of each text that has any; and the text."""
-    rows = _hash_rows(texts.select("a", "b", "text"), length)
+    rows = table(_hash_rows(texts.select("a", "b", "text"), length), "pieces")
     # two texts have the value, or one text has it twice
     values = rows.groupBy("value").agg(
         F.min("a").alias("a0"), F.max("a").alias("a1"), F.min("b").alias("b0"), F.max("b").alias("b1"),
