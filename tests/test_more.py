@@ -1,3 +1,4 @@
+import json
 import pickle
 
 import numpy as np
@@ -5,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from twinspark.functions import names
-from twinspark.operators import extract, similar, split, store
+from twinspark.operators import embed, extract, similar, split, store
 from twinspark.sources import files, paths, sinks
 
 
@@ -202,6 +203,39 @@ def test_caches(spark, tmp_path):
     assert asked == [[0, 1, 2, 3], [1, 2, 3]]
 
 
+def test_vector_cache(spark, tmp_path):
+    v = np.arange(60, dtype=np.float32).reshape(20, 3)
+    np.save(tmp_path / "embeddings.npy", v)
+    assert files.vector_cache(spark, str(tmp_path)) is None
+    (tmp_path / "embed_meta.json").write_text(json.dumps({"keys": [["d", f"n{i}"] for i in range(20)]}, indent=1))
+    got = {r.name: r.v for r in files.vector_cache(spark, str(tmp_path)).collect()}
+    assert got == {f"n{i}": v[i].tolist() for i in range(20)}
+    found = store.with_cache(spark.createDataFrame([("d", "n0"), ("d", "n7"), ("d", "q")], "dataset_source string, name string"), files.vector_cache(spark, str(tmp_path)), ["dataset_source", "name"])
+    assert {r.name: r.cached for r in found.collect()} == {"n0": True, "n7": True, "q": False}
+    for bad in ('{"keys": [["d", "n"]]}', "{broken"):
+        (tmp_path / "embed_meta.json").write_text(bad)
+        assert files.vector_cache(spark, str(tmp_path)) is None
+    (tmp_path / "embeddings.npy").write_bytes(b"no matrix")
+    assert files.vector_cache(spark, str(tmp_path)) is None
+
+
+def test_embedder(spark):
+    def load():
+        def model(content):
+            if not content:
+                raise embed.NoFace
+            return [float(x) for x in content]
+
+        return model
+
+    rows = spark.createDataFrame([(1, bytearray(b"\x03\x04")), (2, bytearray(b"")), (3, bytearray(b"\x00\x00")), (4, bytearray(b"abc"))], "key long, content binary")
+    made = embed.embedder(load, 2)
+    got = {r.key: (r.v and [round(x, 6) for x in r.v], r.reason) for r in made(rows).collect()}
+    assert got[1] == ([0.6, 0.8], None) and got[2] == (None, "no_face_detected") and "length" in got[3][1] and "not 2" in got[4][1]
+    cache = spark.createDataFrame([(4, [1.0, 0.0], 0)], "key long, v array<float>, at int")
+    assert {r.key: r.status for r in store.embed_pass(rows, cache, made, 2).collect()} == {1: "embedded", 2: "failed_embed", 3: "failed_embed", 4: "cached"}
+
+
 def test_extraction(spark):
     records = spark.createDataFrame([(10, 5, True), (20, 6, False), (30, 7, True), (40, 8, True), (50, 9, False)], "offset long, label long, ok boolean")
     listed = spark.createDataFrame([(0, 100), (2, 102)], "position long, label long")

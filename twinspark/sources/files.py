@@ -6,12 +6,14 @@ import io
 import pickle
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from twinspark.functions.names import file_name, is_image, relative, stem, top_folder
 from twinspark.operators.order import following, numbered
+from twinspark.sources import paths
 
 MANIFEST = "dataset_source string, name string, path string, md5 string, cluster_id string, split string, dest_name string"
 # fixed values of the container formats
@@ -186,3 +188,43 @@ def verification_sets(spark: SparkSession, root: str, known: dict[str, str]) ->
     if named.isEmpty():
         raise FileNotFoundError(f"no known .bin files in {root}")
     return verification(files.join(F.broadcast(named.select("path")), "path", "left_semi")).join(F.broadcast(named), "path")
+
+
+def vector_cache(spark: SparkSession, folder: str) -> DataFrame | None:
+    """(dataset_source, name, v, at) of a cache of vectors: an npy matrix with a JSON list of keys, one for each row. None if it is missing or broken.
+
+    Tasks read ranges of rows; the path is one that pyarrow's file systems open. Zero rows are vectors that are missing.
+    """
+    from pyarrow import fs
+
+    matrix, listed = f"{folder}/embeddings.npy", f"{folder}/embed_meta.json"
+    if not (paths.exists(spark, matrix) and paths.exists(spark, listed)):
+        return None
+    meta = spark.read.json(listed, multiLine=True, schema="keys array<array<string>>")
+    keys = meta.select(F.posexplode("keys").alias("row", "key")).select("row", F.get("key", F.lit(0)).alias("dataset_source"), F.get("key", F.lit(1)).alias("name"))
+    try:
+        store, name = fs.FileSystem.from_uri(matrix)
+        with store.open_input_file(name) as f:
+            version = np.lib.format.read_magic(f)
+            shape, by_columns, kind = (np.lib.format.read_array_header_1_0 if version == (1, 0) else np.lib.format.read_array_header_2_0)(f)
+            begin, size = f.tell(), f.size()
+    except (ValueError, OSError):
+        return None
+    if len(shape) != 2 or by_columns or kind != np.float32 or shape[1] < 1 or shape[0] != keys.count() or size < begin + shape[0] * shape[1] * 4:
+        return None
+    wide, rows = shape[1] * 4, shape[0]
+    step = max(1, (4 << 20) // wide)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyarrow import fs
+
+        store, name = fs.FileSystem.from_uri(matrix)
+        with store.open_input_file(name) as f:
+            for b in batches:
+                for first in b["id"].tolist():
+                    n = min(step, rows - first)
+                    v = np.frombuffer(f.read_at(n * wide, begin + first * wide), np.float32).reshape(n, -1)
+                    yield pd.DataFrame({"row": np.arange(first, first + n), "v": list(v)})
+
+    parts = spark.range(0, rows, step).mapInPandas(run, "row long, v array<float>")
+    return keys.join(parts, "row").select("dataset_source", "name", "v", F.lit(0).alias("at"))
