@@ -27,29 +27,26 @@ def table(df: DataFrame, name: str = "t") -> DataFrame:
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     schema = df.schema
     df.write.parquet(path, compression="zstd")
-    _written(spark).append(path)
+    written(spark).append(path)
     return spark.read.schema(schema).parquet(path)
 
 
-def _written(spark: SparkSession) -> list[str]:
+def written(spark: SparkSession) -> list[str]:
+    """Paths of the tables that ``table`` has written in this session and nobody has deleted."""
     sc = spark.sparkContext
     if not hasattr(sc, "_twinspark_tables"):
         sc._twinspark_tables = []
     return sc._twinspark_tables
 
 
-def mark(spark: SparkSession) -> int:
-    """How many tables ``table`` has written in this session."""
-    return len(_written(spark))
-
-
-def release(spark: SparkSession, since: int) -> None:
-    """Delete the tables written since ``mark`` gave ``since``, but for the last: for callers who have just stored their result with ``table``."""
-    paths = _written(spark)
-    gone, paths[since:] = paths[since:-1], paths[-1:]
-    for path in gone:
+def delete(spark: SparkSession, paths: list[str]) -> None:
+    """Delete such tables; for callers whose results no longer read them."""
+    own = written(spark)
+    for path in paths:
         where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
         where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+        if path in own:
+            own.remove(path)
 
 
 def ship(spark: SparkSession) -> SparkSession:
