@@ -1,11 +1,13 @@
 """A corpus pipeline: quality, line dedup, near-dedup, decontamination, mixing.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; it is written and read again before the
-next one starts. All but the last return the columns of ``documents``, ``n_chars`` kept true.
+next one starts. All but the last return the columns of ``documents``, ``n_chars`` kept true. A stage begins
+by deleting the tables that stages before it wrote on their way, but for those that its ``docs`` read.
 """
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,7 +15,24 @@ from pyspark.sql import functions as F
 
 from twinspark.llm import decontaminate, lines, mixing, quality, simhash
 from twinspark.llm.common import free_name, read
-from twinspark.shared import mark, release, ship, table
+from twinspark.shared import delete, ship, table, written
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+_left: list[str] = []  # tables of stages that have returned
+
+
+def _stage(f: Stage) -> Stage:
+    @functools.wraps(f)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        used = docs.inputFiles() if _left else []
+        gone = [p for p in _left if not any(f"/{p.rsplit('/', 1)[1]}/" in u for u in used)]
+        delete(spark, gone)
+        before = {*written(spark)}
+        out = f(ship(spark), docs, sf_dir)
+        _left[:] = [p for p in _left if p not in gone] + [p for p in written(spark) if p not in before]
+        return out
+
+    return run
 
 
 def _counted(out: DataFrame, docs: DataFrame) -> DataFrame:
@@ -23,33 +42,37 @@ def _counted(out: DataFrame, docs: DataFrame) -> DataFrame:
     return out.select(docs.columns)
 
 
+@_stage
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects documents that score below 0.3."""
-    return quality.filter_quality(docs, read(ship(spark), sf_dir, "labels"))
+    return quality.filter_quality(docs, read(spark, sf_dir, "labels"))
 
 
+@_stage
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops boilerplate lines; every document stays, if need be with an empty text."""
     return _counted(lines.line_dedup(docs, into=free_name(docs, "lines")), docs)
 
 
+@_stage
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document with the smallest id of each group of near copies (five-word shingles, similarity 0.8)."""
-    ship(spark)
     return simhash.near_duplicates(docs)
 
 
+@_stage
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cuts passages of the benchmark out of the texts; texts without any stay byte for byte."""
-    return _counted(decontaminate.scan(docs, read(ship(spark), sf_dir, "benchmark"), clean=True, into=free_name(docs, "found")), docs)
+    return _counted(decontaminate.scan(docs, read(spark, sf_dir, "benchmark"), clean=True, into=free_name(docs, "found")), docs)
 
 
+@_stage
 def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Mixes the sources to their target weights; documents taken twice come twice."""
     return mixing.mix(docs)
 
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+STAGES: list[tuple[str, Stage]] = [
     ("quality classifier", quality_stage),
     ("line dedup", line_stage),
     ("near-dedup", near_stage),
@@ -62,10 +85,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs, since = read(ship(spark), sf_dir, "documents"), mark(spark)
+    docs = read(ship(spark), sf_dir, "documents")
     for i, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if i + 1 < len(STAGES):
             docs = table(docs, name.replace(" ", "-"))
-            release(spark, since)  # what the stage wrote on its way, and its input
+            _left.append(written(spark)[-1])
     return docs
