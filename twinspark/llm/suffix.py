@@ -36,8 +36,8 @@ from pyspark.sql.pandas.types import to_arrow_type
 from twinspark.shared import table
 
 LENGTH = 400
-HOT_BYTES = 4 << 20  #: bytes of a hash's stretches from which on they are cut and counted before they meet; with BATCH, what a task holds at most
-BATCH = 1 << 21  #: bytes that are sorted at once
+HOT_BYTES = 2 << 20  #: bytes of a hash's stretches from which on they are cut and counted before they meet; with BATCH, what a task holds at most
+BATCH = 1 << 20  #: bytes that are sorted at once
 _BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 _M64 = (1 << 64) - 1
 
@@ -193,7 +193,7 @@ def _hash_rows(docs: DataFrame, length: int) -> DataFrame:
 
 def _repeated(texts: DataFrame, length: int, keep: str) -> DataFrame:
     """(a, b, text, first) to (a, b, spans): merged removed ranges (start, end) of each text that has any; and the text."""
-    rows = table(_hash_rows(texts.select("a", "b", "text"), length), "pieces")
+    rows = _hash_rows(texts.select("a", "b", "text"), length)
     # two texts have the value, or one text has it twice
     values = rows.groupBy("value").agg(
         F.min("a").alias("a0"), F.max("a").alias("a1"), F.min("b").alias("b0"), F.max("b").alias("b1"),
