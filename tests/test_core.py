@@ -39,7 +39,7 @@ def test_edges_in_blocks(spark, monkeypatch):
     df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "id long, v array<double>")
     want = {(i, j) for i in range(60) for j in range(i + 1, 60) if v[i] @ v[j] >= 0.4}
     for rows in (7, 4096):
-        monkeypatch.setattr(similar, "BLOCK_ROWS", rows)
+        monkeypatch.setattr(similar, "BLOCK_BYTES", rows * 8 * 8)
         assert {(r.i, r.j) for r in similar.edges(df, 0.4).collect()} == want
     monkeypatch.setattr(similar, "BLOCK_BYTES", 300)
     hits = similar.nearest(df.where("id < 9"), df, 3).collect()
