@@ -40,12 +40,16 @@ BATCH = 1024  #: windows at once in training
 CACHE = 400_000  #: words whose potentials a worker keeps
 ROUNDS = 40
 SEED = 11
-_ODD = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not c.isalpha() and not c.isdecimal())  # numbers that aren't digits
-_WORDS = re.compile(rf"[^\W\d_{re.escape(_ODD)}]+")
+_ODD = frozenset(c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not c.isalpha() and not c.isdecimal())  # numbers that aren't digits
+_NO_ODD = dict.fromkeys(map(ord, _ODD), " ")
+_WORDS = re.compile(r"[^\W\d_]+")
 
 
 def split(text: str | None) -> list[str]:
-    return _WORDS.findall((text or "").lower())
+    low = (text or "").lower()
+    if not (low.isascii() or _ODD.isdisjoint(low)):
+        low = low.translate(_NO_ODD)
+    return _WORDS.findall(low)
 
 
 def word_features(words: list[str], weights: int = WEIGHTS) -> tuple[np.ndarray, np.ndarray]:
