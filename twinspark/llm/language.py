@@ -31,12 +31,12 @@ from pyspark.sql import functions as F
 from twinspark.llm.common import crc_mod
 
 SAMPLE = 300  #: texts of a language that are learned from
-TEXTS = 60_000  #: texts that are learned from, of all languages
+TEXTS = 6_000  #: texts that are learned from, of all languages
 WINDOWS = 6  #: windows of a text that are learned from
 CHAIN = 48  #: words of a chain
 WEIGHTS = 1 << 17  #: of a language; fewer if all would be over TABLE
 TABLE = 1 << 25
-BATCH = 1024  #: windows at once in training
+BATCH = 1 << 16  #: windows times languages at once in training
 CACHE = 400_000  #: words whose potentials a worker keeps
 ROUNDS = 40
 SEED = 11
@@ -154,16 +154,16 @@ class Crf:
         np.add.at(pairs_gold, (y[:, :-1][both], y[:, 1:][both]), 1)
         theta = [np.zeros((len(used), k), np.float32), self.trans.copy(), self.start.copy()]
         m, v = [np.zeros_like(t) for t in theta], [np.zeros_like(t) for t in theta]
-        words = max(1, int(there.sum()))
+        words, batch = max(1, int(there.sum())), max(256, BATCH // k)
         for step in range(1, ROUNDS + 1):
             e = potentials(theta[0], flat, owner, len(ids))
             word, pairs, first = np.zeros((len(ids), k)), np.zeros((k, k)), np.zeros(k)
-            for b in range(0, n, BATCH):
-                xb, on = x[b : b + BATCH], there[b : b + BATCH]
+            for b in range(0, n, batch):
+                xb, on = x[b : b + batch], there[b : b + batch]
                 diff, own, _ = forward_backward(e[xb], theta[1], theta[2], on)
                 pairs += own
                 diff *= np.where(on, -1, 0).astype(diff.dtype)[:, :, None]
-                np.put_along_axis(diff, y[b : b + BATCH, :, None], np.take_along_axis(diff, y[b : b + BATCH, :, None], 2) + on[:, :, None], 2)
+                np.put_along_axis(diff, y[b : b + batch, :, None], np.take_along_axis(diff, y[b : b + batch, :, None], 2) + on[:, :, None], 2)
                 first += diff[:, 0].sum(0)
                 word += np.stack([np.bincount(xb.ravel(), diff[:, :, j].ravel(), len(ids)) for j in range(k)], 1)
             grad = [
