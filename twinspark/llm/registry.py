@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from twinspark.llm import chat, decontaminate, language, lines, media, mixing, quality, simhash, suffix, warc
+from twinspark.llm import chat, decontaminate, language, lines, media, mixing, quality, repair, runs, simhash, suffix, warc
 
 QUERIES = {
     "op1_mix_sources": mixing.op1,
@@ -15,5 +15,7 @@ QUERIES = {
     "op8_decontaminate": decontaminate.op8,
     "op9_chat_format": chat.op9,
     "op10_warc": warc.op10,
+    "op11_conversation_repair": repair.op11,
+    "op12_periodic_runs": runs.op12,
 }
-SQL = {"op1_mix_sources": mixing.OP1_SQL, "op7_line_templates": lines.OP7_SQL, "op9_chat_format": chat.OP9_SQL, "op10_warc": warc.OP10_SQL}
+SQL = {"op1_mix_sources": mixing.OP1_SQL, "op7_line_templates": lines.OP7_SQL, "op9_chat_format": chat.OP9_SQL, "op10_warc": warc.OP10_SQL, "op11_conversation_repair": repair.OP11_SQL}
