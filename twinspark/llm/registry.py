@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from twinspark.llm import chat, decontaminate, language, lines, media, mixing, quality, repair, runs, simhash, suffix, warc
+from twinspark.llm import chat, decontaminate, jaccard, language, lines, media, mixing, quality, repair, runs, simhash, suffix, warc
 
 QUERIES = {
     "op1_mix_sources": mixing.op1,
@@ -17,5 +17,6 @@ QUERIES = {
     "op10_warc": warc.op10,
     "op11_conversation_repair": repair.op11,
     "op12_periodic_runs": runs.op12,
+    "op13_ngram_jaccard": jaccard.op13,
 }
-SQL = {"op1_mix_sources": mixing.OP1_SQL, "op7_line_templates": lines.OP7_SQL, "op9_chat_format": chat.OP9_SQL, "op10_warc": warc.OP10_SQL, "op11_conversation_repair": repair.OP11_SQL}
+SQL = {"op1_mix_sources": mixing.OP1_SQL, "op7_line_templates": lines.OP7_SQL, "op9_chat_format": chat.OP9_SQL, "op10_warc": warc.OP10_SQL, "op11_conversation_repair": repair.OP11_SQL, "op13_ngram_jaccard": jaccard.OP13_SQL}
