@@ -1,8 +1,9 @@
 """A corpus pipeline: quality, line dedup, near-dedup, decontamination, mixing.
 
-Each stage takes (spark, docs, sf_dir) and returns a DataFrame; it is written and read again before the
-next one starts. All but the last return the columns of ``documents``, ``n_chars`` kept true. A stage begins
-by deleting the tables that stages before it wrote on their way, but for those that its ``docs`` read.
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame that it has written, so the next one reads it
+again. All but the last return the columns of ``documents``, ``n_chars`` kept true. A stage deletes the tables that it
+wrote on its way and nothing else; ``run`` keeps its stages' results in a folder of its own, which goes when
+the last one is written. Results belong to the caller: no later call touches them.
 """
 
 from __future__ import annotations
@@ -15,22 +16,17 @@ from pyspark.sql import functions as F
 
 from twinspark.llm import decontaminate, lines, mixing, quality, simhash
 from twinspark.llm.common import free_name, read
-from twinspark.shared import delete, ship, table, written
+from twinspark.shared import scratch, settled, ship, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
-_left: list[str] = []  # tables of stages that have returned
 
 
 def _stage(f: Stage) -> Stage:
+    """The stage with its result written, and without the tables that it needed on its way."""
+
     @functools.wraps(f)
     def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        used = docs.inputFiles() if _left else []
-        gone = [p for p in _left if not any(f"/{p.rsplit('/', 1)[1]}/" in u for u in used)]
-        delete(spark, gone)
-        before = {*written(spark)}
-        out = f(ship(spark), docs, sf_dir)
-        _left[:] = [p for p in _left if p not in gone] + [p for p in written(spark) if p not in before]
-        return out
+        return settled(ship(spark), f.__name__, lambda: f(spark, docs, sf_dir))
 
     return run
 
@@ -85,10 +81,8 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(ship(spark), sf_dir, "documents")
-    for i, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if i + 1 < len(STAGES):
-            docs = table(docs, name.replace(" ", "-"))
-            _left.append(written(spark)[-1])
-    return docs
+    with scratch(ship(spark)) as outer:
+        docs = read(spark, sf_dir, "documents")
+        for _, stage in STAGES:
+            docs = stage(spark, docs, sf_dir)
+        return table(docs, "pipeline", outer)

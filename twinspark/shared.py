@@ -5,10 +5,15 @@ from __future__ import annotations
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+_scratch: ContextVar[str | None] = ContextVar("scratch", default=None)
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``. Where it is unset, a local session gets a temporary one; a cluster must name one that all its machines share."""
@@ -21,32 +26,36 @@ def shared_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
-def table(df: DataFrame, name: str = "t") -> DataFrame:
-    """Write ``df`` as Parquet in the shared folder and read it back: later stages survive a lost executor."""
+def table(df: DataFrame, name: str = "t", folder: str | None = None) -> DataFrame:
+    """Write ``df`` as Parquet and read it back, so that later stages survive a lost executor: in ``folder``, else in that of the ``scratch`` around, else in the shared one."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{folder or _scratch.get() or shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     schema = df.schema
     df.write.parquet(path, compression="zstd")
-    written(spark).append(path)
     return spark.read.schema(schema).parquet(path)
 
 
-def written(spark: SparkSession) -> list[str]:
-    """Paths of the tables that ``table`` has written in this session and nobody has deleted."""
-    sc = spark.sparkContext
-    if not hasattr(sc, "_twinspark_tables"):
-        sc._twinspark_tables = []
-    return sc._twinspark_tables
-
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[str]:
+    """Tables written within go to a folder of their own, which is deleted at the end; the folder around is given.
 
-def delete(spark: SparkSession, paths: list[str]) -> None:
-    """Delete such tables; for callers whose results no longer read them."""
-    own = written(spark)
-    for path in paths:
-        where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    Each thread has its own. What outlives it must be written to the folder around (``settled`` does that).
+    """
+    outer = _scratch.get() or shared_dir(spark)
+    own = f"{outer}/scratch-{uuid.uuid4().hex}"
+    token = _scratch.set(own)
+    try:
+        yield outer
+    finally:
+        _scratch.reset(token)
+        where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(own)
         where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
-        if path in own:
-            own.remove(path)
+
+
+def settled(spark: SparkSession, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+    """The table that ``make`` gives, written; the tables that it wrote on its way, and only these, are deleted."""
+    with scratch(spark) as outer:
+        return table(make(), name, outer)
 
 
 def ship(spark: SparkSession) -> SparkSession:
