@@ -10,7 +10,7 @@ candidates that they allow times the cost of comparing one. Pairs that share eno
 Only classes are asked for, so not all pairs have to be candidates. First come rounds of stars: in each
 list all sets of other classes meet one leader, each set the leader that it meets most often, and what is
 verified joins classes. When few pairs of different classes are left in the lists, all of these are counted;
-that makes the result exact whatever the rounds have found. Sets with too few shared shingles to link to any other class go before that.
+that makes the result exact whatever the rounds have found. Sets with too few shared shingles to link to any other class go before each round.
 Equal sets are one from the start. Lists are joined, not gathered, so that a common shingle is no task's work.
 
 The order comes from counts in ``BUCKETS`` buckets of hashes (any order is right). Shingles go by 64-bit hashes, sets by 128 bits.
@@ -34,12 +34,12 @@ from pyspark.sql.window import Window
 
 from twinspark.llm.simhash import _named, shingle_set, verified
 from twinspark.operators.graph import connected_components
-from twinspark.shared import table
+from twinspark.shared import settled, table
 
 BUCKETS, CHUNK = 1 << 20, 1 << 12
 LADDER = (1, 2, 4, 8, 16)  #: shingles by which a prefix may exceed the one before the shortest
 COMPARE = 0.125  #: cost of comparing a shingle of a candidate, against reading a row of a list
-ROUNDS = 8  #: most rounds of stars
+ROUNDS, DENSE = 8, 2  #: most rounds of stars; pairs of sets in lists, for each row, from which on one more is worth it
 
 
 def _least(similarity: float, n):
@@ -136,20 +136,31 @@ def adapted(tokens: DataFrame, similarity: float) -> DataFrame:
     read = {m: F.coalesce(F.sum(F.when(F.col("pos") < base + m, F.col("length"))).over(own), F.lit(0)) for m in LADDER}
     cost = [F.struct((s * (1 + COMPARE * n / F.greatest(needed(n, n - base - m, n, n - base - m, similarity), F.lit(1)))).alias("cost"), F.lit(m).alias("more")) for m, s in read.items()]
     rows = rows.withColumn("more", F.least(*cost)["more"]).where(F.col("pos") < base + F.col("more"))
-    return table(rows.select("token", "node", "n", F.greatest(n - base - F.col("more"), F.lit(0)).alias("rest")), "adapted")
+    return rows.select("token", "node", "n", F.greatest(n - base - F.col("more"), F.lit(0)).alias("rest"))
 
 
 def _fits(a: str, b: str, similarity: float) -> Column:
     return F.least(a, b) >= similarity * F.greatest(a, b) - 1e-9
 
 
-def _apart(rows: DataFrame) -> tuple[DataFrame, int]:
-    """Rows with ``class`` whose shingle occurs in several classes, and the pairs of sets of different classes in all lists."""
-    by = rows.groupBy("token", "class").agg(F.count("*").alias("m"))
-    of = by.groupBy("token").agg(F.sum("m").alias("m"), F.sum(F.col("m") * F.col("m")).alias("squares"), F.count("*").alias("classes")).where("classes > 1")
-    of = table(of, "lists")
-    pairs = of.agg(F.sum((F.col("m") * F.col("m") - F.col("squares")) / 2)).first()[0]
-    return rows.join(of.select("token"), "token", "left_semi"), int(pairs or 0)
+def reachable(rows: DataFrame, similarity: float) -> DataFrame:
+    """Rows with ``class`` without the sets that share too few shingles with other classes, whatever set there they would link to.
+
+    That holds for coarser classes too, so a set that goes needs no later look."""
+    of = rows.groupBy("token").agg(F.min("class").alias("c0"), F.max("class").alias("c1"), F.min("n").alias("low"), F.max("n").alias("high")).where("c0 <> c1")
+    shared = rows.join(of.select("token", "low", "high"), "token")
+    own = shared.groupBy("node", "n", "rest").agg(F.count("*").alias("c"), F.min("low").alias("low"), F.max("high").alias("high"))
+    n = F.col("n")
+    low, high = F.greatest("low", _least(similarity, n)), F.least("high", F.floor(n / similarity + 1e-9))
+    least = F.least(*(needed(n, F.col("rest"), m, _least(similarity, m) - 1, similarity) for m in (low, high)))
+    return shared.drop("low", "high").join(own.where(F.col("c") >= least).select("node"), "node", "left_semi")
+
+
+def pairs_left(rows: DataFrame) -> tuple[int, int]:
+    """Rows, and pairs of sets of different classes in all lists."""
+    of = rows.groupBy("token", "class").agg(F.count("*").alias("m")).groupBy("token").agg(F.sum("m").alias("m"), F.sum(F.col("m") * F.col("m")).alias("squares"))
+    n, pairs = of.agg(F.sum("m"), F.sum((F.col("m") * F.col("m") - F.col("squares")) / 2)).first()
+    return int(n or 0), int(pairs or 0)
 
 
 def stars(rows: DataFrame, similarity: float, turn: int) -> DataFrame:
@@ -170,13 +181,6 @@ def stars(rows: DataFrame, similarity: float, turn: int) -> DataFrame:
 
 def candidates(rows: DataFrame, similarity: float) -> DataFrame:
     """Pairs (u, v) of sets of different classes that share as many prefix shingles as they need."""
-    # sets that share too few, whatever set they would link to
-    sizes = rows.groupBy("token").agg(F.min("n").alias("low"), F.max("n").alias("high"))
-    own = rows.join(sizes, "token").groupBy("node", "n", "rest").agg(F.count("*").alias("c"), F.min("low").alias("low"), F.max("high").alias("high"))
-    n = F.col("n")
-    low, high = F.greatest("low", _least(similarity, n)), F.least("high", F.floor(n / similarity + 1e-9))
-    least = F.least(*(needed(n, F.col("rest"), m, _least(similarity, m) - 1, similarity) for m in (low, high)))
-    rows = table(rows.join(own.where(F.col("c") >= least).select("node"), "node", "left_semi"), "reachable")
     by = rows.groupBy("token", "class").agg(F.min("n").alias("low"), F.max("n").alias("high"))
     near = (F.col("x.low") * similarity <= F.col("y.high") + 1e-9) & (F.col("y.low") * similarity <= F.col("x.high") + 1e-9)
     beside = by.alias("x").join(by.alias("y"), (F.col("x.token") == F.col("y.token")) & (F.col("x.class") < F.col("y.class")) & near)
@@ -192,33 +196,33 @@ def _joined(rows: DataFrame, links: DataFrame) -> DataFrame:
     class_ = rows.select("node", "class").distinct()
     ends = links.join(class_.select(F.col("node").alias("u"), F.col("class").alias("x")), "u").join(class_.select(F.col("node").alias("v"), F.col("class").alias("y")), "v")
     up = connected_components(ends.select(F.col("x").alias("u"), F.col("y").alias("v"))).withColumnRenamed("node", "class")
-    return table(rows.join(up, "class", "left").withColumn("class", F.coalesce("component", "class")).drop("component"), "classes")
+    return rows.join(up, "class", "left").withColumn("class", F.coalesce("component", "class")).drop("component")
 
 
-def links(docs: DataFrame, profiles: DataFrame, k: int, similarity: float) -> tuple[DataFrame, DataFrame]:
-    """Links (u, v) of sets whose closure is that of all similar pairs; and (node, other, a, b), a text of each set."""
-    each = table(profiles.where("chunk is null and n > 0").groupBy("node").agg(F.min(F.struct("other", "a", "b")).alias("m")).select("node", "m.*"), "sets")
-    rows = adapted(prefixes(docs, k, similarity, levels(profiles)), similarity).withColumn("class", F.col("node"))
-    found, most = None, rows.count()
-    for turn in range(ROUNDS):
-        rows, pairs = _apart(rows)
-        if pairs <= most:
+def links(docs: DataFrame, profiles: DataFrame, each: DataFrame, k: int, similarity: float) -> DataFrame:
+    """Links (u, v) of sets whose closure is that of all similar pairs; ``each`` (node, a, b) names a text of each set."""
+    spark = docs.sparkSession
+    rows = settled(spark, "adapted", lambda: adapted(prefixes(docs, k, similarity, levels(profiles)), similarity)).withColumn("class", F.col("node"))
+    found = None
+    for turn in range(ROUNDS + 1):
+        rows = table(reachable(rows, similarity), "reachable")
+        n, pairs = pairs_left(rows)
+        if pairs <= DENSE * n or turn == ROUNDS:
             break
-        new = table(verified(docs, each, stars(rows, similarity, turn), k, similarity), "stars")
+        new = settled(spark, "stars", lambda: verified(docs, each, stars(rows, similarity, turn), k, similarity))  # noqa: B023
         found = new if found is None else found.unionByName(new)
-        rows = _joined(rows, new)
-    else:
-        rows, _ = _apart(rows)
-    last = verified(docs, each, candidates(rows, similarity), k, similarity)
-    return (last if found is None else found.unionByName(last)), each
+        rows = settled(spark, "classes", lambda: _joined(rows, new))  # noqa: B023
+    last = settled(spark, "last", lambda: verified(docs, each, candidates(rows, similarity), k, similarity))
+    return last if found is None else found.unionByName(last)
 
 
 def components(docs: DataFrame, k: int = 5, similarity: float = 0.8) -> DataFrame:
     """(doc_id, n_shingles, component_id): the size of each document's set, and the smallest doc_id that links of the similarity reach."""
     docs = docs.select("doc_id", "text")
     profiles = profile(docs, k)
-    found, each = links(docs, profiles, k, similarity)
-    root = each.select("node", F.col("other").alias("own")).join(connected_components(found), "node", "left").select("node", "own", F.coalesce("component", "node").alias("root"))
+    each = table(profiles.where("chunk is null and n > 0").groupBy("node").agg(F.min(F.struct("other", "a", "b")).alias("m")).select("node", "m.*"), "sets")
+    linked = settled(docs.sparkSession, "linked", lambda: connected_components(links(docs, profiles, each, k, similarity)))
+    root = each.select("node", F.col("other").alias("own")).join(linked, "node", "left").select("node", "own", F.coalesce("component", "node").alias("root"))
     rows = profiles.where("chunk is null").select("doc_id", "node", "other", "n")
     alone = rows.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
     # sets that share the first hash only keep to themselves
