@@ -23,6 +23,7 @@ be numbers or strings; other columns, whatever their names, don't matter.
 
 from __future__ import annotations
 
+import math
 import string
 from collections.abc import Iterator
 
@@ -37,9 +38,10 @@ from twinspark.operators.graph import connected_components
 from twinspark.shared import settled, table
 
 BUCKETS, CHUNK = 1 << 20, 1 << 12
-LADDER = (1, 2, 4, 8, 16)  #: shingles by which a prefix may exceed the one before the shortest
+LADDER = (1, 2, 4, 8)  #: shingles by which a prefix may exceed the one before the shortest
 COMPARE = 0.125  #: cost of comparing a shingle of a candidate, against reading a row of a list
 ROUNDS, DENSE = 8, 2  #: most rounds of stars; pairs of sets in lists, for each row, from which on one more is worth it
+GAIN = 0.7  #: the share of such pairs that a round may leave if another one is to follow
 
 
 def _least(similarity: float, n):
@@ -203,12 +205,13 @@ def links(docs: DataFrame, profiles: DataFrame, each: DataFrame, k: int, similar
     """Links (u, v) of sets whose closure is that of all similar pairs; ``each`` (node, a, b) names a text of each set."""
     spark = docs.sparkSession
     rows = settled(spark, "adapted", lambda: adapted(prefixes(docs, k, similarity, levels(profiles)), similarity)).withColumn("class", F.col("node"))
-    found = None
-    for turn in range(ROUNDS + 1):
+    found, before = None, math.inf
+    for turn in range(ROUNDS):
         rows = table(reachable(rows, similarity), "reachable")
         n, pairs = pairs_left(rows)
-        if pairs <= DENSE * n or turn == ROUNDS:
+        if pairs <= DENSE * n or pairs > GAIN * before:  # what stars no longer bring together isn't alike for the most part
             break
+        before = pairs
         new = settled(spark, "stars", lambda: verified(docs, each, stars(rows, similarity, turn), k, similarity))  # noqa: B023
         found = new if found is None else found.unionByName(new)
         rows = settled(spark, "classes", lambda: _joined(rows, new))  # noqa: B023
