@@ -1,12 +1,14 @@
 import json
+import os
 import pickle
+from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from twinspark.functions import names
-from twinspark.operators import embed, extract, similar, split, store
+from twinspark.operators import collection, embed, extract, similar, split, store
 from twinspark.sources import files, paths, sinks
 
 
@@ -156,22 +158,127 @@ def test_tables(spark, tmp_path):
 
 
 def test_collection(spark, tmp_path):
+    store = collection
     where = str(tmp_path / "col")
     assert "error" in store.describe(spark, where)
     with pytest.raises(FileNotFoundError):
         store.load(spark, where)
     assert store.create(spark, where, 2).count() == 0
     rows = spark.createDataFrame([([1.0, 0.0], f"p{i}", None if i else "x") for i in range(5)] + [([1.0], "bad", "y")], "embedding array<double>, image_path string, person_id string")
-    store.append(spark, where, rows, 2)
-    store.append(spark, where, rows.where("image_path = 'p0'"), 2)
+    told = {r.image_path: (r.id, r.outcome, r.reason) for r in store.append(spark, where, rows).collect()}
+    assert told["p0"] == (1, "inserted", None) and told["bad"] == (None, "rejected", "a vector of 1 numbers, not 2") and len(told) == 6
+    store.append(spark, where, rows.where("image_path = 'p0'"))
     assert sorted((r.id, r.image_path) for r in store.create(spark, where, 2).collect()) == [(1, "p0"), (2, "p1"), (3, "p2"), (4, "p3"), (5, "p4"), (6, "p0")]
     assert store.describe(spark, where) == {"index_type": "exact", "metric_type": "COSINE", "params": {}, "dim": 2, "row_count": 6}
-    store.drop_ids(spark, where, spark.createDataFrame([(1,), (99,)], "id long"))
-    spark.catalog.refreshByPath(where)
+    told = store.delete(spark, where, spark.createDataFrame([(1,), (99,)], "id long"))
+    assert {r.id: r.outcome for r in told.collect()} == {1: "deleted", 99: "missing"}
     assert sorted(r.id for r in store.load(spark, where).collect()) == [2, 3, 4, 5, 6]
     assert store.create(spark, where, 3, drop_existing=True).count() == 0 and store.describe(spark, where)["dim"] == 3
 
 
+def _files(folder):
+    return {str(p): p.stat().st_mtime_ns for p in folder.rglob("*") if p.is_file()}
+
+
+def test_collection_survives_crashes(spark, tmp_path):
+    where = str(tmp_path / "col")
+    collection.create(spark, where, 2)
+    rows = lambda *names: spark.createDataFrame([([1.0, 0.0], n) for n in names], "embedding array<float>, image_path string")
+    collection.append(spark, where, rows("a", "b", "c"))
+    ids = lambda: sorted((r.id, r.image_path) for r in collection.load(spark, where).collect())
+    before, data = ids(), _files(tmp_path / "col" / "data")
+    # a delete that dies before its commit, in the midst of it, and one that ends
+    real = paths.create_text
+    for text in (None, '{"dim": 2, "da'):
+        def dies(spark, path, whole, text=text):
+            if text:
+                real(spark, path, text)
+                os.utime(path, (1, 1))
+            raise KeyboardInterrupt
+
+        paths.create_text = dies
+        try:
+            with pytest.raises(KeyboardInterrupt):
+                collection.delete(spark, where, spark.createDataFrame([(2,)], "id long"))
+        finally:
+            paths.create_text = real
+        assert ids() == before
+    old = collection.current(spark, where)["version"]
+    collection.delete(spark, where, spark.createDataFrame([(2,), (2,)], "id long"))
+    assert ids() == [(1, "a"), (3, "c")] and _files(tmp_path / "col" / "data") == data
+    assert sorted(r.id for r in collection.load(spark, where, old).collect()) == [1, 2, 3]
+    assert [r.outcome for r in collection.delete(spark, where, spark.createDataFrame([(2,)], "id long")).collect()] == ["missing"]
+    collection.append(spark, where, rows("d"))
+    collection.compact(spark, where)
+    assert collection.vacuum(spark, where) and ids() == [(1, "a"), (3, "c"), (4, "d")]
+
+
+def test_collection_batches_and_writers(spark, tmp_path):
+    where = str(tmp_path / "col")
+    collection.create(spark, where, 2)
+    rows = spark.createDataFrame([([1.0, float(i)], f"p{i:02}", "x" * (300 if i == 3 else 3)) for i in range(20)] + [([1.0, float("nan")], "q", ""), (None, "r", "")], "embedding array<double>, image_path string, person_id string")
+    broken = lambda d: d.withColumn("person_id", F.when(F.col("image_path") == "p07", F.raise_error(F.lit("no room")).cast("string")).otherwise(F.col("person_id")))
+    told = {r.image_path: r for r in collection.append(spark, where, rows, 5, broken).collect()}
+    assert len(told) == 22 and told["p03"].reason == "person_id has 300 characters of 256" and told["q"].reason == "an invalid vector" and told["r"].reason == "no vector"
+    assert {n for n, r in told.items() if r.outcome == "failed"} == {"p06", "p07", "p08", "p09", "p10"} and "no room" in told["p06"].reason
+    assert {r.image_path for r in collection.load(spark, where).collect()} == {n for n, r in told.items() if r.outcome == "inserted"}
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(lambda i: collection.append(spark, where, rows.where(f"image_path = 'p{i:02}'")), range(10, 14)))
+    got = [r.id for r in collection.load(spark, where).collect()]
+    assert len(got) == len(set(got)) == 14 + 4
+
+
+def test_ingest_batches_embed_once(spark, tmp_path):
+    from twinspark.streaming.ingest import ingest_batch, ingest_collection
+
+    where, seen = str(tmp_path / "col"), spark.sparkContext.accumulator(0)
+
+    def run(batches):
+        for b in batches:
+            seen.add(len(b))
+            yield b.assign(embedding=[None if p == "bad" else [1.0, 2.0] for p in b["image_path"]], reason=["no_face_detected" if p == "bad" else None for p in b["image_path"]])
+
+    embedded = lambda d: d.mapInPandas(run, "image_path string, embedding array<float>, reason string")
+    batch = lambda *names: spark.createDataFrame([(n,) for n in names], "image_path string")
+    collection.create(spark, where, 2)
+    told = lambda df: sorted((r.image_path, r.outcome, r.reason) for r in df.collect())
+    first = told(ingest_batch(spark, batch("a", "b", "b", "bad"), 0, where, embedded))
+    assert first == [("a", "inserted", None), ("b", "inserted", None), ("bad", "failed", "no_face_detected")] and seen.value == 3
+    ingest_batch(spark, batch("a", "b", "b", "bad"), 0, where, embedded).collect()  # comes again
+    assert seen.value == 3 and collection.load(spark, where).count() == 2
+    assert told(ingest_batch(spark, batch("a", "c"), 1, where, embedded)) == [("a", "skipped", None), ("c", "inserted", None)] and seen.value == 4
+    land = str(tmp_path / "land")
+    batch("c", "e").write.parquet(land)
+    for _ in range(2):
+        ingest_collection(spark, land, "image_path string", where, str(tmp_path / "check"), embedded, 2, "files").awaitTermination()
+    assert seen.value == 5 and collection.load(spark, where).count() == 4
+
+
+def test_embedding_goes_on_where_it_broke_off(spark, tmp_path):
+    where, seen, fail = str(tmp_path / "pass"), spark.sparkContext.accumulator(0), [3]
+    records = spark.range(100).withColumnRenamed("id", "key")
+
+    def model(rows):
+        fail[0] -= 1
+        if fail[0] < 0:
+            raise KeyboardInterrupt
+
+        def run(batches):
+            for b in batches:
+                seen.add(len(b))
+                yield b
+
+        return rows.mapInPandas(run, "key long")
+
+    with pytest.raises(KeyboardInterrupt):
+        store.embed_in_parts(records, where, model, 5)
+    assert 0 < seen.value < 100
+    fail[0] = 9
+    assert sorted(r.key for r in store.embed_in_parts(records, where, model, 5).collect()) == list(range(100)) and seen.value == 100
+    with pytest.raises(ValueError):
+        store.embed_in_parts(records, where, model, 6)
+
+
 def test_guards(spark):
     assert store.check_top_k() == 5 and store.check_top_k(50) == 50
     for k in (0, 51):

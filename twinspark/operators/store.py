@@ -1,57 +1,21 @@
-"""The vector collection: a typed Parquet folder, its status, idempotent ingest, deletion; and evaluation of searches."""
+"""Rows of vector collections: types, status, idempotent ingest, deletion; and evaluation of searches. ``collection`` has the stored form."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from twinspark.functions.vectors import valid
 from twinspark.functions.names import cache_key, file_name
+from twinspark.operators import collection
 from twinspark.operators.order import numbered
 from twinspark.sources import paths
 
-LENGTHS = {"image_path": 1024, "dataset_source": 64, "person_id": 256, "model_version": 64, "embedding_version": 64, "alignment_version": 64}
-VERSIONS = {"model_version": "1", "embedding_version": "1", "alignment_version": "1"}
-
 
 def typed(rows: DataFrame, dim: int) -> DataFrame:
-    """Rows that fit the collection: vector of ``dim`` numbers, text lengths within limits; null texts become ''."""
-    out = rows
-    for c in LENGTHS:
-        out = out.withColumn(c, F.coalesce(F.col(c), F.lit("")) if c in rows.columns else F.lit(VERSIONS.get(c, "")))
-    out = out.where(valid(F.col("embedding"), dim))
-    for c, n in LENGTHS.items():
-        out = out.where(F.length(c) <= n)
-    return out.select(F.col("embedding").cast("array<float>").alias("embedding", metadata={"dim": dim}), *LENGTHS)
-
-
-def schema(dim: int) -> T.StructType:
-    vector = T.StructField("embedding", T.ArrayType(T.FloatType()), metadata={"dim": dim})
-    return T.StructType([T.StructField("id", T.LongType()), vector, *(T.StructField(c, T.StringType()) for c in LENGTHS)])
-
-
-def create(spark: SparkSession, path: str, dim: int, drop_existing: bool = False) -> DataFrame:
-    """The collection in a folder: the one that is there, or a new empty one."""
-    if drop_existing or not paths.exists(spark, path):
-        spark.createDataFrame([], schema(dim)).write.mode("overwrite").parquet(path)
-    return load(spark, path)
-
-
-def load(spark: SparkSession, path: str) -> DataFrame:
-    """The collection in a folder; FileNotFoundError if there is none."""
-    if not paths.exists(spark, path):
-        raise FileNotFoundError(f"no collection in {path}")
-    return spark.read.parquet(path)
-
-
-def describe(spark: SparkSession, path: str) -> dict[str, object]:
-    """Index, metric, dimension and rows of the collection in a folder; never raises, but has an ``error`` then."""
-    try:
-        field = spark.read.parquet(path).schema["embedding"]
-        return {"index_type": "exact", "metric_type": "COSINE", "params": {}, "dim": field.metadata.get("dim"), "row_count": load(spark, path).count()}
-    except Exception as e:  # noqa: BLE001
-        return {"error": str(e).split("\n")[0]}
+    """The rows that fit the collection (``collection.judged`` says why the others don't): vector of ``dim`` numbers, text lengths within limits; null texts become ''."""
+    out = collection.judged(rows, dim).where("reason is null")
+    return out.select(F.col("embedding").cast("array<float>").alias("embedding", metadata={"dim": dim}), *collection.LENGTHS)
 
 
 def status(stored: DataFrame) -> DataFrame:
@@ -59,19 +23,6 @@ def status(stored: DataFrame) -> DataFrame:
     return stored.agg(F.lit("exact").alias("index_type"), F.lit("COSINE").alias("metric_type"), F.count("*").alias("row_count"), F.count_if(valid(F.col("embedding"))).alias("searchable"))
 
 
-def append(spark: SparkSession, path: str, rows: DataFrame, dim: int) -> None:
-    """Rows to the collection in a folder, ids going on from the largest."""
-    stored = load(spark, path)
-    top = stored.agg(F.coalesce(F.max("id"), F.lit(0))).first()[0]
-    numbered(typed(rows, dim), ["image_path", "dataset_source"], "id", top + 1).select(stored.columns).write.mode("append").parquet(path)
-
-
-def drop_ids(spark: SparkSession, path: str, ids: DataFrame) -> None:
-    """The collection in a folder without ``ids``: written anew beside it, then put in its place."""
-    delete(load(spark, path), ids).write.mode("overwrite").parquet(f"{path}.new")
-    paths.move(spark, f"{path}.new", path)
-
-
 def skip_existing(rows: DataFrame, stored: DataFrame, key: str = "image_path") -> DataFrame:
     return rows.join(stored.select(key), key, "left_anti")
 
@@ -115,6 +66,20 @@ def embed_pass(records: DataFrame, cache: DataFrame, embed, dim: int) -> DataFra
     return out.withColumns({"status": said, "v": F.when(F.col("cached"), F.col("v")).when(fresh, F.col("new"))}).drop("new", "cached")
 
 
+def embed_in_parts(records: DataFrame, folder: str, embed, parts: int) -> DataFrame:
+    """What ``embed`` makes of ``records`` (key, ...), written to ``folder`` part by part: a pass that is killed goes on with the parts that aren't finished.
+
+    A key's part is its hash; ``parts`` of a folder can't change (ValueError).
+    """
+    spark = records.sparkSession
+    if not paths.create_text(spark, f"{folder}/parts", str(parts)) and paths.read_text(spark, f"{folder}/parts") != str(parts):
+        raise ValueError(f"{folder} has {paths.read_text(spark, f'{folder}/parts')} parts, not {parts}")
+    for i in range(parts):
+        if not paths.exists(spark, f"{folder}/part={i}/_SUCCESS"):
+            embed(records.where(F.pmod(F.xxhash64("key"), F.lit(parts)) == i)).write.mode("overwrite").parquet(f"{folder}/part={i}")
+    return spark.read.parquet(*(f"{folder}/part={i}" for i in range(parts)))
+
+
 def missing_files(rows: DataFrame, files: DataFrame) -> DataFrame:
     """Rows whose ``path`` isn't among ``files`` (path)."""
     return rows.join(files.select("path"), "path", "left_anti")

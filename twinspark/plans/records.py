@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from twinspark.functions import names, vectors
-from twinspark.operators import extract, order, similar, split, store
+from twinspark.operators import collection, extract, order, similar, split, store
 from twinspark.plans.base import query, read
 from twinspark.plans.catalog import _E, _EVAL, _KNN, K, PRIORITY, _docs, _hits, _results, _splits, _vectors
 from twinspark.plans.catalog import _SPLIT as _SPLIT_SQL
+from twinspark.shared import shared_dir
 from twinspark.sources import files, sinks
 
 KNOWN = ["src3", "src0", "nowhere", "src11"]
@@ -196,6 +200,37 @@ def search_responses(s, d):
     return store.search_responses(_hits(s, d).where(F.col("rank") <= k), stored)
 
 
+_UPLOAD = """WITH u AS (SELECT 'images/' || CAST(doc_id AS VARCHAR) || '.jpg' AS image_path, repeat(source, 1 + CAST(doc_id % 20 AS INTEGER)) AS dataset_source, vec_id, doc_id FROM documents LEFT JOIN embeddings ON vec_id = doc_id),
+j AS (SELECT *, CASE WHEN vec_id IS NULL THEN 'no vector' WHEN vec_id % 11 = 0 THEN 'an invalid vector' WHEN vec_id % 13 = 0 THEN 'a vector of 63 numbers, not 64' WHEN length(dataset_source) > 64 THEN 'dataset_source has ' || CAST(length(dataset_source) AS VARCHAR) || ' characters of 64' END AS reason FROM u),
+g AS (SELECT *, CASE WHEN reason IS NULL THEN row_number() OVER (PARTITION BY reason IS NULL ORDER BY image_path, dataset_source) END AS n FROM j), b AS (SELECT *, (n - 1) // 100 AS batch FROM g),
+o AS (SELECT *, CASE WHEN reason IS NOT NULL THEN 'rejected' WHEN bool_or(doc_id % 97 = 5) OVER (PARTITION BY batch) THEN 'failed' ELSE 'inserted' END AS outcome FROM b) """
+
+
+def _uploaded(s, d) -> tuple[str, DataFrame]:
+    """A new collection, and the outcomes of an upload in batches of 100, of which those fail that hold a certain row."""
+    v = _vectors(s, d).select(F.col("id").alias("doc_id"), "v")
+    v = v.withColumn("v", F.when(F.col("doc_id") % 11 == 0, F.transform("v", lambda x: x * 0)).when(F.col("doc_id") % 13 == 0, F.slice("v", 1, 63)).otherwise(F.col("v")))
+    rows = read(s, d, "documents").select("doc_id", _text_path("images/", F.col("doc_id").cast("string"), ".jpg").alias("image_path"), F.expr("repeat(source, cast(1 + doc_id % 20 as int))").alias("dataset_source"))
+    rows = rows.join(v, "doc_id", "left").withColumnRenamed("v", "embedding")
+    where = f"{shared_dir(s)}/collection-{uuid.uuid4().hex}"
+    collection.create(s, where, 64)
+    broken = lambda rows: rows.withColumn("person_id", F.when(F.regexp_extract("image_path", r"(\d+)", 1).cast("long") % 97 == 5, F.raise_error(F.lit("bad row")).cast("string")).otherwise(F.col("person_id")))
+    return where, collection.append(s, where, rows, 100, broken)
+
+
+@query(_UPLOAD + "SELECT image_path, dataset_source, CASE WHEN outcome = 'inserted' THEN n END AS id, batch, outcome, CASE outcome WHEN 'failed' THEN true ELSE false END AS broken, CASE outcome WHEN 'rejected' THEN reason END AS reason FROM o")
+def append_outcomes(s, d):
+    _, told = _uploaded(s, d)
+    return told.withColumn("broken", F.col("outcome").eqNullSafe("failed") & F.col("reason").isNotNull()).withColumn("reason", F.when(F.col("outcome") == "rejected", F.col("reason")))
+
+
+@query(_UPLOAD + "SELECT n AS id, image_path, dataset_source FROM o WHERE outcome = 'inserted' AND n % 5 <> 0")
+def collection_versions(s, d):
+    where, told = _uploaded(s, d)
+    collection.delete(s, where, told.where("id % 5 = 0").select("id"))
+    return collection.load(s, where).select("id", "image_path", "dataset_source")
+
+
 @query("SELECT 'exact' AS index_type, 'COSINE' AS metric_type, count(*) AS row_count, count(*) FILTER (WHERE vec_id % 9 <> 0) AS searchable FROM embeddings")
 def collection_status(s, d):
     rows = read(s, d, "embeddings").select(F.when(F.col("vec_id") % 9 == 0, F.transform("embedding", lambda x: x * 0)).otherwise(F.col("embedding")).alias("embedding"))
