@@ -40,7 +40,7 @@ from twinspark.shared import settled, table
 BUCKETS, CHUNK = 1 << 20, 1 << 12
 LADDER = (1, 2, 4, 8)  #: shingles by which a prefix may exceed the one before the shortest
 COMPARE = 0.125  #: cost of comparing a shingle of a candidate, against reading a row of a list
-ROUNDS, DENSE = 8, 2  #: most rounds of stars; pairs of sets in lists, for each row, from which on one more is worth it
+ROUNDS, DENSE = 8, 8  #: most rounds of stars; pairs of sets in lists, for each row, from which on one more is worth it
 GAIN = 0.7  #: the share of such pairs that a round may leave if another one is to follow
 
 
