@@ -37,7 +37,9 @@ from twinspark.llm.simhash import _named, shingle_set, verified
 from twinspark.operators.graph import connected_components
 from twinspark.shared import settled, table
 
-BUCKETS, CHUNK = 1 << 20, 1 << 12
+BITS, CHUNK = 22, 1 << 14
+BUCKETS = 1 << BITS  #: of hashes, in which shingles are counted
+STEPS = 4  #: levels of commonness for each power of two
 LADDER = (1, 2, 4, 8)  #: shingles by which a prefix may exceed the one before the shortest
 COMPARE = 0.125  #: cost of comparing a shingle of a candidate, against reading a row of a list
 ROUNDS, DENSE = 8, 8  #: most rounds of stars; pairs of sets in lists, for each row, from which on one more is worth it
@@ -71,37 +73,37 @@ def profile(docs: DataFrame, k: int) -> DataFrame:
                 other[i], size[i] = xxh64_intdigest(h.tobytes(), 43) - (1 << 63), len(h)
                 if node[i] not in seen:
                     seen.add(node[i])
-                    new.append(h >> np.uint64(44))
+                    new.append(h >> np.uint64(64 - BITS))
             total += np.bincount(np.concatenate(new).astype(np.int64), minlength=BUCKETS)
             none = [pa.nulls(b.num_rows, pa.int32()), pa.nulls(b.num_rows, pa.binary())]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), *map(pa.array, (node, other, size)), *none], names)
         at = np.flatnonzero(total.reshape(-1, CHUNK).any(axis=1))
         if len(at):
             empty = [pa.nulls(len(at), ids), *(pa.nulls(len(at), pa.int64()) for _ in range(5))]
-            yield pa.RecordBatch.from_arrays([*empty, pa.array(at.astype(np.int32)), pa.array([total[i * CHUNK : (i + 1) * CHUNK].astype(np.int32).tobytes() for i in at], pa.binary())], names)
+            yield pa.RecordBatch.from_arrays([*empty, pa.array(at.astype(np.int32)), pa.array([np.minimum(total[i * CHUNK : (i + 1) * CHUNK], 65535).astype(np.uint16).tobytes() for i in at], pa.binary())], names)
 
     out = f"doc_id {kind}, a long, b long, node long, other long, n long, chunk int, counts binary"
     return table(docs.select("doc_id", *_named(F.col("text")), "text").mapInArrow(run, out), "profile")
 
 
 def levels(profiles: DataFrame) -> np.ndarray:
-    """How common the shingles of each bucket are: powers of two above the average, 0 for all others."""
+    """How common the shingles of each bucket are: ``STEPS`` levels for each power of two above the average, 0 for all others."""
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
         for b in batches:
             for i, counts in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                own = np.frombuffer(counts, np.int32).astype(np.int64)
+                own = np.frombuffer(counts, np.uint16).astype(np.int64)
                 sums[i] = sums[i] + own if i in sums else own
         if sums:
-            yield pa.RecordBatch.from_arrays([pa.array([*sums], pa.int32()), pa.array([x.tobytes() for x in sums.values()], pa.binary())], ["chunk", "counts"])
+            yield pa.RecordBatch.from_arrays([pa.array([*sums], pa.int32()), pa.array([np.minimum(x, (1 << 31) - 1).astype(np.int32).tobytes() for x in sums.values()], pa.binary())], ["chunk", "counts"])
 
     rows = profiles.where("chunk is not null").select("chunk", "counts").repartition("chunk").mapInArrow(add, "chunk int, counts binary")
     total = np.zeros((BUCKETS // CHUNK, CHUNK), np.int64)
-    for r in rows.collect():  # at most 2^20 numbers
-        total[r.chunk] = np.frombuffer(r.counts, np.int64)
+    for r in rows.collect():  # at most BUCKETS numbers
+        total[r.chunk] = np.frombuffer(r.counts, np.int32)
     average = max(1.0, total.mean())
-    return np.maximum(0, np.log2(np.maximum(total.ravel(), 1) / average)).astype(np.uint8)
+    return np.maximum(0, STEPS * np.log2(np.maximum(total.ravel(), 1) / average)).astype(np.uint8)
 
 
 def prefixes(docs: DataFrame, k: int, similarity: float, level: np.ndarray) -> DataFrame:
@@ -117,7 +119,7 @@ def prefixes(docs: DataFrame, k: int, similarity: float, level: np.ndarray) -> D
                 h, node = shingle_set((text.as_py() or "").encode(), k)
                 if node not in seen and len(h):
                     seen.add(node)
-                    own = order.value[(h >> np.uint64(44)).astype(np.int64)]
+                    own = order.value[(h >> np.uint64(64 - BITS)).astype(np.int64)]
                     keys.append(h[np.argsort(own, kind="stable")][: len(h) - _least(similarity, len(h)) + LADDER[-1]])
                     nodes.append(node)
                     sizes.append(len(h))
@@ -182,15 +184,15 @@ def stars(rows: DataFrame, similarity: float, turn: int) -> DataFrame:
 
 
 def candidates(rows: DataFrame, similarity: float) -> DataFrame:
-    """Pairs (u, v) of sets of different classes that share as many prefix shingles as they need."""
+    """Pairs (u, v, cx, cy, c) of sets of different classes cx and cy that share as many prefix shingles as they need."""
     by = rows.groupBy("token", "class").agg(F.min("n").alias("low"), F.max("n").alias("high"))
     near = (F.col("x.low") * similarity <= F.col("y.high") + 1e-9) & (F.col("y.low") * similarity <= F.col("x.high") + 1e-9)
     beside = by.alias("x").join(by.alias("y"), (F.col("x.token") == F.col("y.token")) & (F.col("x.class") < F.col("y.class")) & near)
     beside = beside.select("x.token", F.col("x.class").alias("cx"), F.col("y.class").alias("cy"))
     side = lambda s: rows.select("token", F.col("class").alias(f"c{s}"), F.col("node").alias(f"u{s}"), F.col("n").alias(f"n{s}"), F.col("rest").alias(f"r{s}"))
     pairs = beside.join(side("x"), ["token", "cx"]).join(side("y"), ["token", "cy"]).where(_fits("nx", "ny", similarity))
-    each = pairs.groupBy("ux", "uy", "nx", "ny", "rx", "ry").agg(F.count("*").alias("c"))
-    return each.where(F.col("c") >= needed(F.col("nx"), F.col("rx"), F.col("ny"), F.col("ry"), similarity)).select(F.col("ux").alias("u"), F.col("uy").alias("v"))
+    each = pairs.groupBy("ux", "uy", "nx", "ny", "rx", "ry", "cx", "cy").agg(F.count("*").alias("c"))
+    return each.where(F.col("c") >= needed(F.col("nx"), F.col("rx"), F.col("ny"), F.col("ry"), similarity)).select(F.col("ux").alias("u"), F.col("uy").alias("v"), "cx", "cy", "c")
 
 
 def _joined(rows: DataFrame, links: DataFrame) -> DataFrame:
@@ -215,7 +217,19 @@ def links(docs: DataFrame, profiles: DataFrame, each: DataFrame, k: int, similar
         new = settled(spark, "stars", lambda: verified(docs, each, stars(rows, similarity, turn), k, similarity))  # noqa: B023
         found = new if found is None else found.unionByName(new)
         rows = settled(spark, "classes", lambda: _joined(rows, new))  # noqa: B023
-    last = settled(spark, "last", lambda: verified(docs, each, candidates(rows, similarity), k, similarity))
+    # the pair of two classes that shares most comes first: what it links needs no other
+    pairs = settled(spark, "pairs", lambda: candidates(rows, similarity))
+    best = pairs.groupBy("cx", "cy").agg(F.max(F.struct("c", "u", "v")).alias("m")).select("m.u", "m.v")
+    first = settled(spark, "best", lambda: verified(docs, each, best, k, similarity))
+
+    def rest() -> DataFrame:
+        ends = F.array_sort(F.array("u", "v"))
+        linked = pairs.withColumn("ends", ends).join(first.select(ends.alias("ends")), "ends", "left_semi").select(F.col("cx").alias("u"), F.col("cy").alias("v"))
+        up = connected_components(linked)
+        own = pairs.join(up.select(F.col("node").alias("cx"), F.col("component").alias("x")), "cx", "left").join(up.select(F.col("node").alias("cy"), F.col("component").alias("y")), "cy", "left")
+        return verified(docs, each, own.where(F.coalesce("x", "cx") != F.coalesce("y", "cy")).select("u", "v"), k, similarity)
+
+    last = first.unionByName(settled(spark, "rest", rest))
     return last if found is None else found.unionByName(last)
 
 
