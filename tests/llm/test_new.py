@@ -2,6 +2,7 @@ import hashlib
 import random
 import re
 import zlib
+from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import pytest
@@ -136,3 +137,19 @@ def test_repair_query_on_edge_rows(spark, tmp_path):
     none = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
     assert repair.repair(none)[0].count() == 0 and repair.repair(none)[1].count() == 0
     assert repair.damaged(none.withColumn("copy", F.lit(1))).count() == 0
+
+
+def test_pipeline_results_outlive_later_calls(spark, tmp_path):
+    import corpus_pipeline
+
+    d = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{d}/documents.parquet")
+    stages = dict(corpus_pipeline.STAGES)
+    one = stages["line dedup"](spark, docs, d)
+    other = stages["line dedup"](spark, docs.where("doc_id % 2 = 0"), d)
+    with ThreadPoolExecutor(2) as pool:
+        runs = [pool.submit(corpus_pipeline.run, spark, d) for _ in range(2)]
+        third, first = runs[1].result(), runs[0].result()
+    key = lambda df: sorted(map(str, df.select("doc_id", "text").collect()))
+    assert key(third) == key(first) and first.count()
+    assert one.count() == docs.count() and other.count() == docs.where("doc_id % 2 = 0").count()
