@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from twinspark.operators.graph import local_components
 from twinspark.llm import chat, decontaminate, golay, language, lines, media, mixing, quality, simhash, suffix, warc
+from twinspark.shared import table
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, score double, k string"
 EDGE = [
@@ -353,6 +354,23 @@ def test_warc_revisits_against_sql(spark, tmp_path, monkeypatch):
     assert got == want and sum(r[3] == "revisit" for r in want) > 100
 
 
+def test_warc_small_pages_stay_where_they_are(spark):
+    """100,000 empty pages, unrepeated ones and one repeated body: the first two never meet, so no task holds them all."""
+    n = 100000
+    html = F.when(F.col("id") < n, "").when(F.col("id") < n + 3000, F.concat(F.repeat(F.lit("x"), 100), F.col("id").cast("string"))).otherwise(F.repeat(F.lit("y"), 300))
+    pages = spark.range(n + 4000).select(F.col("id").alias("page_id"), F.lit("u").alias("url"), html.alias("html")).repartition(8)
+    archive = table(warc.arcs(pages), "arc")
+    written = table(warc.convert(archive), "warc")
+    rows = warc.records(written).groupBy("record_type", "refers_to").agg(F.count("*").alias("n"), F.sum("payload_bytes").alias("bytes"), F.sum(F.col("page_id").cast("long")).alias("ids"))
+    first = n + 3000
+    empty, own, again = sum(range(n)), sum(range(n, first)), sum(range(first + 1, n + 4000))
+    assert {tuple(r) for r in rows.collect()} == {("response", None, n + 3001, 3000 * 106 + 300, empty + own + first), ("revisit", str(first), 999, 999 * 300, again)}
+    bits = warc._repeated(spark.createDataFrame([(bytes([255, 255, 255, 128]),), (bytes(32),)], "digest binary"))
+    assert len(bits) == 1 << warc.FILTER_BITS - 3 and np.flatnonzero(np.unpackbits(bits, bitorder="little")).tolist() == [0, (1 << warc.FILTER_BITS) - 1]
+    size = [r[0] for r in warc.convert(archive).groupBy(F.spark_partition_id()).agg(F.sum(F.length("warc"))).collect()]
+    assert max(size) < 0.5 * sum(size)
+
+
 def test_crf_switches():
     rng = np.random.default_rng(4)
     make = lambda chars, n: ["".join(rng.choice(list(chars), rng.integers(2, 7))) for _ in range(n)]

@@ -22,6 +22,7 @@ import uuid
 import zlib
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,6 +31,7 @@ from twinspark.shared import table
 
 REVISIT_BYTES = 100
 ARCHIVE_BYTES = 4 << 20  #: an archive is closed when it has this many
+FILTER_BITS = 25  #: of a digest; the filter of repeated digests has 2^25 bits, 4 MB
 # fixed values of the formats
 V1 = "URL IP-address Archive-date Content-type Archive-length"
 V2 = "URL IP-address Archive-date Content-type Result-code Checksum Location Offset Filename Archive-length"
@@ -153,11 +155,35 @@ def arcs(pages: DataFrame) -> DataFrame:
     return pages.select("page_id", "url", F.col("html").cast("binary").alias("html")).mapInArrow(run, "arc binary")
 
 
+def _repeated(digests: DataFrame) -> np.ndarray:
+    """A bit for each value of the first ``FILTER_BITS`` bits of the digests: 4 MB, whatever their number."""
+    bit = F.shiftright(F.conv(F.hex(F.substring("digest", 1, 4)), 16, 10).cast("long"), 32 - FILTER_BITS)
+    parts = digests.groupBy(F.shiftright(bit, 15).alias("part")).agg(F.bitmap_construct_agg(bit.bitwiseAND(32767)).alias("bits"))
+    out = np.zeros((1 << FILTER_BITS - 15, 4096), np.uint8)
+    for r in parts.collect():
+        out[r.part] = np.frombuffer(r.bits, np.uint8)
+    return out.ravel()
+
+
+def _packed(written: Iterator[bytes], most: int) -> Iterator[pa.RecordBatch]:
+    """Records as archives, each closed when it has ``most`` bytes."""
+    out, size = [], 0
+    for record in written:
+        out.append(record)
+        size += len(record)
+        if size >= most:
+            yield pa.RecordBatch.from_arrays([pa.array([b"".join(out)], pa.binary())], ["warc"])
+            out, size = [], 0
+    if out:
+        yield pa.RecordBatch.from_arrays([pa.array([b"".join(out)], pa.binary())], ["warc"])
+
+
 def convert(archive: DataFrame) -> DataFrame:
     """(arc) to (warc): the records of ARC files as WARC archives, equal payloads as revisits of the smallest page id.
 
-    Digests and ids are grouped first, copies combined before they move. Then records, not archives, meet the
-    first page of their digest: rows of a page's size, so that the join can be split where a page is very common.
+    Digests and ids are grouped first, copies combined before they move. A record whose payload is short or whose digest
+    isn't in the filter of repeated ones (4 MB) is written in the task that reads it. The others meet the first page
+    of their digest: rows of a page's size, so that the join can be split where a page is very common.
     """
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -167,36 +193,41 @@ def convert(archive: DataFrame) -> DataFrame:
                 pages, digests = zip(*rows, strict=True) if rows else ((), ())
                 yield pa.RecordBatch.from_arrays([pa.array(pages, pa.string()), pa.array(digests, pa.binary())], ["page", "digest"])
 
+    number = F.col("page").try_cast("long")
+    firsts = archive.select("arc").mapInArrow(index, "page string, digest binary").groupBy("digest").agg(F.min(F.struct(number.alias("number"), F.col("page").alias("ref"))).alias("first"), F.count("*").alias("times"))
+    firsts = table(firsts.where("times > 1").select("digest", "first.ref"), "firsts")
+    filter_ = archive.sparkSession.sparkContext.broadcast(_repeated(firsts))
+
+    def told(data: bytes) -> Iterator[tuple[dict[str, str], bytes, str | None, bytes | None]]:
+        """(fields, body, page, digest) of the records of an ARC file; no digest if the payload can't be another's."""
+        for arc, body in read_arc(data):
+            h, _, p = http_parts(body)
+            digest = hashlib.sha256(p).digest() if len(p) >= REVISIT_BYTES else None
+            if digest:
+                at = int.from_bytes(digest[:4], "big") >> 32 - FILTER_BITS
+                digest = digest if filter_.value[at >> 3] >> (at & 7) & 1 else None
+            yield arc, body, h.get("x-page-id"), digest
+
+    def straight(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _packed((warc_record(arc, body) for b in batches for data in b.column(0).to_pylist() for arc, body, _, digest in told(data) if not digest), ARCHIVE_BYTES)
+
     def take_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for data in b.column(0).to_pylist():
-                rows = []
-                for arc, body in read_arc(data):
-                    h, _, p = http_parts(body)
-                    rows.append((h.get("x-page-id"), hashlib.sha256(p).digest() if len(p) >= REVISIT_BYTES else None, arc["URL"], arc["IP-address"], arc["Archive-date"], body))
+                rows = [(page, digest, arc["URL"], arc["IP-address"], arc["Archive-date"], body) for arc, body, page, digest in told(data) if digest]
                 cols = list(zip(*rows, strict=True)) or [()] * 6
                 kinds = [pa.string(), pa.binary(), pa.string(), pa.string(), pa.string(), pa.binary()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], ["page", "digest", "url", "ip", "date", "body"])
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out, size = [], 0
-        for b in batches:
-            for url, ip, date, body, revisit, ref in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                out.append(warc_record({"URL": url, "IP-address": ip, "Archive-date": date}, body, revisit, ref))
-                size += len(out[-1])
-                if size >= ARCHIVE_BYTES:
-                    yield pa.RecordBatch.from_arrays([pa.array([b"".join(out)], pa.binary())], ["warc"])
-                    out, size = [], 0
-        if out:
-            yield pa.RecordBatch.from_arrays([pa.array([b"".join(out)], pa.binary())], ["warc"])
+        rows = (row for b in batches for row in zip(*(c.to_pylist() for c in b.columns), strict=True))
+        yield from _packed((warc_record({"URL": url, "IP-address": ip, "Archive-date": date}, body, revisit, ref) for url, ip, date, body, revisit, ref in rows), ARCHIVE_BYTES)
 
-    number = F.col("page").try_cast("long")
-    firsts = archive.select("arc").mapInArrow(index, "page string, digest binary").groupBy("digest").agg(F.min(F.struct(number.alias("number"), F.col("page").alias("ref"))).alias("first"), F.count("*").alias("times"))
-    firsts = table(firsts.where("times > 1").select("digest", "first.ref", F.lit(True).alias("again")), "firsts")
     rows = archive.select("arc").mapInArrow(take_out, "page string, digest binary, url string, ip string, date string, body binary")
-    rows = rows.join(firsts.hint("shuffle_hash"), "digest", "left")
+    rows = rows.join(firsts.withColumn("again", F.lit(True)).hint("shuffle_hash"), "digest", "left")
     revisit = F.coalesce("again", F.lit(False)) & ~F.col("page").eqNullSafe(F.col("ref"))
-    return rows.select("url", "ip", "date", "body", revisit.alias("revisit"), "ref").mapInArrow(write, "warc binary")
+    rows = rows.select("url", "ip", "date", "body", revisit.alias("revisit"), "ref").mapInArrow(write, "warc binary")
+    return archive.select("arc").mapInArrow(straight, "warc binary").union(rows)
 
 
 def records(archive: DataFrame) -> DataFrame:
