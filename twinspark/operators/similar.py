@@ -172,7 +172,8 @@ def sensitivity(vectors: DataFrame, thresholds: list[float], chosen: float | Non
     return out
 
 
-def _best(hits: DataFrame, k: int) -> DataFrame:
+def ranked(hits: DataFrame, k: int) -> DataFrame:
+    """(query, id, score) to (query, rank, id, score): the k best of each query, equal scores by id."""
     rank = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "id"))
     return hits.withColumn("rank", rank).where(F.col("rank") <= k).select("query", "rank", "id", "score")
 
@@ -210,7 +211,7 @@ def nearest(queries: DataFrame, gallery: DataFrame, k: int, skip_self: bool = Tr
             out.append(pd.DataFrame({"query": np.repeat(ids, order.shape[1])[ok], "id": found[ok], "score": score[ok]}))
         return pd.concat(out)
 
-    return _best(q.groupBy("x", "y").cogroup(g.groupBy("x", "y")).applyInPandas(best, "query long, id long, score double"), k)
+    return ranked(q.groupBy("x", "y").cogroup(g.groupBy("x", "y")).applyInPandas(best, "query long, id long, score double"), k)
 
 
 def _rotations(dim: int, tables: int, seed: int) -> np.ndarray:
@@ -248,4 +249,4 @@ def lsh_nearest(queries: DataFrame, gallery: DataFrame, k: int, tables: int = 28
     """Approximate ``nearest``: candidates by ``lsh_candidates``, made distinct before vectors are attached, then compared exactly."""
     pairs = lsh_candidates(queries, gallery, tables, probes, stored, seed)
     pairs = pairs.join(queries.select(F.col("id").alias("query"), F.col("v").alias("qv")), "query").join(gallery.select("id", "v"), "id")
-    return _best(pairs.select("query", "id", F.round(cosine(F.col("qv"), F.col("v")), 6).alias("score")), k)
+    return ranked(pairs.select("query", "id", F.round(cosine(F.col("qv"), F.col("v")), 6).alias("score")), k)

@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from twinspark.functions import names, vectors
-from twinspark.operators import order, similar, split, store
+from twinspark.operators import index, order, similar, split, store
 from twinspark.plans.base import QUERIES, SQL, query, read
+from twinspark.shared import place, settled
 
 __all__ = ["QUERIES", "SQL"]
 
@@ -156,6 +157,19 @@ def lsh_knn(s, d):
     return similar.lsh_nearest(v.where("id % 100 = 0"), v, K)
 
 
+@query(None)
+def indexed_knn(s, d):
+    v = _vectors(s, d)
+
+    def hits():
+        folder = place(s, "index")
+        index.create(v, folder, v.select(F.max(F.size("v"))).first()[0] or 1)
+        index.add(v, folder)
+        return index.search(v.where("id % 100 = 0"), folder, K)
+
+    return settled(s, "hits", hits)
+
+
 # identities
 
 

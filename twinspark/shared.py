@@ -26,10 +26,15 @@ def shared_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
+def place(spark: SparkSession, name: str, folder: str | None = None) -> str:
+    """A new path: in ``folder``, else in that of the ``scratch`` around, else in the shared one."""
+    return f"{folder or _scratch.get() or shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def table(df: DataFrame, name: str = "t", folder: str | None = None) -> DataFrame:
-    """Write ``df`` as Parquet and read it back, so that later stages survive a lost executor: in ``folder``, else in that of the ``scratch`` around, else in the shared one."""
+    """Write ``df`` as Parquet and read it back, so that later stages survive a lost executor; ``place`` says where."""
     spark = df.sparkSession
-    path = f"{folder or _scratch.get() or shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = place(spark, name, folder)
     schema = df.schema
     df.write.parquet(path, compression="zstd")
     return spark.read.schema(schema).parquet(path)
