@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from twinspark.shared import table
+from twinspark.shared import settled, table
 
 MIN_DOCS = 10
 LEAD = 3
@@ -103,15 +103,23 @@ def templates(docs: DataFrame, min_docs: int = MIN_DOCS) -> tuple[DataFrame, Dat
     return lines, table(count.select("tid", "least"), "recurring")
 
 
-def line_dedup(docs: DataFrame, min_docs: int = MIN_DOCS, into: str = "lines") -> DataFrame:
-    """``docs`` with boilerplate lines dropped from ``text``, and ``n_lines`` and ``n_dropped`` in the struct ``into``."""
+def _gone(docs: DataFrame, min_docs: int) -> DataFrame:
+    """(a, b, gone): the templates of which a text loses its lines."""
     lines, recurring = templates(docs, min_docs)
     tokens = F.col("n") * F.col("times")
     gone = lines.join(recurring, "tid", "left").groupBy("a", "b").agg(
         F.sum(tokens).alias("all"), F.sum(F.when(F.col("least").isNotNull(), tokens).otherwise(0)).alias("again"),
         F.collect_set(F.when((F.col("a") != F.col("least.a")) | (F.col("b") != F.col("least.b")), F.col("tpl"))).alias("gone"),
     )
-    gone = gone.where((F.col("again") < WHOLE * F.col("all")) & (F.size("gone") > 0)).select("a", "b", "gone")
+    return gone.where((F.col("again") < WHOLE * F.col("all")) & (F.size("gone") > 0)).select("a", "b", "gone")
+
+
+def line_dedup(docs: DataFrame, min_docs: int = MIN_DOCS, into: str = "lines") -> DataFrame:
+    """``docs`` with boilerplate lines dropped from ``text``, and ``n_lines`` and ``n_dropped`` in the struct ``into``.
+
+    Lazy but for the lines that go, the one table that stays: texts are read again when the result is written.
+    """
+    gone = settled(docs.sparkSession, "gone", lambda: _gone(docs, min_docs))
     keyed = docs.select(F.struct("*").alias("d"), F.xxhash64("text").alias("a"), F.xxhash64(F.lit(7), "text").alias("b")).join(gone, ["a", "b"], "left")
     parts = F.split("d.text", "\n")
     kept = F.filter(parts, lambda x: ~F.array_contains("gone", F.xxhash64(masked(x))))

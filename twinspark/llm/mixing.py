@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from twinspark.shared import table
+from twinspark.shared import scratch, table
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -109,8 +109,13 @@ def schedule(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float
 
 
 def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE) -> DataFrame:
-    """The mix: the rows of ``docs`` that are taken, once for each time, globally sorted by virtual finish time."""
-    _, offsets, times = _plan(docs, weights, share)
+    """The mix: the rows of ``docs`` that are taken, once for each time, globally sorted by virtual finish time.
+
+    Lazy but for the offsets of the slices, the one table that stays.
+    """
+    with scratch(docs.sparkSession) as outer:
+        _, offsets, times = _plan(docs, weights, share)
+        offsets = table(offsets, "offsets", outer)
     s = _timed(_sized(docs, F.struct("*").alias("doc")), offsets).withColumn("times", times).where("times > 0")
     s = s.withColumn("e", F.explode(F.sequence(F.lit(0), F.col("times") - 1))).withColumn("vft", _vft(F.col("e")))
     return s.orderBy("vft", "h", "id", "e").select("doc.*")

@@ -36,7 +36,7 @@ from xxhash import xxh64_intdigest
 
 from twinspark.llm import golay
 from twinspark.operators.graph import connected_components, local_components
-from twinspark.shared import table
+from twinspark.shared import settled, table
 
 SEED = 42
 GROUP = 4096  #: fingerprints of a key that one comparison holds; larger groups are compared in blocks of this size
@@ -484,17 +484,8 @@ def met(rows: DataFrame, similarity: float) -> DataFrame:
     return each.where((F.least(most, from_first) >= need)).select(F.col("nx").alias("u"), F.col("ny").alias("v"))
 
 
-def near_duplicates(docs: DataFrame, k: int = 5, similarity: float = 0.8) -> DataFrame:
-    """``docs`` without later near copies: of each class the row with the smallest doc_id stays (null ids last, then by
-    hash of the text, then by hash of the row), the same in each run.
-
-    ``similarity`` is the Jaccard similarity s of shingle sets; the cosine of their SimHash sums is
-    2s/(1+s) for sets of a size, and bits differ with probability acos(cosine)/pi. The limit is that
-    of 128 bits, and two more for the spread of the estimate. Closure of the pairs within it makes classes to
-    compare: all pairs in a class are compared exactly, and of the pairs across classes all that the prefix filter
-    leaves. A set goes by two 64-bit hashes; of sets that share the first only one is
-    compared, the others stay, so that no hash ever removes a text unlike the one that is kept.
-    """
+def _kept(docs: DataFrame, keyed: DataFrame, k: int, similarity: float) -> DataFrame:
+    """The rows of ``keyed`` (id, a, b, c) that stay, one of each class, with the id hashed."""
     most = int(128 * math.acos(2 * similarity / (1 + similarity)) / math.pi + 2)
     prints = table(soft_prints(docs, k).distinct(), "prints")
     least = prints.groupBy("node").agg(F.min(F.struct("other", "a", "b", "n", "f0", "f1", "keys")).alias("m"))
@@ -509,12 +500,27 @@ def near_duplicates(docs: DataFrame, k: int = 5, similarity: float = 0.8) -> Dat
     nodes = prints.select("a", "b", "node", "other").join(root, ["node", "other"], "left")
     class_ = F.struct(F.coalesce("root", "node").alias("node"), F.when(F.col("root").isNull(), F.col("other")).alias("other"))
     nodes = nodes.select("a", "b", class_.alias("class"))
+    keep = keyed.join(nodes, ["a", "b"]).groupBy("class").agg(F.min(F.struct("id", "a", "b", "c")).alias("keep"))
+    return keep.select("keep.*").withColumn("id", F.xxhash64("id"))
+
+
+def near_duplicates(docs: DataFrame, k: int = 5, similarity: float = 0.8) -> DataFrame:
+    """``docs`` without later near copies: of each class the row with the smallest doc_id stays (null ids last, then by
+    hash of the text, then by hash of the row), the same in each run.
+
+    ``similarity`` is the Jaccard similarity s of shingle sets; the cosine of their SimHash sums is
+    2s/(1+s) for sets of a size, and bits differ with probability acos(cosine)/pi. The limit is that
+    of 128 bits, and two more for the spread of the estimate. Closure of the pairs within it makes classes to
+    compare: all pairs in a class are compared exactly, and of the pairs across classes all that the prefix filter
+    leaves. A set goes by two 64-bit hashes; of sets that share the first only one is
+    compared, the others stay, so that no hash ever removes a text unlike the one that is kept.
+    Lazy but for the names of the rows that stay, the one table that is left.
+    """
     # one row of each class, the same in each run: by id, then by text, then by the other columns
     plain = [F.col(f.name) for f in docs.schema.fields if "map<" not in f.dataType.simpleString() and "variant" not in f.dataType.simpleString()]
     id_ = F.col("doc_id")
     keyed = docs.select(F.struct("*").alias("doc"), F.struct(id_.isNull().alias("none"), id_.alias("id")).alias("id"), *_named(F.col("text")), F.xxhash64(*plain).alias("c"))
-    keep = keyed.select("id", "a", "b", "c").join(nodes, ["a", "b"]).groupBy("class").agg(F.min(F.struct("id", "a", "b", "c")).alias("keep"))
-    keep = keep.select("keep.*").withColumn("id", F.xxhash64("id"))
+    keep = settled(docs.sparkSession, "keep", lambda: _kept(docs, keyed.select("id", "a", "b", "c"), k, similarity))
     own = keyed.withColumn("id", F.xxhash64("id")).join(keep, ["id", "a", "b", "c"], "left_semi")
     return own.groupBy("id", "a", "b", "c").agg(F.first("doc").alias("doc")).select("doc.*")
 
