@@ -1,9 +1,10 @@
 """A corpus pipeline: quality, line dedup, near-dedup, decontamination, mixing.
 
-Each stage takes (spark, docs, sf_dir) and returns a DataFrame that it has written, so the next one reads it
-again. All but the last return the columns of ``documents``, ``n_chars`` kept true. A stage deletes the tables that it
-wrote on its way and nothing else; ``run`` keeps its stages' results in a folder of its own, which goes when
-the last one is written. Results belong to the caller: no later call touches them.
+Each stage takes (spark, docs, sf_dir) and returns a lazy DataFrame, which the caller writes, so that texts are
+written once a stage. All but the last return the columns of ``documents``, ``n_chars`` kept true. What a stage leaves
+beside it is the table of its decisions (the quality stage: its scored rows); it deletes what else it wrote, and nothing
+of others. ``run`` writes each stage's result in a folder of its own, which goes when the last one is written, and with
+each result goes what its stage left. Results belong to the caller: no later call touches them.
 """
 
 from __future__ import annotations
@@ -22,11 +23,11 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def _stage(f: Stage) -> Stage:
-    """The stage with its result written, and without the tables that it needed on its way."""
+    """The stage, with this package sent to the workers."""
 
     @functools.wraps(f)
     def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        return settled(ship(spark), f.__name__, lambda: f(spark, docs, sf_dir))
+        return f(ship(spark), docs, sf_dir)
 
     return run
 
@@ -83,6 +84,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     with scratch(ship(spark)) as outer:
         docs = read(spark, sf_dir, "documents")
-        for _, stage in STAGES:
-            docs = stage(spark, docs, sf_dir)
-        return table(docs, "pipeline", outer)
+        for _, stage in STAGES[:-1]:
+            docs = settled(spark, stage.__name__, lambda: stage(spark, docs, sf_dir))  # noqa: B023
+        return table(STAGES[-1][1](spark, docs, sf_dir), "pipeline", outer)
