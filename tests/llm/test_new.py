@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from twinspark.llm import jaccard, repair, runs
+from twinspark.llm import jaccard, repair, runs, simhash
 
 DOCS = "doc_id long, text string, node string, token long"
 
@@ -153,3 +153,30 @@ def test_pipeline_results_outlive_later_calls(spark, tmp_path):
     key = lambda df: sorted(map(str, df.select("doc_id", "text").collect()))
     assert key(third) == key(first) and first.count()
     assert one.count() == docs.count() and other.count() == docs.where("doc_id % 2 = 0").count()
+
+
+def test_pairs_of_unlike_sets_make_no_rows(spark):
+    """Sets that share common shingles only are no rows of the joins of prefixes; sets that are alike are."""
+    rng = random.Random(3)
+    own = [np.array([rng.getrandbits(62) for _ in range(300)], np.uint64) for _ in range(40)]
+    own.append(np.r_[own[0][:280], own[1][:20]])
+    bits = [simhash.parities(h) for h in own]
+    for x, p in zip(own, bits, strict=True):
+        for y, q in zip(own, bits, strict=True):
+            assert np.bitwise_count((p ^ q).view(np.uint64)).sum() <= len(np.setxor1d(x, y))
+    each = spark.createDataFrame([(i, *map(int, p)) for i, p in enumerate(bits)], ["node", *simhash.PARITY])
+    rows = spark.range(41).selectExpr("1L token", "1L key", "id node", "300L n", "0 pos", "0L rest", "id class")
+    made = lambda df: [r for r in df.collect()]
+    assert [(r.u, r.v) for r in made(jaccard.candidates(rows.withColumn("rest", F.lit(300)), each, 0.8))] == [(0, 40)]  # 820 before
+    assert {(r.u, r.v) for r in made(simhash.met(rows, each, 0.8))} <= {(0, 40)}
+
+
+def test_one_round_of_stars_at_least(spark, monkeypatch):
+    """A few near copies are joined by their leader, before all their pairs are made."""
+    turns = []
+    stars = jaccard.stars
+    monkeypatch.setattr(jaccard, "stars", lambda rows, s, turn: turns.append(turn) or stars(rows, s, turn))
+    words = [f"w{i}" for i in range(60)]
+    docs = [(i, " ".join(words[:-1] + [f"z{i}"])) for i in range(5)]
+    got = jaccard.components(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert {r.component_id for r in got} == {0} and turns == [0]

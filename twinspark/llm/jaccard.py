@@ -9,7 +9,7 @@ candidates that they allow times the cost of comparing one. Pairs that share eno
 
 Only classes are asked for, so not all pairs have to be candidates. First come rounds of stars: in each
 list all sets of other classes meet one leader, each set the leader that it meets most often, and what is
-verified joins classes. When few pairs of different classes are left in the lists, all of these are counted;
+verified joins classes; one round is always worth it, as pairs within groups of copies grow with the square of a group. When few pairs of different classes are left in the lists, all of these are counted;
 that makes the result exact whatever the rounds have found. Sets with too few shared shingles to link to any other class go before each round.
 Equal sets are one from the start. Lists are joined, not gathered, so that a common shingle is no task's work.
 
@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from twinspark.llm.simhash import _named, shingle_set, verified
+from twinspark.llm.simhash import PARITY, _named, classes_apart, most_apart, parities, parity_ranges, sets_apart, shingle_set, smaller_first, turned, verified
 from twinspark.operators.graph import connected_components
 from twinspark.shared import settled, table
 
@@ -57,9 +57,9 @@ def needed(a: Column, a_rest: Column, b: Column, b_rest: Column, similarity: flo
 
 
 def profile(docs: DataFrame, k: int) -> DataFrame:
-    """(doc_id, a, b, node, other, n, chunk, counts): a row for each document, its set's hashes and size; and for each task, rows of counts of shingles by bucket."""
+    """(doc_id, a, b, node, other, n, p0, ..., chunk, counts): a row for each document, its set's hashes, size and parities; and for each task, rows of counts of shingles by bucket."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    names = ["doc_id", "a", "b", "node", "other", "n", "chunk", "counts"]
+    names = ["doc_id", "a", "b", "node", "other", "n", *PARITY, "chunk", "counts"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from xxhash import xxh64_intdigest
@@ -68,21 +68,22 @@ def profile(docs: DataFrame, k: int) -> DataFrame:
         for b in batches:
             ids = b.column(0).type
             node, other, size, new = np.zeros(b.num_rows, np.int64), np.zeros(b.num_rows, np.int64), np.zeros(b.num_rows, np.int64), [np.zeros(0, np.uint64)]
+            odd = np.zeros((b.num_rows, len(PARITY)), np.int64)
             for i, text in enumerate(b.column(3)):
                 h, node[i] = shingle_set((text.as_py() or "").encode(), k)
-                other[i], size[i] = xxh64_intdigest(h.tobytes(), 43) - (1 << 63), len(h)
+                other[i], size[i], odd[i] = xxh64_intdigest(h.tobytes(), 43) - (1 << 63), len(h), parities(h)
                 if node[i] not in seen:
                     seen.add(node[i])
                     new.append(h >> np.uint64(64 - BITS))
             total += np.bincount(np.concatenate(new).astype(np.int64), minlength=BUCKETS)
             none = [pa.nulls(b.num_rows, pa.int32()), pa.nulls(b.num_rows, pa.binary())]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), *map(pa.array, (node, other, size)), *none], names)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), *map(pa.array, (node, other, size, *np.ascontiguousarray(odd.T))), *none], names)
         at = np.flatnonzero(total.reshape(-1, CHUNK).any(axis=1))
         if len(at):
-            empty = [pa.nulls(len(at), ids), *(pa.nulls(len(at), pa.int64()) for _ in range(5))]
+            empty = [pa.nulls(len(at), ids), *(pa.nulls(len(at), pa.int64()) for _ in range(5 + len(PARITY)))]
             yield pa.RecordBatch.from_arrays([*empty, pa.array(at.astype(np.int32)), pa.array([np.minimum(total[i * CHUNK : (i + 1) * CHUNK], 65535).astype(np.uint16).tobytes() for i in at], pa.binary())], names)
 
-    out = f"doc_id {kind}, a long, b long, node long, other long, n long, chunk int, counts binary"
+    out = f"doc_id {kind}, a long, b long, node long, other long, n long, {', '.join(f'{p} long' for p in PARITY)}, chunk int, counts binary"
     return table(docs.select("doc_id", *_named(F.col("text")), "text").mapInArrow(run, out), "profile")
 
 
@@ -172,8 +173,7 @@ def stars(rows: DataFrame, similarity: float, turn: int) -> DataFrame:
     if turn:
         rank = F.struct(F.xxhash64("class", F.lit(turn)).alias("x"), F.xxhash64("node", F.lit(turn)).alias("y"))
     else:  # the first leaders are sets that share most of their prefix: the middle of a group of near copies does
-        shared = rows.groupBy("node").agg((-F.count("*")).alias("less"))
-        rows = rows.join(shared, "node")
+        rows = rows.withColumn("less", -F.count("*").over(Window.partitionBy("node")))
         rank = F.struct(F.floor(100 * F.col("less") / (F.col("n") - F.col("rest"))).alias("x"), F.xxhash64("node").alias("y"))
     own = F.struct(rank.alias("rank"), F.col("node").alias("leader"), F.col("class").alias("of"), F.col("n").alias("ln"), F.col("rest").alias("lrest"))
     lead = rows.groupBy("token").agg(F.min(own).alias("l")).select("token", "l.leader", "l.of", "l.ln", "l.lrest")
@@ -183,14 +183,19 @@ def stars(rows: DataFrame, similarity: float, turn: int) -> DataFrame:
     return best.select(F.col("node").alias("u"), F.col("m.leader").alias("v"))
 
 
-def candidates(rows: DataFrame, similarity: float) -> DataFrame:
-    """Pairs (u, v, cx, cy, c) of sets of different classes cx and cy that share as many prefix shingles as they need."""
-    by = rows.groupBy("token", "class").agg(F.min("n").alias("low"), F.max("n").alias("high"))
+def candidates(rows: DataFrame, each: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (u, v, cx, cy, c) of sets of different classes cx and cy that share as many prefix shingles as they need.
+
+    Before they are rows, pairs go whose parities differ more than similar sets can."""
+    rows = rows.join(each.select("node", *PARITY), "node")
+    by = rows.groupBy("token", "class").agg(F.min("n").alias("low"), F.max("n").alias("high"), F.count("*").alias("m"), *parity_ranges())
     near = (F.col("x.low") * similarity <= F.col("y.high") + 1e-9) & (F.col("y.low") * similarity <= F.col("x.high") + 1e-9)
-    beside = by.alias("x").join(by.alias("y"), (F.col("x.token") == F.col("y.token")) & (F.col("x.class") < F.col("y.class")) & near)
+    near &= classes_apart("x", "y") <= most_apart(F.col("x.high"), F.col("y.high"), similarity)
+    beside = by.alias("x").join(by.alias("y"), (F.col("x.token") == F.col("y.token")) & smaller_first() & near)
     beside = beside.select("x.token", F.col("x.class").alias("cx"), F.col("y.class").alias("cy"))
-    side = lambda s: rows.select("token", F.col("class").alias(f"c{s}"), F.col("node").alias(f"u{s}"), F.col("n").alias(f"n{s}"), F.col("rest").alias(f"r{s}"))
-    pairs = beside.join(side("x"), ["token", "cx"]).join(side("y"), ["token", "cy"]).where(_fits("nx", "ny", similarity))
+    side = lambda s: rows.select("token", F.col("class").alias(f"c{s}"), F.col("node").alias(f"u{s}"), F.col("n").alias(f"n{s}"), F.col("rest").alias(f"r{s}"), *(F.col(p).alias(p + s) for p in PARITY))
+    pairs = beside.join(side("x"), ["token", "cx"]).join(side("y"), ["token", "cy"]).where(_fits("nx", "ny", similarity)).where(sets_apart("x", "y") <= most_apart(F.col("nx"), F.col("ny"), similarity))
+    pairs = turned(pairs, "c", ["u", "n", "r", "c"])
     each = pairs.groupBy("ux", "uy", "nx", "ny", "rx", "ry", "cx", "cy").agg(F.count("*").alias("c"))
     return each.where(F.col("c") >= needed(F.col("nx"), F.col("rx"), F.col("ny"), F.col("ry"), similarity)).select(F.col("ux").alias("u"), F.col("uy").alias("v"), "cx", "cy", "c")
 
@@ -211,14 +216,14 @@ def links(docs: DataFrame, profiles: DataFrame, each: DataFrame, k: int, similar
     for turn in range(ROUNDS):
         rows = table(reachable(rows, similarity), "reachable")
         n, pairs = pairs_left(rows)
-        if pairs <= DENSE * n or pairs > GAIN * before:  # what stars no longer bring together isn't alike for the most part
+        if not pairs or turn and (pairs <= DENSE * n or pairs > GAIN * before):  # what stars no longer bring together isn't alike for the most part
             break
         before = pairs
         new = settled(spark, "stars", lambda: verified(docs, each, stars(rows, similarity, turn), k, similarity))  # noqa: B023
         found = new if found is None else found.unionByName(new)
         rows = settled(spark, "classes", lambda: _joined(rows, new))  # noqa: B023
     # the pair of two classes that shares most comes first: what it links needs no other
-    pairs = settled(spark, "pairs", lambda: candidates(rows, similarity))
+    pairs = settled(spark, "pairs", lambda: candidates(rows, each, similarity))
     best = pairs.groupBy("cx", "cy").agg(F.max(F.struct("c", "u", "v")).alias("m")).select("m.u", "m.v")
     first = settled(spark, "best", lambda: verified(docs, each, best, k, similarity))
 
@@ -237,7 +242,7 @@ def components(docs: DataFrame, k: int = 5, similarity: float = 0.8) -> DataFram
     """(doc_id, n_shingles, component_id): the size of each document's set, and the smallest doc_id that links of the similarity reach."""
     docs = docs.select("doc_id", "text")
     profiles = profile(docs, k)
-    each = table(profiles.where("chunk is null and n > 0").groupBy("node").agg(F.min(F.struct("other", "a", "b")).alias("m")).select("node", "m.*"), "sets")
+    each = table(profiles.where("chunk is null and n > 0").groupBy("node").agg(F.min(F.struct("other", "a", "b", *PARITY)).alias("m")).select("node", "m.*"), "sets")
     linked = settled(docs.sparkSession, "linked", lambda: connected_components(links(docs, profiles, each, k, similarity)))
     root = each.select("node", F.col("other").alias("own")).join(linked, "node", "left").select("node", "own", F.coalesce("component", "node").alias("root"))
     rows = profiles.where("chunk is null").select("doc_id", "node", "other", "n")

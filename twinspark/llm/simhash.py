@@ -47,6 +47,7 @@ BLOCK_ROWS, BLOCK_SHINGLES = 1024, 1 << 20  #: of sets that are compared at once
 COLUMNS = 2048  #: shingles of a block that are counted at once
 SKETCH_BITS = 20  #: shingles are counted by so many bits of their hash; common ones come last in the order of the prefix filter
 PAIRS = list(combinations(range(3), 2))
+PARITY = [f"p{i}" for i in range(8)]  #: columns of 64 parities each, see ``parities``
 
 
 def shingle_hashes(text: bytes | None, k: int) -> np.ndarray:
@@ -82,6 +83,46 @@ def bit_counts(h: np.ndarray) -> np.ndarray:
     return out
 
 
+def parities(h: np.ndarray) -> np.ndarray:
+    """For each of 512 values of a hash's lowest bits, whether an odd number of the distinct hashes has it; as signed longs.
+
+    A hash that only one of two sets has changes one parity, so sets differ in at least as many hashes as parities.
+    """
+    return _pack(np.bincount((h & np.uint64(64 * len(PARITY) - 1)).astype(np.int64), minlength=64 * len(PARITY)).reshape(-1, 64) & 1)
+
+
+def parity_ranges() -> list[Column]:
+    """Of the sets of a class: the parities that all of them have, and those that any has."""
+    return [f(p).alias(f"{t}{p}") for p in PARITY for t, f in (("all_", F.bit_and), ("any_", F.bit_or))]
+
+
+def classes_apart(x: str, y: str) -> Column:
+    """Parities in which each set of one class differs from each of the other."""
+    only = lambda a, b, p: F.col(f"{a}.all_{p}").bitwiseAND(F.bitwise_not(F.col(f"{b}.any_{p}")))
+    return sum((F.bit_count(only(x, y, p).bitwiseOR(only(y, x, p))) for p in PARITY), F.lit(0))
+
+
+def smaller_first() -> Column:
+    """Each two classes x and y of a key once, the one with fewer rows there as x: its rows are joined first."""
+    return (F.col("x.m") < F.col("y.m")) | ((F.col("x.m") == F.col("y.m")) & (F.col("x.class") < F.col("y.class")))
+
+
+def turned(pairs: DataFrame, by: str, names: list[str]) -> DataFrame:
+    """``names`` followed by x and y, changed over where the x of ``by`` is the larger."""
+    over = F.col(f"{by}x") > F.col(f"{by}y")
+    return pairs.select(*(F.when(over, F.col(c + b)).otherwise(F.col(c + a)).alias(c + a) for c in names for a, b in ("xy", "yx")))
+
+
+def sets_apart(x: str, y: str) -> Column:
+    """Parities in which two sets differ; their columns end in x and y."""
+    return sum((F.bit_count(F.col(p + x).bitwiseXOR(F.col(p + y))) for p in PARITY), F.lit(0))
+
+
+def most_apart(a: Column, b: Column, similarity: float) -> Column:
+    """Shingles in which similar sets of a and b shingles differ at most."""
+    return F.lit((1 - similarity) / (1 + similarity)) * (a + b) + 1e-6
+
+
 def _remix(h: np.ndarray) -> np.ndarray:
     """A second hash from the first (the finalizer of splitmix64)."""
     with np.errstate(over="ignore"):
@@ -132,14 +173,18 @@ def hard_keys(prints: DataFrame) -> DataFrame:
 
 
 def soft_prints(docs: DataFrame, k: int, near: int = 8, keys: int = 16) -> DataFrame:
-    """(a, b, node, other, n, f0, f1, keys) of texts: two hashes of the text and two of its set of shingles, their number, 128 bits, and for each two of three segments the ``keys`` codeword pairs nearest to the margins."""
+    """(a, b, node, other, n, f0, f1, p0, ..., keys) of texts: two hashes of the text and two of its set of shingles, their number, 128 bits, parities, and for each two of three segments the ``keys`` codeword pairs nearest to the margins."""
+
+    names = ["a", "b", "node", "other", "n", "f0", "f1", *PARITY, "keys"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             margin, node, size = np.zeros((b.num_rows, 128), np.float32), np.zeros((2, b.num_rows), np.int64), np.zeros(b.num_rows, np.int32)
+            odd = np.zeros((b.num_rows, len(PARITY)), np.int64)
             for i, text in enumerate(b.column(2).cast(pa.binary()).to_pylist()):
                 h, node[0, i] = shingle_set(text, k)
                 node[1, i], size[i] = xxh64_intdigest(h.tobytes(), SEED + 1) - (1 << 63), len(h)
+                odd[i] = parities(h)
                 if len(h):
                     margin[i] = (2 * np.concatenate([bit_counts(h), bit_counts(_remix(h))]) - len(h)) / math.sqrt(len(h))
             found = [golay.soft(margin[:, 23 * s : 23 * s + 23], near) for s in range(3)]
@@ -152,9 +197,9 @@ def soft_prints(docs: DataFrame, k: int, near: int = 8, keys: int = 16) -> DataF
             own = np.sort(np.concatenate(own, axis=1).astype(np.int32), axis=1)
             listed = pa.ListArray.from_arrays(np.arange(0, own.size + 1, own.shape[1], dtype=np.int32), pa.array(own.ravel()))
             bits = [pa.array(_pack(margin[:, :64] > 0)), pa.array(_pack(margin[:, 64:] > 0))]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *map(pa.array, (*node, size)), *bits, listed], ["a", "b", "node", "other", "n", "f0", "f1", "keys"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *map(pa.array, (*node, size)), *bits, *map(pa.array, np.ascontiguousarray(odd.T)), listed], names)
 
-    return docs.select(*_named(F.col("text")), "text").mapInArrow(run, "a long, b long, node long, other long, n int, f0 long, f1 long, keys array<int>")
+    return docs.select(*_named(F.col("text")), "text").mapInArrow(run, f"a long, b long, node long, other long, n int, f0 long, f1 long, {', '.join(f'{p} long' for p in PARITY)}, keys array<int>")
 
 
 def _bits(x: np.ndarray) -> np.ndarray:
@@ -462,19 +507,24 @@ def reachable(rows: DataFrame, similarity: float, rounds: int = 1) -> DataFrame:
     return rows
 
 
-def met(rows: DataFrame, similarity: float) -> DataFrame:
-    """(key, node, n, pos, class) to the pairs (u, v) of nodes of different classes that their prefixes don't rule out.
+def met(rows: DataFrame, each: DataFrame, similarity: float) -> DataFrame:
+    """(key, node, n, pos, class) and the parities of each node to the pairs (u, v) of nodes of different classes that their prefixes don't rule out.
 
     Classes of a key meet first, so that a large class costs no pairs within it. Two prefixes share c keys,
     the last of them at places x and y: the set whose prefix ends first shares nothing else of it, so the
-    sets have c and what follows that prefix in common at most, and c and what follows x or y.
+    sets have c and what follows that prefix in common at most, and c and what follows x or y. Before they are
+    rows, pairs go whose parities differ more than similar sets can.
     """
-    own = rows.groupBy("key", "class").agg(F.min("n").alias("low"), F.max("n").alias("high"))
+    rows = rows.join(each.select("node", *PARITY), "node")
+    own = rows.groupBy("key", "class").agg(F.min("n").alias("low"), F.max("n").alias("high"), F.count("*").alias("m"), *parity_ranges())
     fits = (F.col("x.low") * similarity <= F.col("y.high") + 1e-9) & (F.col("y.low") * similarity <= F.col("x.high") + 1e-9)
-    beside = own.alias("x").join(own.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.class") < F.col("y.class")) & fits)
+    fits &= classes_apart("x", "y") <= most_apart(F.col("x.high"), F.col("y.high"), similarity)
+    beside = own.alias("x").join(own.alias("y"), (F.col("x.key") == F.col("y.key")) & smaller_first() & fits)
     beside = beside.select("x.key", F.col("x.class").alias("cx"), F.col("y.class").alias("cy"))
-    side = lambda s: rows.select("key", F.col("class").alias(f"c{s}"), F.col("node").alias(f"n{s}"), F.col("n").alias(f"s{s}"), F.col("pos").alias(f"p{s}"))
+    side = lambda s: rows.select("key", F.col("class").alias(f"c{s}"), F.col("node").alias(f"n{s}"), F.col("n").alias(f"s{s}"), F.col("pos").alias(f"pos{s}"), *(F.col(p).alias(p + s) for p in PARITY))
     pairs = beside.join(side("x"), ["key", "cx"]).join(side("y"), ["key", "cy"]).where(F.least("sx", "sy") >= similarity * F.greatest("sx", "sy") - 1e-9)
+    pairs = pairs.where(sets_apart("x", "y") <= most_apart(F.col("sx"), F.col("sy"), similarity))
+    pairs = turned(pairs, "n", ["n", "s", "pos"]).withColumnsRenamed({"posx": "px", "posy": "py"})
     each = pairs.groupBy("nx", "ny", "sx", "sy").agg(F.count("*").alias("c"), *(f(p).alias(f"{t}{p}") for p in ("px", "py") for t, f in (("first_", F.min), ("last_", F.max))))
     after = lambda s: F.ceil(similarity * F.col(s) - 1e-9) - 1  # noqa: E731  shingles after the prefix
     rest = lambda s, p: F.col(s) - F.col(p) - 1
@@ -488,13 +538,13 @@ def _kept(docs: DataFrame, keyed: DataFrame, k: int, similarity: float) -> DataF
     """The rows of ``keyed`` (id, a, b, c) that stay, one of each class, with the id hashed."""
     most = int(128 * math.acos(2 * similarity / (1 + similarity)) / math.pi + 2)
     prints = table(soft_prints(docs, k).distinct(), "prints")
-    least = prints.groupBy("node").agg(F.min(F.struct("other", "a", "b", "n", "f0", "f1", "keys")).alias("m"))
+    least = prints.groupBy("node").agg(F.min(F.struct("other", "a", "b", "n", "f0", "f1", *PARITY, "keys")).alias("m"))
     each = table(least.select("node", "m.*"), "nodes")
     near = connected_components(proposed(each, most))
     classes = table(each.select("node").join(near, "node", "left").select("node", F.coalesce("component", "node").alias("class")), "classes")
     held = table(within(docs, each, classes, k, similarity), "held")
     rows = reachable(prefix_keys(docs, k, similarity).join(classes, "node"), similarity)
-    more = verified(docs, each, met(rows, similarity), k, similarity)
+    more = verified(docs, each, met(rows, each, similarity), k, similarity)
     linked = connected_components(held.unionByName(more))
     root = each.join(linked, "node", "left").select("node", "other", F.coalesce("component", "node").alias("root"))
     nodes = prints.select("a", "b", "node", "other").join(root, ["node", "other"], "left")
