@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from twinspark.llm import jaccard, repair, runs, simhash
+from twinspark.llm import jaccard, repair, runs, simhash, suffix
 
 DOCS = "doc_id long, text string, node string, token long"
 
@@ -155,6 +155,27 @@ def test_pipeline_results_outlive_later_calls(spark, tmp_path):
     assert one.count() == docs.count() and other.count() == docs.where("doc_id % 2 = 0").count()
 
 
+def test_suffix_rows_of_a_hot_hash(spark, monkeypatch):
+    """One row for each stretch of a hash that many texts have, not one for each start; and the same results as by brute force."""
+    monkeypatch.setattr(suffix, "HOT_BYTES", 1)
+    made = {}
+    table = suffix.table
+    monkeypatch.setattr(suffix, "table", lambda df, name="t", folder=None: made.setdefault(name, table(df, name, folder)))
+    rng = random.Random(5)
+    word = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n))
+    passage, period = word(90), word(7)
+    docs = [(i, word(50) + passage[i % 3 :] + word(50)) for i in range(40)]
+    docs += [(100 + i, word(30) + period * (6 + i) + word(30)) for i in range(8)]
+    docs += [(200, word(9) + passage[:20] + passage), (201, "x" * 200), (202, "x" * 41 + word(20)), (203, "x" * 40 + word(20))]
+    for keep in ("none", "first"):
+        made.clear()
+        rows, parts = suffix.repeats(spark.createDataFrame(docs, "doc_id long, text string"), 40, keep)
+        kept, want = {(r.a, r.b): len(r.kept) for r in parts.collect()}, suffix.brute(docs, 40, keep)
+        for r in rows.collect():
+            assert (r.n_bytes if r.gone else r.n_bytes - kept.get((r.a, r.b), r.n_bytes)) == want[r.doc_id][1], (keep, r.doc_id)
+        assert made["stretches"].count() < 2000  # 5145 starts before
+
+
 def test_pairs_of_unlike_sets_make_no_rows(spark):
     """Sets that share common shingles only are no rows of the joins of prefixes; sets that are alike are."""
     rng = random.Random(3)
