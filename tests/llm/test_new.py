@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from twinspark.llm import jaccard, repair, runs, simhash, suffix
+from twinspark.llm import jaccard, lines, repair, runs, simhash, suffix
 
 DOCS = "doc_id long, text string, node string, token long"
 
@@ -176,6 +176,17 @@ def test_suffix_rows_of_a_hot_hash(spark, monkeypatch):
         assert made["stretches"].count() < 2000  # 5145 starts before
 
 
+def test_masked_lines_equal_masked(spark):
+    texts = ["a  b\tc\n\r\n 1 \x0b2x3\x0c\n\n x", "no fields\nat all", "", "\n", " 7\n\u00a0 8\u00a0 9 ", "a1\u2028b c"]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    each = F.transform(F.split("text", "\n"), lines.masked)
+    assert docs.where(each != lines.masked_lines(F.col("text"))).count() == 0
+    tokens = F.transform(each, lambda x: F.struct(F.size(F.split(x, " ")), F.xxhash64(F.array_join(F.slice(F.split(x, " "), 1, 3), " "))))
+    assert docs.where(tokens != F.transform(each, lambda x: F.struct(lines._size(x), lines._lead(x)))).count() == 0
+    plan = lines._parsed(docs)._jdf.queryExecution().optimizedPlan().toString()
+    assert "split(lambda" not in plan  # three times for each line before
+
+
 def test_pairs_of_unlike_sets_make_no_rows(spark):
     """Sets that share common shingles only are no rows of the joins of prefixes; sets that are alike are."""
     rng = random.Random(3)

@@ -42,23 +42,36 @@ def masked(line: Column) -> Column:
     return F.when(spaced.rlike("[0-9]"), F.regexp_replace(spaced, "[^ ]*[0-9][^ ]*", "<*>")).otherwise(spaced)
 
 
-def _node(line: Column) -> Column:
-    tokens = F.split(line, " ")
-    return F.xxhash64(F.size(tokens), F.array_join(F.slice(tokens, 1, LEAD), " "))
+def masked_lines(text: Column) -> Column:
+    """The lines of a text, each as ``masked`` gives it: spaces are put right in the whole text."""
+    odd = [F.contains(text, F.lit(x)) for x in ("  ", "\t", "\r", "\x0b", "\x0c")]
+    untidy = odd[0] | odd[1] | odd[2] | odd[3] | odd[4]
+    spaced = F.when(untidy, F.regexp_replace(text, r"[\x09\x0B-\x0D ]+", " ")).otherwise(text)
+    fields = lambda x: F.when(x.rlike("[0-9]"), F.regexp_replace(x, "[^ ]*[0-9][^ ]*", "<*>")).otherwise(x)
+    return F.transform(F.transform(F.split(spaced, "\n"), lambda x: F.trim(x)), fields)
+
+
+def _size(line: Column) -> Column:
+    """Tokens of a masked line."""
+    return F.octet_length(line) - F.octet_length(F.replace(line, F.lit(" "), F.lit(""))) + 1
+
+
+def _lead(line: Column) -> Column:
+    return F.xxhash64(F.substring_index(line, " ", LEAD))
 
 
 def _parsed(docs: DataFrame) -> DataFrame:
     """(a, b, first, tpl, node, n) of each line of texts that are there; only hashes leave the row."""
-    parts = F.transform(F.split("text", "\n"), masked)
-    parsed = F.transform(parts, lambda x: F.struct(F.xxhash64(x).alias("tpl"), _node(x).alias("node"), F.size(F.split(x, " ")).alias("n"), (x == "").alias("blank")))
+    parts = masked_lines(F.col("text"))
+    parsed = F.transform(parts, lambda x: F.struct(F.xxhash64(x).alias("tpl"), _lead(x).alias("lead"), _size(x).alias("n"), (x == "").alias("blank")))
     named = docs.where("text is not null").select(F.xxhash64("text").alias("a"), F.xxhash64(F.lit(7), "text").alias("b"), F.col("doc_id").alias("first"), parsed.alias("p"))
     rows = named.select("a", "b", "first", F.explode("p").alias("x"))
-    return rows.where("not x.blank").select("a", "b", "first", "x.tpl", "x.node", "x.n")
+    return rows.where("not x.blank").select("a", "b", "first", "x.tpl", F.xxhash64("x.n", "x.lead").alias("node"), "x.n")
 
 
 def _texts(docs: DataFrame) -> DataFrame:
     """(a, b, line): masked lines that aren't blank."""
-    parts = F.transform(F.split("text", "\n"), masked)
+    parts = masked_lines(F.col("text"))
     named = docs.where("text is not null").select(F.xxhash64("text").alias("a"), F.xxhash64(F.lit(7), "text").alias("b"), F.explode(parts).alias("line"))
     return named.where("line <> ''")
 
@@ -92,7 +105,7 @@ def templates(docs: DataFrame, min_docs: int = MIN_DOCS) -> tuple[DataFrame, Dat
     nodes = own.agg(F.count("*").alias("rows"), F.min("tpl").alias("x"), F.max("tpl").alias("y")).where((F.col("rows") >= min_docs) & (F.col("x") != F.col("y")))
     nodes = table(nodes.select("node", F.shiftrightunsigned("node", 64 - NODE_BITS).cast("int").alias("bits")), "nodes")
     some = F.broadcast(nodes.select("bits").distinct())
-    near = _texts(docs).withColumn("node", _node(F.col("line"))).withColumn("bits", F.shiftrightunsigned("node", 64 - NODE_BITS).cast("int"))
+    near = _texts(docs).withColumn("node", F.xxhash64(_size(F.col("line")), _lead(F.col("line")))).withColumn("bits", F.shiftrightunsigned("node", 64 - NODE_BITS).cast("int"))
     near = near.select("a", "b", "node", "bits", "line").join(some, "bits", "left_semi").join(nodes.select("node"), "node", "left_semi")
     near = near.groupBy("node", "line").agg(F.countDistinct("a", "b").alias("texts"))
     tokens = table(near.select("node", F.xxhash64("line").alias("tpl"), "texts", F.posexplode(F.split("line", " ")).alias("pos", "token")), "tokens")
