@@ -173,7 +173,7 @@ def test_suffix_rows_of_a_hot_hash(spark, monkeypatch):
         kept, want = {(r.a, r.b): len(r.kept) for r in parts.collect()}, suffix.brute(docs, 40, keep)
         for r in rows.collect():
             assert (r.n_bytes if r.gone else r.n_bytes - kept.get((r.a, r.b), r.n_bytes)) == want[r.doc_id][1], (keep, r.doc_id)
-        assert made["stretches"].count() < 2000  # 5145 starts before
+        assert made["stretches"].count() < 2000  # a row for each start before
 
 
 def test_masked_lines_equal_masked(spark):
