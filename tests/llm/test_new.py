@@ -212,3 +212,18 @@ def test_one_round_of_stars_at_least(spark, monkeypatch):
     docs = [(i, " ".join(words[:-1] + [f"z{i}"])) for i in range(5)]
     got = jaccard.components(spark.createDataFrame(docs, "doc_id long, text string")).collect()
     assert {r.component_id for r in got} == {0} and turns == [0]
+
+
+def test_jaccard_lists_hold_sets_of_like_sizes(spark, monkeypatch):
+    rng = random.Random(9)
+    long = [f"v{rng.randrange(10**9)}" for _ in range(400)]
+    texts = [" ".join(long[:n]) for n in (404, 400, 324, 323, 322, 200, 104, 84, 83, 79, 40, 12, 10, 9, 5)] + [" ".join(long[::-1][:n]) for n in (300, 100)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    apart = docs.where("doc_id in (6, 9)")  # 100 and 75 shingles, all of the one in the other
+    order = lambda d: jaccard.levels(jaccard.profile(d, 5))
+    assert jaccard.shared(jaccard.prefixes(apart, 5, 0.8, *order(apart)), 0.8).count() == 0  # 59 rows of lists before
+    want = sorted(jaccard.brute(list(enumerate(texts))))
+    got = lambda: sorted(tuple(r) for r in jaccard.components(docs.repartition(3)).collect())
+    assert got() == want and len({r[2] for r in want}) < len(want)
+    monkeypatch.setattr(jaccard, "HOT", 1)
+    assert got() == want

@@ -13,7 +13,12 @@ verified joins classes; one round is always worth it, as pairs within groups of
 that makes the result exact whatever the rounds have found. Sets with too few shared shingles to link to any other class go before each round.
 Equal sets are one from the start. Lists are joined, not gathered, so that a common shingle is no task's work.
 
-The order comes from counts in ``BUCKETS`` buckets of hashes (any order is right). Shingles go by 64-bit hashes, sets by 128 bits.
+Lists are made in one shuffle of packed rows: in each of ``PIECES`` pieces of the hashes, a set stays in a shingle's list only if another
+set there has a size that lets the two be similar (exact: whatever two similar sets share stays in both). Shingles that come ``HOT`` times or
+so are dealt by set and stay as they are.
+
+The order comes from counts in ``BUCKETS`` buckets of hashes (any order is right). Shingles go by 64-bit hashes, in lists by the first 48 bits
+(two that agree in these only add candidates), sets by 128 bits.
 
 Edge cases: null texts and texts without words have no shingles and are linked with nothing; fewer words than
 a shingle make one shingle; null ids never become a component's id unless all its ids are null (a text without shingles
@@ -41,6 +46,9 @@ BITS, CHUNK = 22, 1 << 14
 BUCKETS = 1 << BITS  #: of hashes, in which shingles are counted
 STEPS = 4  #: levels of commonness for each power of two
 LADDER = (1, 2, 4, 8)  #: shingles by which a prefix may exceed the one before the shortest
+PIECE_BITS, HOT = 10, 1 << 20
+PIECES = 1 << PIECE_BITS  #: of the hashes, in which lists are made one by one
+ROW = np.dtype([("token", "<u8"), ("node", "<i8"), ("n", "<i4"), ("pos", "<i4"), ("hot", "u1")])
 COMPARE = 0.125  #: cost of comparing a shingle of a candidate, against reading a row of a list
 ROUNDS, DENSE = 8, 8  #: most rounds of stars; pairs of sets in lists, for each row, from which on one more is worth it
 GAIN = 0.7  #: the share of such pairs that a round may leave if another one is to follow
@@ -87,8 +95,8 @@ def profile(docs: DataFrame, k: int) -> DataFrame:
     return table(docs.select("doc_id", *_named(F.col("text")), "text").mapInArrow(run, out), "profile")
 
 
-def levels(profiles: DataFrame) -> np.ndarray:
-    """How common the shingles of each bucket are: ``STEPS`` levels for each power of two above the average, 0 for all others."""
+def levels(profiles: DataFrame) -> tuple[np.ndarray, float]:
+    """How common the shingles of each bucket are: ``STEPS`` levels for each power of two above the average, 0 for all others; and the level of ``HOT``."""
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
@@ -104,38 +112,98 @@ def levels(profiles: DataFrame) -> np.ndarray:
     for r in rows.collect():  # at most BUCKETS numbers
         total[r.chunk] = np.frombuffer(r.counts, np.int32)
     average = max(1.0, total.mean())
-    return np.maximum(0, STEPS * np.log2(np.maximum(total.ravel(), 1) / average)).astype(np.uint8)
+    return np.maximum(0, STEPS * np.log2(np.maximum(total.ravel(), 1) / average)).astype(np.uint8), STEPS * math.log2(HOT / average)
+
+
+def _packed(rows: np.ndarray) -> bytes:
+    """Byte by byte of all rows: what they have in common compresses."""
+    return rows.view(np.uint8).reshape(len(rows), -1).T.tobytes()
+
+
+def _unpacked(packed: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(packed, np.uint8).reshape(ROW.itemsize, -1).T).view(ROW).ravel()
 
 
-def prefixes(docs: DataFrame, k: int, similarity: float, level: np.ndarray) -> DataFrame:
-    """(token, node, n, pos): the longest prefix of each set, a set once a task."""
+def prefixes(docs: DataFrame, k: int, similarity: float, level: np.ndarray, hot: float) -> DataFrame:
+    """(piece, rows): the longest prefix of each set, a set once a task; for each piece and batch of a task, its rows packed."""
     spark = docs.sparkSession
     order = spark.sparkContext.broadcast(level)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = set()
         for b in batches:
-            keys, nodes, sizes = [np.zeros(0, np.uint64)], [], []
+            keys, common, nodes, sizes = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint8)], [], []
             for text in b.column(0):
                 h, node = shingle_set((text.as_py() or "").encode(), k)
                 if node not in seen and len(h):
                     seen.add(node)
                     own = order.value[(h >> np.uint64(64 - BITS)).astype(np.int64)]
-                    keys.append(h[np.argsort(own, kind="stable")][: len(h) - _least(similarity, len(h)) + LADDER[-1]])
+                    first = np.argsort(own, kind="stable")[: len(h) - _least(similarity, len(h)) + LADDER[-1]]
+                    keys.append(h[first])
+                    common.append(own[first])
                     nodes.append(node)
                     sizes.append(len(h))
             each = [len(x) for x in keys[1:]]
-            pos = np.concatenate([np.zeros(0, np.int32), *(np.arange(m, dtype=np.int32) for m in each)])
-            cols = np.concatenate(keys).view(np.int64), np.repeat(np.array(nodes, np.int64), each), np.repeat(np.array(sizes, np.int64), each), pos
-            yield pa.RecordBatch.from_arrays([*map(pa.array, cols)], ["token", "node", "n", "pos"])
+            rows = np.zeros(sum(each), ROW)
+            rows["token"] = np.concatenate(keys) & np.uint64(~0xFFFF & (1 << 64) - 1)
+            rows["node"], rows["n"] = np.repeat(np.array(nodes, np.int64), each), np.repeat(np.array(sizes, np.int64), each)
+            rows["pos"] = np.concatenate([np.zeros(0, np.int32), *(np.arange(m, dtype=np.int32) for m in each)])
+            rows["hot"] = np.concatenate(common) >= hot
+            piece = (np.where(rows["hot"], rows["node"].view(np.uint64), rows["token"]) >> np.uint64(64 - PIECE_BITS)).astype(np.int32)
+            by = np.argsort(piece, kind="stable")
+            found, at = np.unique(piece[by], return_index=True)
+            packed = [_packed(rows[i]) for i in np.split(by, at[1:])] if len(found) else []
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.int32()), pa.array(packed, pa.binary())], ["piece", "rows"])
+
+    return docs.select("text").mapInArrow(run, "piece int, rows binary")
+
+
+def _lists(rows: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """Of the rows of a piece, those of sets that meet another one of a like size, each once; and how many sets of such sizes the list has."""
+    by = np.argsort(rows["token"])
+    token, hot = rows["token"][by], rows["hot"][by] > 0
+    shared = np.zeros(len(by) + 1, bool)
+    shared[1:-1] = token[1:] == token[:-1]
+    rows = rows[by[shared[1:] | shared[:-1] | hot]]
+    rows = rows[np.lexsort((rows["node"], rows["n"], rows["token"]))]
+    other = np.ones(len(rows), bool)
+    other[1:] = rows["token"][1:] != rows["token"][:-1]
+    own = other.copy()
+    own[1:] |= rows["node"][1:] != rows["node"][:-1]
+    of, rows = (np.cumsum(other) << 32)[own], rows[own]
+    n = rows["n"].astype(np.int64)
+    low, high = np.ceil(similarity * n - 1e-6).astype(np.int64), np.floor(n / similarity + 1e-6).astype(np.int64)
+    length = np.searchsorted(of | n, of | high, "right") - np.searchsorted(of | n, of | low)
+    hot = rows["hot"] > 0
+    stays = (length > 1) | hot
+    return rows[stays], np.where(hot, length * PIECES, length)[stays]  # sets with a common shingle are dealt evenly
+
+
+def shared(packed: DataFrame, similarity: float) -> DataFrame:
+    """(token, node, n, pos, length): prefix shingles of sets that meet others of a like size there."""
+    names = ["token", "node", "n", "pos", "length"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def made() -> pa.RecordBatch:
+            rows, length = _lists(np.concatenate(parts), similarity)
+            return pa.RecordBatch.from_arrays([pa.array(x) for x in (rows["token"].view(np.int64), rows["node"], rows["n"].astype(np.int64), rows["pos"], length)], names)
+
+        at, parts = None, []
+        for b in batches:
+            for piece, rows in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+                if piece != at and parts:
+                    yield made()
+                    parts = []
+                at = piece
+                parts.append(_unpacked(rows.as_py()))
+        if parts:
+            yield made()
 
-    return table(docs.select("text").mapInArrow(run, "token long, node long, n long, pos int"), "prefixes")
+    return packed.repartition("piece").sortWithinPartitions("piece").mapInArrow(run, "token long, node long, n long, pos int, length long")
 
 
-def adapted(tokens: DataFrame, similarity: float) -> DataFrame:
+def adapted(rows: DataFrame, similarity: float) -> DataFrame:
     """(token, node, n, rest): shared shingles of the prefix that each set picks, and what it has beyond that prefix."""
-    lists = tokens.groupBy("token").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count("*").alias("length")).where("low <> high")
-    rows = tokens.join(lists.select("token", "length"), "token").repartition("node").groupBy("node", "token").agg(F.first("n").alias("n"), F.first("pos").alias("pos"), F.first("length").alias("length"))
     n, base = F.col("n"), F.col("n") - _least(similarity, F.col("n"))
     own = Window.partitionBy("node")
     read = {m: F.coalesce(F.sum(F.when(F.col("pos") < base + m, F.col("length"))).over(own), F.lit(0)) for m in LADDER}
@@ -211,7 +279,7 @@ def _joined(rows: DataFrame, links: DataFrame) -> DataFrame:
 def links(docs: DataFrame, profiles: DataFrame, each: DataFrame, k: int, similarity: float) -> DataFrame:
     """Links (u, v) of sets whose closure is that of all similar pairs; ``each`` (node, a, b) names a text of each set."""
     spark = docs.sparkSession
-    rows = settled(spark, "adapted", lambda: adapted(prefixes(docs, k, similarity, levels(profiles)), similarity)).withColumn("class", F.col("node"))
+    rows = settled(spark, "adapted", lambda: adapted(shared(prefixes(docs, k, similarity, *levels(profiles)), similarity), similarity)).withColumn("class", F.col("node"))
     found, before = None, math.inf
     for turn in range(ROUNDS):
         rows = table(reachable(rows, similarity), "reachable")
