@@ -29,3 +29,7 @@ def uneven(spark, tmp_path_factory):
 
 def test_knn_top5(spark, uneven):
     _against_sql(spark, uneven, "knn_top5")
+
+
+def test_knn_wide(spark, uneven):
+    _against_sql(spark, uneven, "knn_wide")
