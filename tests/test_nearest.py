@@ -33,3 +33,7 @@ def test_knn_top5(spark, uneven):
 
 def test_knn_wide(spark, uneven):
     _against_sql(spark, uneven, "knn_wide")
+
+
+def test_search_responses(spark, uneven):
+    _against_sql(spark, uneven, "search_responses")
