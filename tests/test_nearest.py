@@ -3,8 +3,10 @@
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__
+from twinspark.functions import names
 
 
 def _against_sql(spark, folder, name):
@@ -37,3 +39,14 @@ def test_knn_wide(spark, uneven):
 
 def test_search_responses(spark, uneven):
     _against_sql(spark, uneven, "search_responses")
+
+
+def test_results_table(spark, uneven):
+    _against_sql(spark, uneven, "results_table")
+
+
+def test_fixed_is_printf(spark):
+    x = [s * i / 100000 for i in range(0, 100001, 5) for s in (1, -1)] + [i / 64 + 0.00005 for i in range(99)] + [1234.56785, 5e-324, 0.03125, 0.09375]
+    df = spark.createDataFrame([(a,) for a in x], "x double")
+    for digits in (0, 3, 4, 6):
+        assert [r.t for r in df.select(names.fixed(F.col("x"), digits).alias("t")).collect()] == [f"{a:.{digits}f}" for a in x]

@@ -139,7 +139,11 @@ def band(score: Column) -> Column:
 
 
 def fixed(c: Column, digits: int, missing: str = "n/a") -> Column:
-    return F.when(c.isNotNull(), F.format_string(f"%.{digits}f", c)).otherwise(missing)
+    """As printf writes a double: the digits next to its binary value, where ``format_string`` rounds its shortest decimal form half up."""
+    text = F.call_function("format_number", c, F.lit(("0." + "0" * digits).rstrip(".")))
+    half = 0.5 / 10**digits  # the only value that it rounds wrong: no digit stands before its 5
+    text = F.when(F.abs(c) == half, F.concat(F.when(c < 0, "-").otherwise(""), F.lit(f"{half:.{digits}f}"))).otherwise(text)
+    return F.when(c.isNotNull(), text).otherwise(missing)
 
 
 def stored_path(path: Column, data_dir: str) -> Column:
