@@ -1,4 +1,6 @@
-"""Nearest neighbours against SQL, in every digit."""
+"""Nearest neighbours against SQL, in every digit, and what their search moves."""
+
+from collections import Counter
 
 import duckdb
 import numpy as np
@@ -7,6 +9,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__
 from twinspark.functions import names
+from twinspark.operators import similar
 
 
 def _against_sql(spark, folder, name):
@@ -50,3 +53,52 @@ def test_fixed_is_printf(spark):
     df = spark.createDataFrame([(a,) for a in x], "x double")
     for digits in (0, 3, 4, 6):
         assert [r.t for r in df.select(names.fixed(F.col("x"), digits).alias("t")).collect()] == [f"{a:.{digits}f}" for a in x]
+
+
+def _first(pairs, score, k):
+    """The k pairs (query, id) of each query with the best scores of six digits, then the smallest ids, with their ranks."""
+    out, n = [], Counter()
+    for q, _, i in sorted((q, -round(score[q, i], 6), i) for q, i in pairs):
+        n[q] += 1
+        if n[q] <= k:
+            out.append((q, n[q], i))
+    return out
+
+
+@pytest.mark.parametrize("rows", [50, 4096])
+def test_lsh_keeps_its_candidates_within_tasks(spark, monkeypatch, rows):
+    monkeypatch.setattr(similar, "BLOCK_BYTES", rows * 16 * 8)
+    v = np.random.default_rng(8).standard_normal((900, 16))
+    v[100:160] = v[3]
+    unit = v / np.linalg.norm(v, axis=1, keepdims=True)
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "id long, v array<double>")
+    q = df.where("id % 9 = 0")
+    pairs = {(r.query, r.id) for r in similar.lsh_candidates(q, df, 12, 2, 1).collect()}
+    sc = spark.sparkContext
+    sc.setJobGroup(f"lsh{rows}", "")
+    got = similar.lsh_nearest(q, df, 4, 12).collect()
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    assert sorted((r.query, r.rank, r.id) for r in got) == _first(pairs, unit @ unit.T, 4)
+    sc._jsc.sc().listenerBus().waitUntilEmpty()
+    jobs = [sc.statusTracker().getJobInfo(j) for j in sc.statusTracker().getJobIdsForGroup(f"lsh{rows}")]
+    moved = sum(sc._jsc.sc().statusStore().lastStageAttempt(x).shuffleWriteRecords() for x in {x for j in jobs for x in j.stageIds})
+    x, y = -(-100 // rows), max(-(-900 // rows), sc.defaultParallelism)  # blocks
+    assert moved <= 900 * x + 100 * y + 100 * 4 * y + 20 < len(pairs)
+
+
+@pytest.mark.parametrize("cells, few", [(1, 0), (1000, 1.1), (1 << 22, 0.5)])
+def test_best_in_tiles(monkeypatch, cells, few):
+    monkeypatch.setattr(similar, "TILE_CELLS", cells)
+    monkeypatch.setattr(similar, "FEW", few)
+    rng = np.random.default_rng(2)
+    v = rng.integers(-3, 4, (200, 6)) / 16
+    ids = rng.permutation(200)
+    may = rng.random((200, 200)) < 0.3
+    may[5] = False
+    pairs = {(ids[a], ids[b]) for a, b in zip(*np.nonzero(may), strict=True) if a != b}
+    score = np.empty((200, 200))
+    score[np.ix_(ids, ids)] = v @ v.T
+    got = similar._best(ids, v, ids, v, 5, True, lambda a, z: may[a:z].copy())
+    want = [(q, i) for q, _, i in _first(pairs, score, 5)]
+    assert sorted(zip(got["query"], got["id"], strict=True)) == sorted(want)
+    assert not len(similar._best(ids, v, ids[:0], v[:0], 5, True)) and not len(similar._best(ids[:0], v[:0], ids, v, 5, True))
